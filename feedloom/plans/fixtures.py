@@ -75,3 +75,37 @@ def pending_root(spark: SparkSession, sf_dir: str) -> str:
                                _day_before(PENDING_RUN_DAY))
             _WRITTEN[k] = root
         return _WRITTEN[k]
+
+
+def ingest_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder where the derived payload tables were ingested on ``AS_OF``:
+    details and reviews feeds with failed lists, and the catalog pages."""
+    from ..sources.derived import (INGESTED_AT, catalog_pages, details_payloads,
+                                   reviews_payloads)
+    from .jobs import ingest, ingest_catalog
+
+    k = _key(spark, sf_dir, "ingest")
+    with _LOCK:
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "ingest")
+            ingest(spark, details_payloads(spark, sf_dir), APPDETAILS, root, AS_OF,
+                   INGESTED_AT)
+            ingest(spark, reviews_payloads(spark, sf_dir), REVIEWS, root, AS_OF,
+                   INGESTED_AT)
+            ingest_catalog(spark, catalog_pages(spark, sf_dir), root, AS_OF)
+            _WRITTEN[k] = root
+        return _WRITTEN[k]
+
+
+def loaded_root(spark: SparkSession, sf_dir: str, feed: str) -> str:
+    """Raw tables root where one whole derived feed was loaded as day ``AS_OF``
+    (its rows of other days are appended to their own days)."""
+    from .jobs import load_day
+
+    k = _key(spark, sf_dir, "loaded-" + feed)
+    with _LOCK:
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "raw")
+            load_day(spark, lake_root(spark, sf_dir), AS_OF, root, feeds=(feed,))
+            _WRITTEN[k] = root
+        return _WRITTEN[k]

@@ -176,3 +176,87 @@ SELECT
      SELECT appid FROM details WHERE success AND ingestion_date < {_RUN})) AS pending_keys""",
 }
 ORACLE_SQL["latest_per_key_rank"] = ORACLE_SQL["latest_per_key"]
+
+# -- normalisers: payload forms predicted from key columns --------------------
+_DETAIL_PAYLOADS = """
+p AS (
+  SELECT l_partkey AS appid, l_orderkey % 50 AS k,
+         l_linenumber = 7 AND l_returnflag = 'A' AS fetch_err,
+         l_returnflag <> 'R' AS ok_flag, l_linenumber, p_name, p_type, p_retailprice
+  FROM lineitem
+  JOIN part ON p_partkey = l_partkey
+  JOIN orders ON o_orderkey = l_orderkey
+),
+c AS (
+  SELECT *,
+    CASE WHEN fetch_err THEN 'HTTP 503'
+         WHEN k IN (1, 2) THEN 'payload is not a JSON object'
+         WHEN k = 7 THEN 'app block is not a JSON object'
+         WHEN k IN (3, 4) THEN 'data is not a JSON object' END AS error,
+    NOT fetch_err AND (k = 6 OR (k NOT IN (1, 2, 3, 4, 5, 6, 7) AND ok_flag)) AS success,
+    NOT fetch_err AND k NOT IN (1, 2, 3, 4, 5, 6, 7) AND ok_flag AS with_data
+  FROM p
+)"""
+
+_REVIEW_PAYLOADS = """
+o AS (
+  SELECT o_custkey AS appid, o_orderkey, o_orderpriority,
+         CAST(floor(o_totalprice) AS BIGINT) % 40 AS total,
+         o_orderkey % 31 = 0 AS fetch_err,
+         o_orderkey % 37 = 1 AS null_payload,
+         o_orderstatus <> 'F' AND o_orderkey % 7 <> 4 AS ok0,
+         o_orderkey % 41 = 2 AS qs_null,
+         o_orderkey % 43 = 3 AS qs_absent
+  FROM orders
+),
+c AS (
+  SELECT *,
+    CASE WHEN fetch_err THEN 'HTTP 429'
+         WHEN null_payload THEN 'payload is not a JSON object'
+         WHEN ok0 AND qs_null THEN 'query_summary is not a JSON object' END AS error
+  FROM o
+),
+d AS (
+  SELECT *, error IS NULL AND ok0 AS success,
+         error IS NULL AND ok0 AND NOT qs_null AND NOT qs_absent AS with_qs
+  FROM c
+)"""
+
+ORACLE_SQL.update({
+    "ingest_details": _with(_DETAIL_PAYLOADS) + f"""
+SELECT appid, DATE '{AS_OF}' AS ingestion_date, success,
+  CASE WHEN with_data THEN 'game' END AS type,
+  CASE WHEN with_data THEN p_name END AS name,
+  CASE WHEN with_data THEN CAST(l_linenumber = 1 AS VARCHAR) END AS is_free,
+  CASE WHEN with_data THEN CAST(CAST(round(p_retailprice * 100) AS BIGINT)
+                                - 100 * l_linenumber AS VARCHAR) END AS price_final,
+  CASE WHEN with_data AND p_type = 'ECONOMY' THEN 'Indie' END AS genre3,
+  error,
+  CASE WHEN error IS NULL AND NOT success AND k <> 5 THEN 'false' END AS refused
+FROM c""",
+    "failed_details": _with(_DETAIL_PAYLOADS) + """
+SELECT appid FROM c WHERE error IS NOT NULL""",
+    "ingest_reviews": _with(_REVIEW_PAYLOADS) + """
+SELECT appid, success,
+  CASE WHEN with_qs THEN total END AS total_reviews,
+  CASE WHEN with_qs THEN o_orderkey % (total + 1) END AS good_reviews,
+  CASE WHEN with_qs THEN total - o_orderkey % (total + 1) END AS bad_reviews,
+  CASE WHEN with_qs THEN o_orderkey % 10 END AS review_score,
+  CASE WHEN with_qs THEN o_orderpriority END AS review_score_desc,
+  CASE WHEN with_qs THEN least(total, 20) END AS num_reviews_returned,
+  error
+FROM d""",
+    "catalog_from_pages": f"""
+SELECT p_partkey AS appid, p_name AS name,
+       CAST(p_size AS BIGINT) * 1000 AS last_modified,
+       p_partkey % 13 AS price_change_number,
+       DATE '{AS_OF}' AS partition_date,
+       'steam_istoreservice_getapplist_v1' AS source
+FROM part""",
+    "load_day_reviews": _with(_REVIEWS) + """
+SELECT appid, ingestion_date, success, total_reviews, good_reviews, review_score_desc,
+       CAST(NULL AS VARCHAR) AS name
+FROM reviews""",
+    "load_day_catalog": _with(_CATALOG) + """
+SELECT appid, name, partition_date FROM catalog""",
+})

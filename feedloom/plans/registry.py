@@ -17,7 +17,9 @@ from ..operators.latest import latest_per_key
 from ..schemas import APPDETAILS, CATALOG, REVIEWS
 from ..sources.derived import AS_OF, PENDING_RUN_DAY
 from . import incremental, marts, staging
-from .fixtures import pending_root, raw_feed
+from ..sources.feeds import load_feed, feed_path, read_catalog, read_failed
+from ..sources.tables import raw
+from .fixtures import ingest_root, loaded_root, pending_root, raw_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +131,60 @@ def q_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.run_counts(spark, root, APPDETAILS, PENDING_RUN_DAY)
 
 
+# -- normalisers and sinks --------------------------------------------------
+def _json_text(col: str, path: str) -> Column:
+    return F.get_json_object(F.col(col), path)
+
+
+def q_ingest_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details payloads → feed file → read back (every payload form)."""
+    root = ingest_root(spark, sf_dir)
+    feed = load_feed(spark, feed_path(root, APPDETAILS, AS_OF), APPDETAILS)
+    return feed.select(
+        "appid", "ingestion_date", "success", "type", "name",
+        _json_text("raw", "$.is_free").alias("is_free"),
+        _json_text("raw", "$.price_overview.final").alias("price_final"),
+        _json_text("raw", "$.genres[2].description").alias("genre3"),
+        _json_text("error_payload", "$.error").alias("error"),
+        _json_text("error_payload", "$.success").alias("refused"))
+
+
+def q_failed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the details rows that failed with an exception."""
+    return read_failed(spark, ingest_root(spark, sf_dir), APPDETAILS, AS_OF)
+
+
+def q_ingest_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews payloads → feed file → read back (every payload form)."""
+    root = ingest_root(spark, sf_dir)
+    feed = load_feed(spark, feed_path(root, REVIEWS, AS_OF), REVIEWS)
+    return feed.select(
+        "appid", "success", "total_reviews", "good_reviews", "bad_reviews",
+        "review_score", "review_score_desc", "num_reviews_returned",
+        _json_text("error_payload", "$.error").alias("error"))
+
+
+def q_catalog_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App-list pages → catalog file → read back."""
+    cat = read_catalog(spark, ingest_root(spark, sf_dir), AS_OF)
+    return cat.select("appid", "name", "last_modified", "price_change_number",
+                      "partition_date", "source")
+
+
+def q_load_day_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole reviews feed loaded into its day-partitioned raw table."""
+    root = loaded_root(spark, sf_dir, REVIEWS)
+    return raw(spark, root, REVIEWS).select(
+        "appid", "ingestion_date", "success", "total_reviews", "good_reviews",
+        "review_score_desc", "name")
+
+
+def q_load_day_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole catalog feed loaded into its day-partitioned raw table."""
+    root = loaded_root(spark, sf_dir, CATALOG)
+    return raw(spark, root, CATALOG).select("appid", "name", "partition_date")
+
+
 QUERIES: dict[str, Query] = {
     "latest_per_key": q_latest_per_key,
     "latest_per_key_rank": q_latest_per_key_rank,
@@ -144,4 +200,8 @@ QUERIES: dict[str, Query] = {
     "pending_reviews": q_pending_reviews,
     "limit_pending": q_limit_pending,
     "run_counts": q_run_counts,
+    "ingest_details": q_ingest_details,
+    "failed_details": q_failed_details,
+    "ingest_reviews": q_ingest_reviews,
+    "catalog_from_pages": q_catalog_from_pages,
 }

@@ -42,11 +42,9 @@ def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(od, li.l_orderkey == od.o_orderkey))
 
 
-def details_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """App-details feed rows; ``raw`` / ``error_payload`` are nested structs."""
-    j = detail_lines(spark, sf_dir)
+def _details_raw() -> Column:
+    """The app-details object of one line (nested struct, fixed recipe)."""
     ln = F.col("l_linenumber")
-    success = F.col("l_returnflag") != F.lit("R")
     initial = F.round(F.col("p_retailprice") * 100).cast("bigint")
     release_text = (F.when(ln == 2, F.lit("Q1 1999"))
                     .when(ln == 3, F.lit("Coming soon"))
@@ -75,7 +73,7 @@ def details_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     publishers = (F.when(ln % 2 == 0, F.array("p_brand"))
                   .otherwise(F.array(F.concat(F.lit("Supplier "),
                                               F.col("l_suppkey").cast("string")))))
-    raw = F.struct(
+    return F.struct(
         F.col("l_partkey").alias("steam_appid"),
         F.lit("game").alias("type"),
         F.col("p_name").alias("name"),
@@ -94,6 +92,12 @@ def details_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null("string").alias("metacritic"),
         _null("string").alias("content_descriptors"),
     )
+
+
+def details_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App-details feed rows; ``raw`` / ``error_payload`` are nested structs."""
+    j = detail_lines(spark, sf_dir)
+    success = F.col("l_returnflag") != F.lit("R")
     return j.select(
         F.lit(INGESTED_AT).alias("ingested_at"),
         F.col("l_shipdate").cast("date").alias("ingestion_date"),
@@ -102,7 +106,7 @@ def details_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         success.alias("success"),
         F.when(success, F.lit("game")).alias("type"),
         F.when(success, F.col("p_name")).alias("name"),
-        F.when(success, raw).alias("raw"),
+        F.when(success, _details_raw()).alias("raw"),
         F.when(~success, F.struct(F.lit(False).alias("success")))
         .alias("error_payload"),
     )
@@ -157,3 +161,111 @@ def catalog_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("l_partkey").alias("appid"),
                  F.col("p_name").alias("name")).alias("raw"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Landed payload tables (inputs of the normalisers).  Every payload form a
+# fetch can return is derived from key columns, so the oracle can predict
+# the shaped row of each.
+# ---------------------------------------------------------------------------
+FETCH_ERROR_DETAILS = "HTTP 503"
+FETCH_ERROR_REVIEWS = "HTTP 429"
+
+
+def details_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(appid, payload, error): one app-details response per lineitem.
+
+    form by l_orderkey % 50: 1 → ``null``; 2 → ``[]``; 3 → data null;
+    4 → data ``[]``; 5 → the key is absent; 6 → success without data;
+    7 → the app block is null; otherwise success (not for returnflag R, which
+    is refused).  Lines 7 with returnflag A fail to fetch.
+    """
+    j = detail_lines(spark, sf_dir)
+    key = F.col("l_partkey").cast("string")
+    k = F.col("l_orderkey") % 50
+    raw = _details_raw()
+    ok = F.col("l_returnflag") != F.lit("R")
+
+    def wrap(block: Column) -> Column:
+        return F.concat(F.lit('{"'), key, F.lit('": '), block, F.lit("}"))
+
+    normal = F.when(ok, wrap(F.concat(F.lit('{"success": true, "data": '), F.to_json(raw),
+                                      F.lit("}")))) \
+        .otherwise(wrap(F.lit('{"success": false}')))
+    payload = (F.when(k == 1, F.lit("null"))
+               .when(k == 2, F.lit("[]"))
+               .when(k == 3, wrap(F.lit('{"success": true, "data": null}')))
+               .when(k == 4, wrap(F.lit('{"success": true, "data": []}')))
+               .when(k == 5, F.concat(F.lit('{"'), (F.col("l_partkey") + 1000000)
+                                      .cast("string"),
+                                      F.lit('": {"success": true, "data": {}}}')))
+               .when(k == 6, wrap(F.lit('{"success": true}')))
+               .when(k == 7, wrap(F.lit("null")))
+               .otherwise(normal))
+    fetch_error = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A")
+    return j.select(
+        F.col("l_partkey").alias("appid"),
+        F.when(~fetch_error, payload).alias("payload"),
+        F.when(fetch_error, F.lit(FETCH_ERROR_DETAILS)).alias("error"))
+
+
+def reviews_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(appid, payload, error): one reviews response per order.
+
+    ``success`` is 2 for status F, else by o_orderkey % 7: 3 → true,
+    4 → "1" (a string), 5 → 1.0, other → 1.  query_summary is null when
+    o_orderkey % 41 = 2, absent when % 43 = 3.  % 37 = 1 → payload ``null``;
+    % 31 = 0 → fetch error.
+    """
+    o = _table(spark, sf_dir, "orders")
+    total = F.floor("o_totalprice").cast("bigint") % 40
+    good = F.col("o_orderkey") % (total + 1)
+    summary = F.struct(
+        F.least(total, F.lit(20)).alias("num_reviews"),
+        (F.col("o_orderkey") % 10).alias("review_score"),
+        F.col("o_orderpriority").alias("review_score_desc"),
+        good.alias("total_positive"),
+        (total - good).alias("total_negative"),
+        total.alias("total_reviews"),
+    )
+    r7 = F.col("o_orderkey") % 7
+    success = (F.when(F.col("o_orderstatus") == "F", F.lit("2"))
+               .when(r7 == 3, F.lit("true"))
+               .when(r7 == 4, F.lit('"1"'))
+               .when(r7 == 5, F.lit("1.0"))
+               .otherwise(F.lit("1")))
+    qs = (F.when(F.col("o_orderkey") % 41 == 2, F.lit(', "query_summary": null'))
+          .when(F.col("o_orderkey") % 43 == 3, F.lit(""))
+          .otherwise(F.concat(F.lit(', "query_summary": '), F.to_json(summary))))
+    payload = (F.when(F.col("o_orderkey") % 37 == 1, F.lit("null"))
+               .otherwise(F.concat(F.lit('{"success": '), success, qs, F.lit("}"))))
+    fetch_error = F.col("o_orderkey") % 31 == 0
+    return o.select(
+        F.col("o_custkey").alias("appid"),
+        F.when(~fetch_error, payload).alias("payload"),
+        F.when(fetch_error, F.lit(FETCH_ERROR_REVIEWS)).alias("error"))
+
+
+CATALOG_PAGE_SIZE = 500
+
+
+def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_no, payload): app-list pages of at most 500 parts each, plus one
+    page per region without an ``apps`` list (yields no rows)."""
+    p = _table(spark, sf_dir, "part")
+    app = F.struct(
+        F.col("p_partkey").alias("appid"),
+        F.col("p_name").alias("name"),
+        (F.col("p_size").cast("bigint") * 1000).alias("last_modified"),
+        (F.col("p_partkey") % 13).alias("price_change_number"))
+    page_no = (F.col("p_partkey") / CATALOG_PAGE_SIZE).cast("int")
+    pages = (p.select(page_no.alias("page_no"), app.alias("app"))
+             .groupBy("page_no")
+             .agg(F.array_sort(F.collect_list("app")).alias("apps")))
+    full = pages.select("page_no", F.to_json(F.struct(F.struct(
+        "apps", F.lit(True).alias("have_more_results")).alias("response")))
+        .alias("payload"))
+    r = _table(spark, sf_dir, "region")
+    empty = r.select((F.lit(1000000) + F.col("r_regionkey")).cast("int").alias("page_no"),
+                     F.lit('{"response": {"have_more_results": false}}').alias("payload"))
+    return full.unionByName(empty)

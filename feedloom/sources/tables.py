@@ -1,72 +1,85 @@
-"""Day-partitioned raw tables, idempotent day loads and model materialisation."""
+"""Day-partitioned raw tables, idempotent day loads and model materialisation.
+
+Raw tables are parquet folders partitioned by their day column
+(``<root>/<feed>/<day_col>=YYYY-MM-DD/``).  They are addressed by path, so a
+load touches only the folders of the days it writes and no metastore has to
+track thousands of day partitions; ``register_views`` exposes them to SQL.
+"""
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import DATE_COLUMN, FEEDS, RAW_DDL, columns_of
+from ..schemas import DATE_COLUMN, FEEDS, RAW_DDL, columns_of, struct_of
 
 
-def ensure_tables(spark: SparkSession, db: str = "raw_steam",
-                  location: str | None = None) -> list[str]:
-    """Create the database and the three raw tables when absent.
+def table_path(root: str, feed: str) -> str:
+    return f"{root.rstrip('/')}/{feed}"
 
-    Each table is partitioned by its day column; with ``location`` the data
-    lives under ``<location>/<feed>`` and existing day folders are picked up.
-    """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    names = []
-    for feed in FEEDS:
-        name = f"{db}.{feed}"
-        loc = f" LOCATION '{location.rstrip('/')}/{feed}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({RAW_DDL[feed]}) USING parquet "
-            f"PARTITIONED BY ({DATE_COLUMN[feed]}){loc}")
-        names.append(name)
-    return names
 
+def day_path(root: str, feed: str, day: date | str) -> str:
+    return f"{table_path(root, feed)}/{DATE_COLUMN[feed]}={day}"
 
-def raw(spark: SparkSession, name: str, db: str = "raw_steam") -> DataFrame:
-    """A raw source table by name."""
-    return spark.table(f"{db}.{name}")
+
+def raw(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """A raw table: explicit schema, day column from the folder names.
+
+    Filters on the day column prune folders (``PartitionFilters``).
+    """
+    path = table_path(root, feed)
+    try:
+        return (spark.read.schema(struct_of(RAW_DDL[feed])).option("basePath", path)
+                .parquet(path))
+    except AnalysisException:
+        return spark.createDataFrame([], struct_of(RAW_DDL[feed]))
 
 
-def _table_order(spark: SparkSession, table: str) -> list[str]:
-    return spark.table(table).columns
+def ensure_tables(spark: SparkSession, root: str) -> list[str]:
+    """Create each raw table folder (empty, with its schema) when absent."""
+    paths = []
+    for feed in FEEDS:
+        path = table_path(root, feed)
+        try:
+            spark.read.parquet(path)
+        except AnalysisException:
+            empty = spark.createDataFrame([], struct_of(RAW_DDL[feed]))
+            empty.write.mode("append").partitionBy(DATE_COLUMN[feed]).parquet(path)
+        paths.append(path)
+    return paths
+
+
+def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Temp views ``<prefix><feed>`` over the raw tables, for SQL users."""
+    names = []
+    for feed in FEEDS:
+        raw(spark, root, feed).createOrReplaceTempView(prefix + feed)
+        names.append(prefix + feed)
+    return names
 
 
-def replace_day(spark: SparkSession, df: DataFrame, table: str, date_col: str,
-                day: date | str) -> None:
-    """Idempotent day load: the day's partition is replaced by the day's rows.
+def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
+    """Idempotent day load: the day's folder is replaced by the day's rows.
 
-    A static-partition ``INSERT OVERWRITE`` clears the day also when the new
-    feed has no row of it (a dynamic overwrite would keep the old rows).
-    Rows of other days are appended without clearing those days.  Rows are
-    sorted by appid within each file (clustering: tight min/max per file).
+    The day is overwritten also when the feed has no row of it (it is then
+    emptied).  Rows dated another day are appended to their days without
+    clearing them; they are range-partitioned on (day, appid) so each task
+    writes few folders and no day lands in one task.  Files are sorted by
+    appid (clustering: tight min/max statistics per file).  Delete and
+    append are two jobs, not one transaction.
     """
-    order = _table_order(spark, table)
-    data_cols = [c for c in order if c != date_col]
+    col = DATE_COLUMN[feed]
+    data_cols = [c for c in columns_of(RAW_DDL[feed]) if c != col]
     d = F.lit(str(day)).cast("date")
-    today = df.filter(F.col(date_col) == d).select(*data_cols).sortWithinPartitions("appid")
-    view = f"__day_load_{uuid.uuid4().hex[:12]}"
-    today.createOrReplaceTempView(view)
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({date_col} = DATE'{day}') "
-                  f"SELECT {', '.join(data_cols)} FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
-    other = df.filter(F.col(date_col).isNull() | (F.col(date_col) != d))
-    other.select(*order).sortWithinPartitions(date_col, "appid").write.insertInto(table)
-
-
-def load_day_into(spark: SparkSession, df: DataFrame, db: str, feed: str,
-                  day: date | str) -> None:
-    """Replace one feed's day in its raw table (delete, then append)."""
-    replace_day(spark, df, f"{db}.{feed}", DATE_COLUMN[feed], day)
+    today = df.filter(F.col(col) == d).select(*data_cols).sortWithinPartitions("appid")
+    today.write.mode("overwrite").parquet(day_path(root, feed, day))
+    other = df.filter(F.col(col).isNull() | (F.col(col) != d)).select(
+        *columns_of(RAW_DDL[feed]))
+    (other.repartitionByRange(col, "appid").sortWithinPartitions(col, "appid")
+     .write.mode("append").partitionBy(col).parquet(table_path(root, feed)))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -76,12 +89,8 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def as_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Marts are rebuilt in full on each run."""
+    """Marts are rebuilt in full on each run (catalog table, optional path)."""
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
-
-
-def raw_columns(feed: str) -> list[str]:
-    return columns_of(RAW_DDL[feed])
