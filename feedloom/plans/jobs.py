@@ -123,7 +123,7 @@ def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
                          "mart_steam_categories", "mart_steam_genres",
                          "mart_steam_details_reviews"}
     if len(needs_ad) > 1:
-        stg_ad = stg_ad.checkpoint(eager=True)
+        stg_ad = staging.materialize(stg_ad)
     as_view(stg_ad, "stg_steam_appdetails")
     stg_rv = as_view(staging.stg_reviews(raw(spark, raw_root, REVIEWS)),
                      "stg_steam_reviews")

@@ -9,6 +9,7 @@ from ..functions.json_fields import (as_structs, cents_to_price, json_scalar,
                                      parse_details_raw, to_bool)
 from ..operators.filters import only_success
 from ..operators.latest import latest_per_key
+from ..session import checkpoint_root
 
 REVIEW_COLUMNS = ("appid", "total_reviews", "good_reviews", "bad_reviews",
                   "review_score", "review_score_desc")
@@ -47,6 +48,18 @@ def stg_appdetails(raw: DataFrame, method: str = "join") -> DataFrame:
     ).distinct()
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a model once to the shared checkpoint folder and read it back.
+
+    ``stg_appdetails`` holds all JSON parsing; a mart filter on a parsed
+    column (release date) would otherwise be pushed below the latest-day join
+    and parse ``raw`` for every historic row, several times.  The written
+    copy is a plan boundary, so parsing happens once per latest row.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stg_reviews(raw: DataFrame, method: str = "join") -> DataFrame:
     """Review metrics of each app's latest day, failed rows included (distinct).
 

@@ -1,0 +1,10 @@
+"""Streaming entry points.
+
+The reference pipeline is batch only (no watermark, window or state); its
+incremental behaviour is key skipping plus idempotent day replacement.  The
+one streaming piece here is a file-arrival trigger for the day load.
+"""
+
+from .day_loader import landed_days, start_day_loader
+
+__all__ = ["landed_days", "start_day_loader"]

@@ -1,0 +1,58 @@
+"""File-arrival trigger for the day load.
+
+The batch job loads one named day (``plans.jobs.load_day``).  This variant
+lets Structured Streaming find the day files that landed since the last run:
+the file source remembers processed files in its checkpoint, and each
+micro-batch rebuilds exactly the days whose files it saw, from the day's
+whole file, with the same idempotent ``replace_day``.  Run it with
+``availableNow`` after each landing (as a scheduler would run the batch
+load), or continuously with a processing-time trigger.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..schemas import RAW_DDL, struct_of
+from ..session import checkpoint_root
+from ..sources.feeds import FEED_DAY, feed_glob, feed_path, load_feed
+from ..sources.feeds import _day_of_file  # noqa: PLC2701 - shared file-name rule
+from ..sources.tables import ensure_tables, replace_day
+
+
+def landed_days(spark: SparkSession, lake_root: str, feed: str) -> DataFrame:
+    """Stream of (feed_day) for every newly landed line of ``feed``."""
+    lines = (spark.readStream.schema(struct_of(RAW_DDL[feed]))
+             .option("mode", "FAILFAST").json(feed_glob(lake_root, feed)))
+    return lines.select(_day_of_file(feed, F.col("_metadata.file_path")).alias(FEED_DAY))
+
+
+def start_day_loader(spark: SparkSession, lake_root: str, raw_root: str, feed: str,
+                     checkpoint: str | None = None,
+                     available_now: bool = True,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Start loading newly landed day files of ``feed`` into its raw table.
+
+    Each micro-batch collects the distinct landed days (a handful of dates,
+    never rows) and replaces each of those days from its whole day file.
+    """
+    ensure_tables(spark, raw_root)
+    if checkpoint is None:
+        checkpoint = f"{checkpoint_root(spark).rstrip('/')}/feedloom-stream-{feed}"
+
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        days = sorted(r[FEED_DAY] for r in batch.select(FEED_DAY).distinct().collect()
+                      if r[FEED_DAY])
+        for day in days:
+            replace_day(load_feed(batch.sparkSession, feed_path(lake_root, feed, day), feed),
+                        raw_root, feed, day)
+
+    w = (landed_days(spark, lake_root, feed).writeStream
+         .foreachBatch(load_batch).option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()

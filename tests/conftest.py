@@ -1,0 +1,28 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from feedloom.session import DEFAULT_CONF, checkpoint_root
+
+    b = SparkSession.builder.master("local[*]").appName("feedloom-tests")
+    b = b.config("spark.sql.shuffle.partitions", "8")
+    for k, v in DEFAULT_CONF.items():
+        b = b.config(k, v)
+    s = b.getOrCreate()
+    s.sparkContext.setLogLevel("ERROR")
+    checkpoint_root(s)
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp(tmp_path):
+    return str(tmp_path)
