@@ -2,8 +2,9 @@
 
 Input tables hold one payload text per fetched page / key, plus the fetch
 error when the request itself failed.  Everything is JVM-side: payloads are
-parsed into VARIANT, sub-objects pass through untouched, and each payload
-form is classified by its variant type instead of by catching exceptions.
+parsed into VARIANT once, sub-objects pass through untouched into the
+written lines, and each payload form is classified by a cheap object test
+instead of by catching exceptions.
 
 A row becomes a *failure row* (and its key goes to the failed list) exactly
 where a per-row parser would raise: fetch error, payload not an object, app
@@ -18,7 +19,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json_fields import to_json_keep_nulls
 from ..schemas import (REVIEW_SUMMARY_FIELDS, SOURCE_APPDETAILS, SOURCE_CATALOG,
                        SOURCE_REVIEWS, TRIMMED_DETAIL_KEYS, columns_of, FILE_DDL,
                        APPDETAILS, REVIEWS)
@@ -32,14 +32,10 @@ ERR_DATA = "data is not a JSON object"
 ERR_SUMMARY = "query_summary is not a JSON object"
 
 
-def variant_kind(v: Column) -> Column:
-    """'object' | 'array' | 'null' | 'scalar'; NULL when the value is absent."""
-    t = F.schema_of_variant(v)
-    return (F.when(v.isNull(), F.lit(None))
-            .when(F.is_variant_null(v), F.lit("null"))
-            .when(t.startswith("OBJECT"), F.lit("object"))
-            .when(t.startswith("ARRAY"), F.lit("array"))
-            .otherwise(F.lit("scalar")))
+def is_object(v: Column) -> Column:
+    """True when the variant is a JSON object (cheap: no walk of the value);
+    false for arrays, scalars, JSON null and absent values."""
+    return F.try_variant_get(v, "$", "struct<`__probe`: int>").isNotNull()
 
 
 def _day(day: date | str) -> Column:
@@ -53,7 +49,11 @@ def _stamp(ingested_at: str | None) -> Column:
 
 
 def _error_json(text: Column) -> Column:
-    return F.to_json(F.struct(text.alias("error")))
+    return F.to_variant_object(F.struct(text.alias("error")))
+
+
+def _empty_object() -> Column:
+    return F.parse_json(F.lit("{}"))
 
 
 # --------------------------------------------------------------------------
@@ -87,7 +87,7 @@ def shape_catalog(apps: DataFrame, day: date | str, app: str = "app") -> DataFra
         F.try_variant_get(a, "$.last_modified", "bigint").alias("last_modified"),
         F.try_variant_get(a, "$.price_change_number", "bigint")
         .alias("price_change_number"),
-        F.to_json(a).alias("raw"),
+        a.alias("raw"),
         *keep,
     )
 
@@ -96,10 +96,10 @@ def shape_catalog(apps: DataFrame, day: date | str, app: str = "app") -> DataFra
 # App details (P2 + P3 + P5)
 # --------------------------------------------------------------------------
 def trim_details(data: Column) -> Column:
-    """The 15 kept keys of a details object as JSON text; absent keys → null,
-    nested values unchanged."""
-    return to_json_keep_nulls(F.struct(*[
-        F.variant_get(data, f"$.{k}", "variant").alias(k) for k in TRIMMED_DETAIL_KEYS]))
+    """The 15 kept keys of a details object, in order; absent keys → null,
+    nested values unchanged (a struct of variants, written as one object)."""
+    return F.struct(*[
+        F.variant_get(data, f"$.{k}", "variant").alias(k) for k in TRIMMED_DETAIL_KEYS])
 
 
 def shape_details(payloads: DataFrame, day: date | str,
@@ -112,20 +112,19 @@ def shape_details(payloads: DataFrame, day: date | str,
         F.map_contains_key(m, key).alias("has_key"),
         m[key].alias("block"))
     block = F.col("block")
-    block_kind = variant_kind(block)
     success = F.coalesce(F.try_variant_get(block, "$.success", "boolean"), F.lit(False))
     data = F.variant_get(block, "$.data", "variant")
-    data_kind = variant_kind(data)
     staged = staged.select(
         "appid", "error", "m", "has_key", "block",
-        block_kind.alias("block_kind"),
-        F.when(block_kind == "object", success).otherwise(F.lit(False)).alias("ok"),
-        data.alias("data"), data_kind.alias("data_kind"))
+        is_object(block).alias("block_obj"),
+        data.alias("data"), is_object(data).alias("data_obj"))
+    staged = staged.withColumn(
+        "ok", F.col("block_obj") & success)
     err = (F.when(F.col("error").isNotNull(), F.col("error"))
            .when(F.col("m").isNull(), F.lit(ERR_NOT_OBJECT))
-           .when(F.col("has_key") & (F.col("block_kind") != "object"), F.lit(ERR_BLOCK))
-           .when(F.col("ok") & F.col("data_kind").isNotNull()
-                 & (F.col("data_kind") != "object"), F.lit(ERR_DATA)))
+           .when(F.col("has_key") & ~F.col("block_obj"), F.lit(ERR_BLOCK))
+           .when(F.col("ok") & F.col("data").isNotNull() & ~F.col("data_obj"),
+                 F.lit(ERR_DATA)))
     staged = staged.withColumn("err", err)
     failed = F.col("err").isNotNull()
     ok = ~failed & F.col("ok")
@@ -140,7 +139,7 @@ def shape_details(payloads: DataFrame, day: date | str,
         F.when(ok, F.try_variant_get(d, "$.name", "string")).alias("name"),
         F.when(ok, trim_details(d)).alias("raw"),
         F.when(failed, _error_json(F.col("err")))
-        .when(~ok, F.coalesce(F.to_json(F.col("block")), F.lit("{}")))
+        .when(~ok, F.coalesce(F.col("block"), _empty_object()))
         .alias("error_payload"),
         failed.alias(FAILED),
     )
@@ -163,15 +162,14 @@ def shape_reviews(payloads: DataFrame, day: date | str,
     v = F.try_parse_json(F.col("payload"))
     staged = payloads.select("appid", "error", v.alias("v"))
     v = F.col("v")
-    kind = variant_kind(v)
-    ok0 = F.when(kind == "object", review_success(v)).otherwise(F.lit(False))
+    ok0 = F.when(is_object(v), review_success(v)).otherwise(F.lit(False))
     qs = F.variant_get(v, "$.query_summary", "variant")
-    staged = staged.select("appid", "error", "v", kind.alias("kind"), ok0.alias("ok0"),
-                           qs.alias("qs"), variant_kind(qs).alias("qs_kind"))
+    staged = staged.select("appid", "error", "v", is_object(v).alias("v_obj"),
+                           ok0.alias("ok0"), qs.alias("qs"), is_object(qs).alias("qs_obj"))
     err = (F.when(F.col("error").isNotNull(), F.col("error"))
-           .when(F.col("kind").isNull() | (F.col("kind") != "object"), F.lit(ERR_NOT_OBJECT))
-           .when(F.col("ok0") & F.col("qs_kind").isNotNull()
-                 & (F.col("qs_kind") != "object"), F.lit(ERR_SUMMARY)))
+           .when(~F.col("v_obj"), F.lit(ERR_NOT_OBJECT))
+           .when(F.col("ok0") & F.col("qs").isNotNull() & ~F.col("qs_obj"),
+                 F.lit(ERR_SUMMARY)))
     staged = staged.withColumn("err", err)
     failed = F.col("err").isNotNull()
     ok = ~failed & F.col("ok0")
@@ -187,9 +185,9 @@ def shape_reviews(payloads: DataFrame, day: date | str,
         "appid",
         ok.alias("success"),
         *metrics,
-        F.when(ok, F.coalesce(F.to_json(q), F.lit("{}"))).alias("raw"),
+        F.when(ok, F.coalesce(q, _empty_object())).alias("raw"),
         F.when(failed, _error_json(F.col("err")))
-        .when(~ok, F.to_json(F.col("v"))).alias("error_payload"),
+        .when(~ok, F.col("v")).alias("error_payload"),
         failed.alias(FAILED),
     )
 
