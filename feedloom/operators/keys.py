@@ -62,6 +62,18 @@ def processed_keys(history: DataFrame, key: str = "appid",
             .select(to_key(key).alias(key)).distinct())
 
 
+def union_processed(*key_sets: DataFrame, key: str = "appid") -> DataFrame:
+    """Historic ∪ today's processed keys (distinct).
+
+    ``incremental.processed`` gets the same set from one scan of every output
+    file; this is the explicit set operation for callers holding both sets.
+    """
+    out = key_sets[0].select(key)
+    for other in key_sets[1:]:
+        out = out.unionByName(other.select(key))
+    return out.distinct()
+
+
 def pending_keys(catalog_keys: DataFrame, processed: DataFrame,
                  key: str = "appid") -> DataFrame:
     """Catalog keys not yet processed; extra catalog columns (``pos``) kept.

@@ -61,6 +61,15 @@ def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str
     return names
 
 
+def conform(df: DataFrame, feed: str) -> DataFrame:
+    """The raw table's columns in order; absent columns become typed NULLs."""
+    have = set(df.columns)
+    return df.select(*[
+        F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in struct_of(RAW_DDL[feed]).fields])
+
+
 def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
     """Idempotent day load: the day's folder is replaced by the day's rows.
 
@@ -72,6 +81,7 @@ def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
     append are two jobs, not one transaction.
     """
     col = DATE_COLUMN[feed]
+    df = conform(df, feed)
     data_cols = [c for c in columns_of(RAW_DDL[feed]) if c != col]
     d = F.lit(str(day)).cast("date")
     today = df.filter(F.col(col) == d).select(*data_cols).sortWithinPartitions("appid")

@@ -66,3 +66,35 @@ def test_materialized_staging_parses_json_once(spark):
     stg = staging.materialize(staging.stg_appdetails(raw_feed(spark, SF, APPDETAILS)))
     plan = _plan(marts.mart_genres(stg, AS_OF))
     assert "from_json" not in plan
+
+
+def test_union_of_history_and_today_equals_one_scan(spark):
+    from feedloom.operators.keys import processed_keys, union_processed
+    from feedloom.sources.feeds import FEED_DAY, read_feed_history
+
+    root = pending_root(spark, SF)
+    hist = read_feed_history(spark, root, APPDETAILS)
+    day = "1995-05-31"
+    a = processed_keys(hist.filter(F.col(FEED_DAY) != day))
+    b = processed_keys(hist.filter(F.col(FEED_DAY) == day))
+    both = union_processed(a, b)
+    one = incremental.processed(spark, root, APPDETAILS)
+    assert both.exceptAll(one).count() == 0 and one.exceptAll(both).count() == 0
+
+
+def test_day_filter_prunes_raw_table_folders(spark, tmp):
+    from feedloom.operators.filters import on_day
+    from feedloom.sources.tables import raw, replace_day
+
+    df = spark.createDataFrame(
+        [("2024-01-01", 1), ("2024-01-02", 2)], "d string, appid long").selectExpr(
+        "cast(d as date) as ingestion_date", "'s' as source", "appid",
+        "true as success", "10L as total_reviews")
+    for day in ("2024-01-01", "2024-01-02"):
+        replace_day(df.filter(F.col("ingestion_date") == day).select(
+            "ingestion_date", "source", "appid", "success", "total_reviews"),
+            tmp, REVIEWS, day)
+    q = on_day(raw(spark, tmp, REVIEWS), "ingestion_date", "2024-01-02")
+    assert [r.appid for r in q.collect()] == [2]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_date" in plan
