@@ -98,3 +98,22 @@ def test_day_filter_prunes_raw_table_folders(spark, tmp):
     assert [r.appid for r in q.collect()] == [2]
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of all rows, all on its latest day: both forms
+    keep every tied row, and the join form never gathers the key's rows in a
+    single-partition exchange."""
+    n = 30000
+    base = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS appid",
+        "CASE WHEN id % 3 = 0 THEN date'2024-01-05' "
+        "ELSE date_add(date'2024-01-01', CAST(id % 4 AS INT)) END AS ingestion_date",
+        "CAST(id % 5 AS STRING) AS name")
+    a = latest_per_key(base, "appid", "ingestion_date", "join")
+    b = latest_per_key(base, "appid", "ingestion_date", "rank")
+    assert a.filter("appid = 7").count() == n // 3
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    stg = a.select("appid", "name").distinct()
+    assert stg.filter("appid = 7").count() == 5
+    assert "SinglePartition" not in _plan(a)
