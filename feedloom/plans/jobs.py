@@ -97,23 +97,28 @@ MODEL_ORDER = ("stg_steam_catalog", "stg_steam_appdetails", "stg_steam_reviews",
 
 def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
               select: list[str] | None = None, as_of: date | str | None = None,
-              location: str | None = None) -> dict[str, DataFrame]:
+              location: str | None = None,
+              buckets: int | None = None) -> dict[str, DataFrame]:
     """Staging models as views, marts as tables, in dependency order.
 
     ``stg_steam_appdetails`` carries all JSON parsing and feeds three marts,
     so it is checkpointed once (to the shared checkpoint folder) instead of
     being re-parsed per mart.  ``mart_steam_details_reviews`` reads the two
-    mart tables just written.
+    mart tables just written; with ``buckets`` those two are bucketed by appid
+    alike, so that join runs without a shuffle.
     """
     wanted = set(select or MODEL_ORDER)
     checkpoint_root(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {out_db}")
     built: dict[str, DataFrame] = {}
 
+    co_located = {"mart_steam_appdetails", "mart_steam_reviews"}
+
     def table(name: str, df: DataFrame) -> None:
         if name in wanted:
             path = f"{location.rstrip('/')}/{name}" if location else None
-            as_table(df, f"{out_db}.{name}", path)
+            as_table(df, f"{out_db}.{name}", path,
+                     buckets if name in co_located else None)
             built[name] = spark.table(f"{out_db}.{name}")
 
     stg_cat = as_view(staging.stg_catalog(raw(spark, raw_root, CATALOG)),

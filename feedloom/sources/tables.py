@@ -98,9 +98,16 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def as_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Marts are rebuilt in full on each run (catalog table, optional path)."""
+def as_table(df: DataFrame, name: str, path: str | None = None,
+             buckets: int | None = None, key: str = "appid") -> None:
+    """Marts are rebuilt in full on each run (catalog table, optional path).
+
+    With ``buckets`` the table is bucketed and sorted by ``key``: two tables
+    bucketed alike join on ``key`` without a shuffle on either side.
+    """
     w = df.write.mode("overwrite").format("parquet")
     if path:
         w = w.option("path", path)
+    if buckets:
+        w = w.bucketBy(buckets, key).sortBy(key)
     w.saveAsTable(name)

@@ -69,3 +69,23 @@ def test_stream_day_loader_loads_new_days_once(spark, tmp):
     q.awaitTermination()
     days = sorted(str(r.ingestion_date) for r in raw(spark, wh, "steam_reviews").collect())
     assert days == ["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-02"]
+
+
+def test_bucketed_marts_join_without_shuffle(spark, tmp):
+    src, lake, wh = (os.path.join(tmp, d) for d in ("local", "lake", "raw"))
+    _land(src)
+    publish_day(spark, src, lake, DAY)
+    load_day(spark, lake, DAY, wh)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = build_all(spark, wh, out_db="feedloom_bucketed", as_of="2024-06-30",
+                          location=os.path.join(tmp, "marts"), buckets=4)
+        from feedloom.plans import marts
+        j = marts.mart_details_reviews(built["mart_steam_appdetails"],
+                                       built["mart_steam_reviews"])
+        assert j.count() == 1
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
