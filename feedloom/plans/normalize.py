@@ -45,7 +45,10 @@ def _day(day: date | str) -> Column:
 def _stamp(ingested_at: str | None) -> Column:
     if ingested_at is not None:
         return F.lit(ingested_at)
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    # the run instant in UTC, ISO text (e.g. 2026-01-02T02:30:00.123456+00:00)
+    return F.concat(F.expr(
+        "date_format(convert_timezone('UTC', current_timestamp()), "
+        "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"), F.lit("+00:00"))
 
 
 def _error_json(text: Column) -> Column:

@@ -275,3 +275,15 @@ def test_history_excludes_day(spark, tmp):
     c = incremental.run_counts(spark, tmp, "steam_reviews", "2024-01-02").first()
     assert (c.catalog_keys, c.historic_processed, c.today_processed, c.pending_keys) == \
         (3, 1, 1, 1)
+
+
+def test_read_feed_day_missing_is_empty_and_stamp_is_utc(spark, tmp):
+    from feedloom.sources.feeds import read_feed_day
+
+    assert read_feed_day(spark, tmp, "steam_reviews", "2024-01-01").count() == 0
+    write_lines(feed_path(tmp, "steam_reviews", "2024-01-01"),
+                ['{"appid": 1, "success": true}', 'oops'])
+    assert read_feed_day(spark, tmp, "steam_reviews", "2024-01-01").count() == 1
+    stamp = shape_reviews(_payloads(spark, [(1, '{"success": 1}', None)]),
+                          "2024-01-01").first().ingested_at
+    assert stamp.endswith("+00:00") and stamp[10] == "T"
