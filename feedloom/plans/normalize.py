@@ -65,12 +65,14 @@ def _empty_object() -> Column:
 def catalog_from_pages(pages: DataFrame, day: date | str) -> DataFrame:
     """One catalog feed row per app over all pages (duplicates kept).
 
-    A page without ``response`` or ``apps`` yields no rows.  Rows carry
-    (page_no, index) so writers can keep the API order.
+    A page without ``response`` or ``apps`` yields no rows; a page that is
+    not JSON fails the job.  Rows are sorted by (page_no, index) so the file
+    keeps the API order.
     """
     parsed = pages.select(
         "page_no",
-        F.from_json("payload", "response struct<apps: array<variant>>")
+        F.from_json("payload", "response struct<apps: array<variant>>",
+                    {"mode": "FAILFAST"})
         .alias("p"))
     apps = parsed.select("page_no", F.posexplode(F.col("p.response.apps"))
                          .alias("idx", "app"))

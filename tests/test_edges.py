@@ -287,3 +287,19 @@ def test_read_feed_day_missing_is_empty_and_stamp_is_utc(spark, tmp):
     stamp = shape_reviews(_payloads(spark, [(1, '{"success": 1}', None)]),
                           "2024-01-01").first().ingested_at
     assert stamp.endswith("+00:00") and stamp[10] == "T"
+
+
+def test_catalog_pages_missing_apps_and_bad_page(spark, tmp):
+    from feedloom.plans.normalize import catalog_from_pages
+
+    pages = spark.createDataFrame(
+        [(1, '{"response": {"apps": [{"appid": 5, "name": "E"}, {"appid": 3}]}}'),
+         (2, '{"response": {}}'), (3, '{}'),
+         (0, '{"response": {"apps": [{"appid": 9, "name": "N", "last_modified": 7}]}}')],
+        "page_no int, payload string")
+    got = [(r.appid, r.name, r.last_modified) for r in
+           catalog_from_pages(pages, "2024-01-01").collect()]
+    assert got == [(9, "N", 7), (5, "E", None), (3, None, None)]
+    bad = spark.createDataFrame([(1, "not json")], "page_no int, payload string")
+    with pytest.raises(Exception):
+        catalog_from_pages(bad, "2024-01-01").collect()
