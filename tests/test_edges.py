@@ -303,3 +303,12 @@ def test_catalog_pages_missing_apps_and_bad_page(spark, tmp):
     bad = spark.createDataFrame([(1, "not json")], "page_no int, payload string")
     with pytest.raises(Exception):
         catalog_from_pages(bad, "2024-01-01").collect()
+
+
+def test_default_as_of_is_utc_today(spark):
+    from datetime import datetime, timezone
+
+    from feedloom.functions.flags import as_of_date
+
+    got = spark.range(1).select(as_of_date(None).alias("d")).first().d
+    assert got == datetime.now(timezone.utc).date()
