@@ -89,3 +89,19 @@ def test_bucketed_marts_join_without_shuffle(spark, tmp):
         assert "SortMergeJoin" in plan and "Exchange" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_cli_runs_the_daily_steps(spark, tmp):
+    from feedloom.__main__ import main
+
+    src, lake, wh = (os.path.join(tmp, d) for d in ("local", "lake", "raw"))
+    _land(src)
+    assert main(["publish", "--src", src, "--lake", lake, "--date", DAY]) == 0
+    assert main(["load", "--lake", lake, "--raw", wh, "--date", DAY]) == 0
+    assert main(["build", "--raw", wh, "--db", "feedloom_cli", "--as-of", "2024-06-30",
+                 "--select", "mart_steam_reviews",
+                 "--location", os.path.join(tmp, "marts")]) == 0
+    assert spark.table("feedloom_cli.mart_steam_reviews").count() == 2
+    out = os.path.join(tmp, "pending")
+    assert main(["pending", "--root", src, "--date", DAY, "--limit", "5", "--out", out]) == 0
+    assert sorted(r.appid for r in spark.read.parquet(out).collect()) == [2]
