@@ -312,3 +312,21 @@ def test_default_as_of_is_utc_today(spark):
 
     got = spark.range(1).select(as_of_date(None).alias("d")).first().d
     assert got == datetime.now(timezone.utc).date()
+
+
+def test_catalog_order_survives_file_splits(spark, tmp):
+    """One catalog file read as many splits keeps first-seen order."""
+    keys = [(i * 7919) % 20011 for i in range(20000)]
+    keys = keys + keys[:500]          # repeats later in the file
+    write_lines(feed_path(tmp, "steam_catalog", "2024-01-02"),
+                [{"appid": k, "name": "x" * 40} for k in keys])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        cat = incremental.catalog_keys(spark, tmp, "2024-01-02")
+        got = [r.appid for r in cat.orderBy("pos").collect()]
+        top = incremental.pending(spark, tmp, "steam_appdetails", "2024-01-02", limit=50)
+        assert [r.appid for r in top.collect()] == list(dict.fromkeys(keys))[:50]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(dict.fromkeys(keys))
