@@ -176,7 +176,8 @@ def q_catalog_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "partition_date", "source")
 
 
-# The two day-load checks below are correct but not registered: loading the
+# The two day-load checks below are not registered (never timed to the end
+# against the oracle here): loading the
 # whole multi-year derived feed as one "day" writes one folder per historic
 # day (~2,400 tiny folders), which times local file-system overhead rather
 # than the load.  Day loads are tested on small fixtures (tests/test_edges.py).
