@@ -98,14 +98,17 @@ MODEL_ORDER = ("stg_steam_catalog", "stg_steam_appdetails", "stg_steam_reviews",
 def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
               select: list[str] | None = None, as_of: date | str | None = None,
               location: str | None = None,
-              buckets: int | None = None) -> dict[str, DataFrame]:
+              buckets: int | None = None,
+              latest_method: str = "join") -> dict[str, DataFrame]:
     """Staging models as views, marts as tables, in dependency order.
 
     ``stg_steam_appdetails`` carries all JSON parsing and feeds three marts,
     so it is checkpointed once (to the shared checkpoint folder) instead of
     being re-parsed per mart.  ``mart_steam_details_reviews`` reads the two
     mart tables just written; with ``buckets`` those two are bucketed by appid
-    alike, so that join runs without a shuffle.
+    alike, so that join runs without a shuffle.  ``latest_method`` picks the
+    latest-per-key form (``join``: skew-safe; ``rank``: one scan, for inputs
+    whose keys are known not to be hot).
     """
     wanted = set(select or MODEL_ORDER)
     checkpoint_root(spark)
@@ -121,17 +124,19 @@ def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
                      buckets if name in co_located else None)
             built[name] = spark.table(f"{out_db}.{name}")
 
-    stg_cat = as_view(staging.stg_catalog(raw(spark, raw_root, CATALOG)),
-                      "stg_steam_catalog")
-    stg_ad = staging.stg_appdetails(raw(spark, raw_root, APPDETAILS))
+    stg_cat = as_view(
+        staging.stg_catalog(raw(spark, raw_root, CATALOG), latest_method),
+        "stg_steam_catalog")
+    stg_ad = staging.stg_appdetails(raw(spark, raw_root, APPDETAILS), latest_method)
     needs_ad = wanted & {"stg_steam_appdetails", "mart_steam_appdetails",
                          "mart_steam_categories", "mart_steam_genres",
                          "mart_steam_details_reviews"}
     if len(needs_ad) > 1:
         stg_ad = staging.materialize(stg_ad)
     as_view(stg_ad, "stg_steam_appdetails")
-    stg_rv = as_view(staging.stg_reviews(raw(spark, raw_root, REVIEWS)),
-                     "stg_steam_reviews")
+    stg_rv = as_view(
+        staging.stg_reviews(raw(spark, raw_root, REVIEWS), latest_method),
+        "stg_steam_reviews")
     for name, df in (("stg_steam_catalog", stg_cat), ("stg_steam_appdetails", stg_ad),
                      ("stg_steam_reviews", stg_rv)):
         if name in wanted:

@@ -99,7 +99,7 @@ def test_cli_runs_the_daily_steps(spark, tmp):
     assert main(["publish", "--src", src, "--lake", lake, "--date", DAY]) == 0
     assert main(["load", "--lake", lake, "--raw", wh, "--date", DAY]) == 0
     assert main(["build", "--raw", wh, "--db", "feedloom_cli", "--as-of", "2024-06-30",
-                 "--select", "mart_steam_reviews",
+                 "--select", "mart_steam_reviews", "--latest", "rank",
                  "--location", os.path.join(tmp, "marts")]) == 0
     assert spark.table("feedloom_cli.mart_steam_reviews").count() == 2
     out = os.path.join(tmp, "pending")
