@@ -37,8 +37,11 @@ REVIEW_SUMMARY_FIELDS = (
     ("num_reviews", "num_reviews_returned"),
 )
 
-# Release dates look like "Mar 5, 2020"; anything else is not a date.
+# Release dates look like "Mar 5, 2020"; a month-name pattern that parses
+# abbreviated names also takes full ones ("March 5, 2020"), hence the second
+# pattern.  Anything else is not a date.
 RELEASE_DATE_FORMAT = "MMM d, yyyy"
+RELEASE_DATE_FORMAT_FULL_MONTH = "MMMM d, yyyy"
 
 # Day partition column of each feed.
 DATE_COLUMN = {CATALOG: "partition_date", APPDETAILS: "ingestion_date",
@@ -112,7 +115,7 @@ REVIEWS_PAYLOADS_DDL = "appid bigint, payload string, error string"
 
 def struct_of(ddl: str) -> T.StructType:
     """StructType of a DDL string."""
-    return T._parse_datatype_string(ddl)  # noqa: SLF001 - public DDL parser
+    return T.StructType.fromDDL(ddl)
 
 
 def columns_of(ddl: str) -> list[str]:

@@ -119,13 +119,13 @@ def test_11_order_matters(spark, tmp):
 
 
 @pytest.mark.parametrize("text", ["Mar 5, 2020", "Mar 05, 2020", "mar 5, 2020",
-                                  " Mar  5, 2020 "])
+                                  " Mar  5, 2020 ", "March 5, 2020"])
 def test_12_release_dates_parse(spark, tmp, text):
     assert _mart_row(spark, tmp, date=text).cleaned_release_date == dt.date(2020, 3, 5)
 
 
 @pytest.mark.parametrize("text", ["Q1 2025", "2024", "5 Mar, 2020", "Feb 30, 2020", "",
-                                  "Coming soon", None])
+                                  "Coming soon", None, "Mar 5 2020", "Marc 5, 2020"])
 def test_13_bad_release_dates_filtered(spark, tmp, text):
     assert _mart_row(spark, tmp, date=text) is None
 
