@@ -38,7 +38,8 @@ def failed_path(root: str, feed: str, day: date | str) -> str:
     return f"{root.rstrip('/')}/{feed}_failed/{feed}_failed_{day}.txt"
 
 
-def _day_of_file(feed: str, path: Column | str) -> Column:
+def day_of_file(feed: str, path: Column | str) -> Column:
+    """The ``YYYY-MM-DD`` of a feed file path (empty text if none)."""
     path = F.col(path) if isinstance(path, str) else path
     return F.regexp_extract(path, rf"/{re.escape(feed)}_{_DAY_RE}\.jsonl(/|$)", 1)
 
@@ -95,7 +96,7 @@ def read_feed_history(spark: SparkSession, root: str, feed: str,
               .json(feed_glob(root, feed)))
     except AnalysisException:
         return _empty(spark, ddl).withColumn(FEED_DAY, F.lit(None).cast("string"))
-    df = df.withColumn(FEED_DAY, _day_of_file(feed, F.col("_metadata.file_path")))
+    df = df.withColumn(FEED_DAY, day_of_file(feed, F.col("_metadata.file_path")))
     if exclude_day is not None:
         df = df.filter(F.col(FEED_DAY) != F.lit(str(exclude_day)))
     return df

@@ -17,8 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import RAW_DDL, struct_of
 from ..session import checkpoint_root
-from ..sources.feeds import FEED_DAY, feed_glob, feed_path, load_feed
-from ..sources.feeds import _day_of_file  # noqa: PLC2701 - shared file-name rule
+from ..sources.feeds import FEED_DAY, day_of_file, feed_glob, feed_path, load_feed
 from ..sources.tables import ensure_tables, replace_day
 
 
@@ -26,7 +25,7 @@ def landed_days(spark: SparkSession, lake_root: str, feed: str) -> DataFrame:
     """Stream of (feed_day) for every newly landed line of ``feed``."""
     lines = (spark.readStream.schema(struct_of(RAW_DDL[feed]))
              .option("mode", "FAILFAST").json(feed_glob(lake_root, feed)))
-    return lines.select(_day_of_file(feed, F.col("_metadata.file_path")).alias(FEED_DAY))
+    return lines.select(day_of_file(feed, F.col("_metadata.file_path")).alias(FEED_DAY))
 
 
 def start_day_loader(spark: SparkSession, lake_root: str, raw_root: str, feed: str,
