@@ -330,3 +330,11 @@ def test_catalog_order_survives_file_splits(spark, tmp):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(dict.fromkeys(keys))
+
+
+def test_json_scalar_masks_only_whole_objects_and_arrays(spark):
+    from feedloom.functions.json_fields import json_scalar
+
+    rows = [("plain",), ("[TBA] soon",), ('{"a": 1}',), ("[1, 2]",), ("{broken",), (None,)]
+    df = spark.createDataFrame(rows, "t string").select(json_scalar(F.col("t")).alias("v"))
+    assert [r.v for r in df.collect()] == ["plain", "[TBA] soon", None, None, "{broken", None]
