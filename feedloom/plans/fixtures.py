@@ -20,7 +20,7 @@ from ..sources.derived import (AS_OF, PENDING_RUN_DAY, catalog_feed, details_fee
                                reviews_feed)
 from ..sources.feeds import feed_path, load_feed, write_feed_day
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 

@@ -176,11 +176,9 @@ def q_catalog_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "partition_date", "source")
 
 
-# The two day-load checks below are not registered (never timed to the end
-# against the oracle here): loading the
-# whole multi-year derived feed as one "day" writes one folder per historic
-# day (~2,400 tiny folders), which times local file-system overhead rather
-# than the load.  Day loads are tested on small fixtures (tests/test_edges.py).
+# Day load: each whole derived feed is landed as one day file, so the load
+# replaces that day and appends every other row to its own day folder (a
+# multi-year backfill, ~2,400 day folders).
 def q_load_day_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole reviews feed loaded into its day-partitioned raw table."""
     root = loaded_root(spark, sf_dir, REVIEWS)
@@ -214,4 +212,6 @@ QUERIES: dict[str, Query] = {
     "failed_details": q_failed_details,
     "ingest_reviews": q_ingest_reviews,
     "catalog_from_pages": q_catalog_from_pages,
+    "load_day_reviews": q_load_day_reviews,
+    "load_day_catalog": q_load_day_catalog,
 }

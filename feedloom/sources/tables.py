@@ -88,7 +88,10 @@ def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
     today.write.mode("overwrite").parquet(day_path(root, feed, day))
     other = df.filter(F.col(col).isNull() | (F.col(col) != d)).select(
         *columns_of(RAW_DDL[feed]))
-    (other.repartitionByRange(col, "appid").sortWithinPartitions(col, "appid")
+    # a fixed range count: AQE would merge small ranges into a few tasks that
+    # then write every day folder one after another
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (other.repartitionByRange(n, col, "appid").sortWithinPartitions(col, "appid")
      .write.mode("append").partitionBy(col).parquet(table_path(root, feed)))
 
 
