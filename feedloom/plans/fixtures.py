@@ -109,3 +109,16 @@ def loaded_root(spark: SparkSession, sf_dir: str, feed: str) -> str:
             load_day(spark, lake_root(spark, sf_dir), AS_OF, root, feeds=(feed,))
             _WRITTEN[k] = root
         return _WRITTEN[k]
+
+
+def published_root(spark: SparkSession, sf_dir: str) -> str:
+    """Lake folder the derived feeds of day ``AS_OF`` were published to."""
+    from .jobs import publish_day
+
+    k = _key(spark, sf_dir, "published")
+    with _LOCK:
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "published")
+            publish_day(spark, lake_root(spark, sf_dir), root, AS_OF)
+            _WRITTEN[k] = root
+        return _WRITTEN[k]

@@ -260,3 +260,4 @@ FROM reviews""",
     "load_day_catalog": _with(_CATALOG) + """
 SELECT appid, name, partition_date FROM catalog""",
 })
+ORACLE_SQL["publish_day_reviews"] = ORACLE_SQL["load_day_reviews"]

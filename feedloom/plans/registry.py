@@ -19,7 +19,7 @@ from ..sources.derived import AS_OF, PENDING_RUN_DAY
 from . import incremental, marts, staging
 from ..sources.feeds import load_feed, feed_path, read_catalog, read_failed
 from ..sources.tables import raw
-from .fixtures import ingest_root, loaded_root, pending_root, raw_feed
+from .fixtures import ingest_root, loaded_root, pending_root, published_root, raw_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +193,14 @@ def q_load_day_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, root, CATALOG).select("appid", "name", "partition_date")
 
 
+def q_publish_day_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day's feeds copied to the lake; the reviews copy read back."""
+    root = published_root(spark, sf_dir)
+    return load_feed(spark, feed_path(root, REVIEWS, AS_OF), REVIEWS).select(
+        "appid", "ingestion_date", "success", "total_reviews", "good_reviews",
+        "review_score_desc", "name")
+
+
 QUERIES: dict[str, Query] = {
     "latest_per_key": q_latest_per_key,
     "latest_per_key_rank": q_latest_per_key_rank,
@@ -214,4 +222,5 @@ QUERIES: dict[str, Query] = {
     "catalog_from_pages": q_catalog_from_pages,
     "load_day_reviews": q_load_day_reviews,
     "load_day_catalog": q_load_day_catalog,
+    "publish_day_reviews": q_publish_day_reviews,
 }
