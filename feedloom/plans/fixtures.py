@@ -98,16 +98,40 @@ def ingest_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def loaded_root(spark: SparkSession, sf_dir: str, feed: str) -> str:
-    """Raw tables root where one whole derived feed was loaded as day ``AS_OF``
-    (its rows of other days are appended to their own days)."""
+    """One raw-tables root per session and scale; each whole derived feed is
+    loaded into it once, as day ``AS_OF`` (its rows of other days are
+    appended to their own days)."""
     from .jobs import load_day
 
-    k = _key(spark, sf_dir, "loaded-" + feed)
     with _LOCK:
+        k_root = _key(spark, sf_dir, "raw-root")
+        if k_root not in _WRITTEN:
+            _WRITTEN[k_root] = scratch_dir(spark, "raw")
+        root = _WRITTEN[k_root]
+        k = _key(spark, sf_dir, "loaded-" + feed)
         if k not in _WRITTEN:
-            root = scratch_dir(spark, "raw")
             load_day(spark, lake_root(spark, sf_dir), AS_OF, root, feeds=(feed,))
             _WRITTEN[k] = root
+        return root
+
+
+def built_db(spark: SparkSession, sf_dir: str) -> str:
+    """Database with the details, reviews and details ⟕ reviews marts built by
+    ``build_all`` over the loaded raw tables."""
+    from ..schemas import FEEDS
+    from .jobs import build_all
+
+    with _LOCK:
+        k = _key(spark, sf_dir, "built")
+        if k not in _WRITTEN:
+            for feed in FEEDS:
+                root = loaded_root(spark, sf_dir, feed)
+            loc = scratch_dir(spark, "marts")
+            db = "feedloom_" + loc.rsplit("-", 1)[-1]
+            build_all(spark, root, out_db=db, as_of=AS_OF, location=loc,
+                      select=["mart_steam_appdetails", "mart_steam_reviews",
+                              "mart_steam_details_reviews"])
+            _WRITTEN[k] = db
         return _WRITTEN[k]
 
 

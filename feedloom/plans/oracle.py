@@ -261,3 +261,4 @@ FROM reviews""",
 SELECT appid, name, partition_date FROM catalog""",
 })
 ORACLE_SQL["publish_day_reviews"] = ORACLE_SQL["load_day_reviews"]
+ORACLE_SQL["build_all_details_reviews"] = ORACLE_SQL["mart_details_reviews"]

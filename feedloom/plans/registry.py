@@ -19,7 +19,8 @@ from ..sources.derived import AS_OF, PENDING_RUN_DAY
 from . import incremental, marts, staging
 from ..sources.feeds import load_feed, feed_path, read_catalog, read_failed
 from ..sources.tables import raw
-from .fixtures import ingest_root, loaded_root, pending_root, published_root, raw_feed
+from .fixtures import (built_db, ingest_root, loaded_root, pending_root, published_root,
+                       raw_feed)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,6 +202,14 @@ def q_publish_day_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_score_desc", "name")
 
 
+def q_build_all_details_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """build_all over the loaded day-partitioned raw tables; the written
+    details ⟕ reviews mart read back."""
+    m = spark.table(f"{built_db(spark, sf_dir)}.mart_steam_details_reviews")
+    return m.withColumn("developers", texts("developers")) \
+            .withColumn("publishers", texts("publishers"))
+
+
 QUERIES: dict[str, Query] = {
     "latest_per_key": q_latest_per_key,
     "latest_per_key_rank": q_latest_per_key_rank,
@@ -223,4 +232,5 @@ QUERIES: dict[str, Query] = {
     "load_day_reviews": q_load_day_reviews,
     "load_day_catalog": q_load_day_catalog,
     "publish_day_reviews": q_publish_day_reviews,
+    "build_all_details_reviews": q_build_all_details_reviews,
 }
