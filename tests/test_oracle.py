@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from feedloom.plans.oracle import ORACLE_SQL
+from feedloom.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -38,10 +40,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
