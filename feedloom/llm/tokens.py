@@ -5,12 +5,15 @@ False)`` gives, as little-endian unsigned 32-bit integers.  A byte-level BPE
 whose pre-tokenizer starts a new piece at a single space between two non-space
 characters encodes the chunks between such spaces independently of each other,
 so each distinct chunk is encoded once and remembered.  A text in which a
-space is next to other white space goes to the tokenizer whole.
+space is next to other white space goes to the tokenizer whole, and so does
+every text where the tokenizer is of another kind.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 from array import array
 from itertools import islice
@@ -43,6 +46,22 @@ def encoder(path: str) -> "Encoder":
     return _ENCODERS[path]
 
 
+#: Letters that every Unicode version and regular expression library agrees on,
+#: after an optional mark of a text's start; marks that stand alone after them.
+LETTERS = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ba]+\\Z")
+MARKS = (".", ",")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable
+    bytes for themselves, the others in order from U+0100 on."""
+    own = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    out = {b: chr(b) for b in own}
+    for k, b in enumerate(b for b in range(256) if b not in out):
+        out[b] = chr(256 + k)
+    return out
+
+
 def _packed(ids) -> bytes:
     a = array("I", ids)
     if sys.byteorder == "big":
@@ -60,17 +79,29 @@ class Encoder:
         # chunk -> ids of " chunk"; " chunk" -> ids of the chunk that starts a
         # text; False: the chunk touches other white space
         self.known: dict = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.letter = byte_letters()
+        self.space = self.letter[32]
+        self.marks = {m: _packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ("", "\n", *MARKS)}
+        rules = json.loads(self.tokenizer.to_str())
+        split = rules["pre_tokenizer"] or {}
+        self.parts = (rules["normalizer"] is None and rules["model"]["type"] == "BPE"
+                      and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+                      and not split["add_prefix_space"])
         self.bytes_of_id = np.array([len(self.tokenizer.id_to_token(i) or "")
                                      for i in range(self.tokenizer.get_vocab_size())])
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text (None: no ids), as uint32 bytes."""
         out: list[bytes] = []
-        for i in range(0, len(texts), 256):
-            out += self._some([t or "" for t in texts[i:i + 256]])
+        for i in range(0, len(texts), 512):
+            out += self._some([t or "" for t in texts[i:i + 512]])
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
+        if not self.parts:
+            return [_packed(e.ids) for e in
+                    self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > self.max_chunks:  # common chunks came early
             self.known = dict(islice(self.known.items(), self.max_chunks // 2))
         get = self.known.get
@@ -79,41 +110,64 @@ class Encoder:
             parts = t.split(" ")
             parts[0] = " " + parts[0]
             ids = list(map(get, parts))
-            gaps = [(k, parts[k]) for k, x in enumerate(ids) if x is None] if None in ids else ()
-            new.update((c, None) for _, c in gaps)
-            rows.append((ids, gaps))
-        self._learn(list(new))
+            if None in ids:
+                new.update(dict.fromkeys([c for c, x in zip(parts, ids) if x is None]))
+            else:
+                parts = None
+            rows.append((ids, parts))
+        self._learn(new)
         out = []
-        for t, (ids, gaps) in zip(texts, rows):
-            for k, c in gaps:
-                ids[k] = get(c)
+        for t, (ids, parts) in zip(texts, rows):
             try:
-                out.append(b"".join(ids))
+                out.append(b"".join(map(get, parts) if parts else ids))
             except TypeError:
                 out.append(_packed(self.tokenizer.encode(t, add_special_tokens=False).ids))
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: dict) -> None:
         known, inner = self.known, []
         for c in chunks:
-            first = c[0:1] == " "
-            body = c[1:] if first else c
-            if body[-1:].isspace() or not first and (not body or body[0].isspace()):
-                known[c] = False
-            elif first or "<|" in c:
-                known[c] = _packed(self.tokenizer.encode(body if first else " " + c,
-                                                         add_special_tokens=False).ids)
-            else:
-                inner.append(c)
+            if c not in known and not self._known_parts(c):
+                body = c[1:] if c[:1] == " " else c
+                if body[-1:].isspace() or c[:1] != " " and (not body or body[0].isspace()):
+                    known[c] = False
+                elif c[:1] == " ":
+                    known[c] = _packed(self.tokenizer.encode(body, add_special_tokens=False).ids)
+                else:
+                    inner.append(c)
         if not inner:
             return
-        # one text of all chunks; the byte lengths of the ids tell them apart
+        # one text of all other chunks; the byte lengths of the ids tell them apart
         text = " " + " ".join(inner)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
-                       dtype="<u4")
-        ends = np.cumsum([len(c.encode()) + 1 for c in inner])
-        cuts = (np.searchsorted(np.cumsum(self.bytes_of_id[ids]), ends) + 1) * 4
-        packed, a = ids.tobytes(), 0
-        for c, b in zip(inner, cuts.tolist()):
-            known[c] = packed[a:b]
-            a = b
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        raw = text.encode()
+        ends = np.append(np.nonzero(np.frombuffer(raw, np.uint8) == 32)[0][1:], len(raw))
+        cuts = ((np.searchsorted(np.cumsum(self.bytes_of_id[ids]), ends) + 1) * 4).tolist()
+        packed = ids.tobytes()
+        known.update(zip(inner, map(packed.__getitem__, map(slice, [0, *cuts], cuts))))
+
+    def _known_parts(self, c: str) -> bytes | None:
+        """Learn a chunk of letters, perhaps with a full stop or comma after them
+        and one such piece on a next line: the pre-tokenizer parts it there."""
+        known = self.known
+        head, line, rest = c.partition("\n")
+        if line:
+            if not (LETTERS.match(head.rstrip(".,")) and LETTERS.match(rest.rstrip(".,"))) or rest[0] == " ":
+                return None
+            a = known.get(head) or self._known_parts(head)
+            b = a and (known.get(" " + rest) or self._known_parts(" " + rest))
+            if b:
+                known[c] = b = a + self.marks["\n"] + b
+            return b or None
+        mark = c[-1:] if c[-1:] in MARKS else ""
+        body = c[:-1] if mark else c
+        if not LETTERS.match(body):
+            return None
+        ids = mark and known.get(body)
+        if not ids:
+            # the model takes bytes as the letters that stand for them
+            first, word = ("", body[1:]) if body[0] == " " else (self.space, body)
+            ids = _packed([x.id for x in self.tokenize(
+                first + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letter)))])
+        known[c] = ids = ids + self.marks[mark]
+        return ids
