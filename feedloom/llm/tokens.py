@@ -5,12 +5,13 @@ False)`` gives, as little-endian unsigned 32-bit integers.  A byte-level BPE
 whose pre-tokenizer starts a new piece at a single space between two non-space
 characters encodes the chunks between such spaces independently of each other,
 so each distinct chunk is encoded once and remembered.  A text in which a
-space is next to other white space goes to the tokenizer whole, and so does
+space or line end is next to other white space goes to the tokenizer whole, and so does
 every text where the tokenizer is of another kind.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -21,7 +22,7 @@ from itertools import islice
 import numpy as np
 
 #: Distinct chunks that a Python worker remembers; it then forgets the later half.
-MAX_CHUNKS = 800_000
+MAX_CHUNKS = 500_000
 
 _ENCODERS: dict = {}
 
@@ -47,9 +48,9 @@ def encoder(path: str) -> "Encoder":
 
 
 #: Letters that every Unicode version and regular expression library agrees on,
-#: after an optional mark of a text's start; marks that stand alone after them.
-LETTERS = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ba]+\\Z")
-MARKS = (".", ",")
+#: after what may come before a chunk (a text's start or a line's end), and ASCII
+#: marks after them: the pre-tokenizer parts a chunk of this form just so.
+PIECE = re.compile("([ \n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ba]+)([!-&(-/:-@\\[-^`{-~]*)\\Z")
 
 
 def byte_letters() -> dict[int, str]:
@@ -77,12 +78,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.max_chunks = max_chunks
         # chunk -> ids of " chunk"; " chunk" -> ids of the chunk that starts a
-        # text; False: the chunk touches other white space
+        # text; "\\nchunk" -> its ids; False: the chunk touches other white space
         self.known: dict = {}
         self.tokenize = self.tokenizer.model.tokenize
         self.letter = byte_letters()
         self.space = self.letter[32]
-        self.marks = {m: _packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ("", "\n", *MARKS)}
+        self.marks: dict = {}
+        self.line = _packed(self.tokenizer.encode("\n", add_special_tokens=False).ids)
         rules = json.loads(self.tokenizer.to_str())
         split = rules["pre_tokenizer"] or {}
         self.parts = (rules["normalizer"] is None and rules["model"]["type"] == "BPE"
@@ -94,8 +96,14 @@ class Encoder:
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text (None: no ids), as uint32 bytes."""
         out: list[bytes] = []
-        for i in range(0, len(texts), 512):
-            out += self._some([t or "" for t in texts[i:i + 512]])
+        collecting = gc.isenabled()
+        gc.disable()  # there are only lists of strings here, and very many
+        try:
+            for i in range(0, len(texts), 256):
+                out += self._some([t or "" for t in texts[i:i + 256]])
+        finally:
+            if collecting:
+                gc.enable()
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
@@ -107,34 +115,51 @@ class Encoder:
         get = self.known.get
         rows, new = [], {}
         for t in texts:
-            parts = t.split(" ")
+            parts = t.replace("\n", " \n").split(" ")
             parts[0] = " " + parts[0]
             ids = list(map(get, parts))
+            gaps = {}
             if None in ids:
-                new.update(dict.fromkeys([c for c, x in zip(parts, ids) if x is None]))
-            else:
-                parts = None
-            rows.append((ids, parts))
+                gaps = {k: c for k, (c, x) in enumerate(zip(parts, ids)) if x is None}
+                new.update(dict.fromkeys(gaps.values()))
+            rows.append((ids, gaps))
         self._learn(new)
         out = []
-        for t, (ids, parts) in zip(texts, rows):
+        for t, (ids, gaps) in zip(texts, rows):
+            for k, c in gaps.items():
+                ids[k] = get(c)
             try:
-                out.append(b"".join(map(get, parts) if parts else ids))
+                out.append(b"".join(ids))
             except TypeError:
                 out.append(_packed(self.tokenizer.encode(t, add_special_tokens=False).ids))
         return out
 
     def _learn(self, chunks: dict) -> None:
-        known, inner = self.known, []
+        known, marks, inner = self.known, self.marks, []
+        tokenize, piece, table, space = self.tokenize, PIECE.match, self.letter, self.space
         for c in chunks:
-            if c not in known and not self._known_parts(c):
-                body = c[1:] if c[:1] == " " else c
-                if body[-1:].isspace() or c[:1] != " " and (not body or body[0].isspace()):
-                    known[c] = False
-                elif c[:1] == " ":
-                    known[c] = _packed(self.tokenizer.encode(body, add_special_tokens=False).ids)
-                else:
-                    inner.append(c)
+            m = piece(c)
+            if m:
+                lead, word, mark = m.groups()
+                ids = known.get(word) if mark and not lead else None
+                if not ids:  # the model takes bytes as the letters that stand for them
+                    if not word.isascii():
+                        word = word.encode().decode("latin-1").translate(table)
+                    ids = _packed([x.id for x in tokenize(word if lead else space + word)])
+                if mark:
+                    if mark not in marks:
+                        marks[mark] = _packed(self.tokenizer.encode(mark, add_special_tokens=False).ids)
+                    ids += marks[mark]
+                known[c] = self.line + ids if lead == "\n" else ids
+                continue
+            first = c[:1] == " "
+            body = c[1:] if first or c[:1] == "\n" else c
+            if body[-1:].isspace() or not first and (not body or body[0].isspace()):
+                known[c] = False
+            elif body is not c:
+                known[c] = _packed(self.tokenizer.encode(body if first else c, add_special_tokens=False).ids)
+            else:
+                inner.append(c)
         if not inner:
             return
         # one text of all other chunks; the byte lengths of the ids tell them apart
@@ -145,29 +170,3 @@ class Encoder:
         cuts = ((np.searchsorted(np.cumsum(self.bytes_of_id[ids]), ends) + 1) * 4).tolist()
         packed = ids.tobytes()
         known.update(zip(inner, map(packed.__getitem__, map(slice, [0, *cuts], cuts))))
-
-    def _known_parts(self, c: str) -> bytes | None:
-        """Learn a chunk of letters, perhaps with a full stop or comma after them
-        and one such piece on a next line: the pre-tokenizer parts it there."""
-        known = self.known
-        head, line, rest = c.partition("\n")
-        if line:
-            if not (LETTERS.match(head.rstrip(".,")) and LETTERS.match(rest.rstrip(".,"))) or rest[0] == " ":
-                return None
-            a = known.get(head) or self._known_parts(head)
-            b = a and (known.get(" " + rest) or self._known_parts(" " + rest))
-            if b:
-                known[c] = b = a + self.marks["\n"] + b
-            return b or None
-        mark = c[-1:] if c[-1:] in MARKS else ""
-        body = c[:-1] if mark else c
-        if not LETTERS.match(body):
-            return None
-        ids = mark and known.get(body)
-        if not ids:
-            # the model takes bytes as the letters that stand for them
-            first, word = ("", body[1:]) if body[0] == " " else (self.space, body)
-            ids = _packed([x.id for x in self.tokenize(
-                first + (word if word.isascii() else word.encode().decode("latin-1").translate(self.letter)))])
-        known[c] = ids = ids + self.marks[mark]
-        return ids
