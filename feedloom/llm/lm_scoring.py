@@ -41,8 +41,8 @@ CLASSES = 32
 DIM = 24
 HEAD = 100_000
 NOISE = 64
-BATCH = 4096
-RATE = 0.1
+BATCH = 1024
+RATE = 0.15
 GROUP = 32
 SEED = 17
 END = b""  # no word is empty
@@ -163,7 +163,7 @@ class Trainer:
 
     def __init__(self, model: Model, rng, rate: float = RATE):
         self.m, self.rng, self.rate = model, rng, rate
-        self.past = {x: np.full_like(getattr(model, x), 1.0) for x in Model.NAMES}
+        self.past = {x: np.full_like(getattr(model, x), 0.1) for x in Model.NAMES}
         self.cum = np.cumsum(model.noise)
         self.shift = np.log(NOISE * model.noise).astype(np.float32)
 
@@ -182,7 +182,7 @@ class Trainer:
         s = r @ qn.T + (m.bias[neg] - self.shift[neg])
         gn = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
         dr = gp[:, None] * q + gn @ qn
-        # the gradients are sums over the batch, scaled to its frequent symbols
+        # the gradients are sums over the batch
         i, g = _scatter(np.concatenate([w, neg]), np.vstack(
             [np.hstack([gp[:, None] * r, gp[:, None]]), np.hstack([gn.T @ r, gn.sum(0)[:, None]])]), len(m.bias))
         dplace = np.stack([(dr * ca).sum(0), (dr * cb).sum(0)])
