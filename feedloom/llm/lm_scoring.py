@@ -39,7 +39,7 @@ from .common import clean_text, fold, spill
 VOCABULARY = 1000
 CLASSES = 32
 DIM = 24
-HEAD = 100_000
+HEAD = 200_000
 NOISE = 64
 BATCH = 1024
 RATE = 0.15
@@ -81,7 +81,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
                 c = both[1 if own else 0]
                 c.update(words_of(t))
                 c[END] += 1
-                if len(c) > 200_000:
+                if len(c) > 500_000:
                     yield out()
         yield out()
 
@@ -151,11 +151,12 @@ class Model:
         return out
 
 
-def _scatter(index: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _scatter(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the rows of each index: (indices, sums)."""
-    order = np.argsort(index, kind="stable")
-    keys, first = np.unique(index[order], return_index=True)
-    return keys, np.add.reduceat(rows[order], first, axis=0)
+    order = np.argsort(index.astype(np.int16 if index.max() < 1 << 15 else np.int32), kind="stable")
+    index = index[order]
+    first = np.nonzero(np.diff(index, prepend=-1))[0]
+    return index[first], np.add.reduceat(rows[order], first, axis=0)
 
 
 class Trainer:
@@ -176,17 +177,32 @@ class Trainer:
         m = self.m
         neg = np.minimum(np.searchsorted(self.cum, self.rng.random(NOISE) * self.cum[-1]), len(m.bias) - 1)
         ca, cb, q, qn = m.context[a], m.context[b], m.symbol[w], m.symbol[neg]
-        r = ca * m.place[0] + cb * m.place[1]
-        pos = (r * q).sum(1) + m.bias[w] - self.shift[w]
-        gp = (-1 / (1 + np.exp(np.clip(pos, -30, 30)))).astype(np.float32)
-        s = r @ qn.T + (m.bias[neg] - self.shift[neg])
-        gn = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
-        dr = gp[:, None] * q + gn @ qn
+        r = ca * m.place[0]
+        r += cb * m.place[1]
+        pos = np.einsum("ij,ij->i", r, q) + (m.bias - self.shift)[w]
+        gp = -1 / (1 + np.exp(np.clip(pos, -30, 30)))
+        s = r @ qn.T
+        s += (m.bias - self.shift)[neg]
+        np.clip(s, -30, 30, out=s)
+        np.negative(s, out=s)
+        np.exp(s, out=s)
+        s += 1
+        gn = np.reciprocal(s, out=s)
+        dr = gn @ qn
+        dr += gp[:, None] * q
         # the gradients are sums over the batch
-        i, g = _scatter(np.concatenate([w, neg]), np.vstack(
-            [np.hstack([gp[:, None] * r, gp[:, None]]), np.hstack([gn.T @ r, gn.sum(0)[:, None]])]), len(m.bias))
-        dplace = np.stack([(dr * ca).sum(0), (dr * cb).sum(0)])
-        j, h = _scatter(np.concatenate([a, b]), np.vstack([dr * m.place[0], dr * m.place[1]]), len(m.context))
+        n, d = len(w), r.shape[1]
+        rows = np.empty((n + NOISE, d + 1), np.float32)
+        np.multiply(r, gp[:, None], out=rows[:n, :d])
+        rows[:n, d] = gp
+        rows[n:, :d] = gn.T @ r
+        rows[n:, d] = gn.sum(0)
+        i, g = _scatter(np.concatenate([w, neg]), rows)
+        dplace = np.stack([np.einsum("ij,ij->j", dr, ca), np.einsum("ij,ij->j", dr, cb)])
+        rows = np.empty((2 * n, d), np.float32)
+        np.multiply(dr, m.place[0], out=rows[:n])
+        np.multiply(dr, m.place[1], out=rows[n:])
+        j, h = _scatter(np.concatenate([a, b]), rows)
         self._step("symbol", i, g[:, :-1])
         self._step("bias", i, g[:, -1])
         self._step("context", j, h)
@@ -222,14 +238,14 @@ class Head:
 
     def symbols(self, place: np.ndarray, words: list, n_own: int) -> np.ndarray:
         out = self.symbol[place]
-        for k in np.nonzero(place < 0)[0].tolist():
-            out[k] = n_own + spelling_class(words[k])
+        other = np.nonzero(place < 0)[0]
+        out[other] = [n_own + spelling_class(words[k]) for k in other.tolist()]
         return out
 
 
 # --- Spark ----------------------------------------------------------------
 
-def train(docs: DataFrame, start: Model, shared, n_own: int, round_: int) -> np.ndarray:
+def train(docs: DataFrame, start: Model, shared, n_own: int) -> np.ndarray:
     """Parameters averaged over all partitions of ``docs`` (t), by tokens."""
     spark = docs.sparkSession
     flat = spark.sparkContext.broadcast((start.pack(), start.noise, start.context.shape[1]))
@@ -239,7 +255,7 @@ def train(docs: DataFrame, start: Model, shared, n_own: int, round_: int) -> np.
         head = shared.value
         values, noise, dim = flat.value
         model = Model(len(noise), noise, dim).unpack(values.copy())
-        fit, seen = Trainer(model, np.random.default_rng([SEED, round_, part])), 0
+        fit, seen = Trainer(model, np.random.default_rng([SEED, part])), 0
         for batch in batches:
             t = batch.column(0).to_pylist()
             for lo in range(0, len(t), 512):
@@ -331,15 +347,11 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
     noise = np.concatenate([own_n, classes[:, 0]]) + 1.0
     model = Model(len(noise), noise / noise.sum())
     learn = base_docs.where("not held_out")
-    # a short round over one fold for a common start, then one over everything
-    model.unpack(train(learn.where(fold("doc_id", modulus) == (held + 1) % modulus).select("t"),
-                       model, shared, n_own, 0))
-    model.unpack(train(learn.select("t"), model, shared, n_own, 1))
+    model.unpack(train(learn.select("t"), model, shared, n_own))
     fitted = spark.sparkContext.broadcast((model, model.log_normalisers()))
 
     schema = ("doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, "
               "score double, tail array<struct<word: binary, n: int, k: int>>")
-    tail_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32()), ("k", pa.int32())]))
 
     def run(batches):
         head = shared.value
@@ -357,16 +369,22 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
                 first = np.cumsum(lengths) - lengths
                 seen = place >= 0
                 add = lambda v: np.add.reduceat(v, first)  # noqa: E731  every text has a token
-                tails = []
-                for i, n in zip(first.tolist(), lengths.tolist()):
-                    rare = Counter(words[i + k] for k in np.nonzero(~seen[i:i + n])[0].tolist())
-                    tails.append([{"word": x, "n": v, "k": spelling_class(x)} for x, v in rare.items()])
+                at = np.nonzero(~seen)[0]
+                rare = [words[k] for k in at.tolist()]
+                cuts = np.searchsorted(at, np.append(first, len(w))).tolist()
+                tail, ends = [], [0]
+                for i, j in zip(cuts, cuts[1:]):
+                    tail += Counter(zip(rare[i:j], w[at[i:j]].tolist())).items()
+                    ends.append(len(tail))
+                tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array([x[0][0] for x in tail], pa.binary()), pa.array([x[1] for x in tail], pa.int32()),
+                     pa.array([x[0][1] - n_own for x in tail], pa.int32())], names=["word", "n", "k"]))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2), pa.array(lengths),
                      pa.array(add((seen & head.known[place]).astype(np.int64))),
                      pa.array(add(np.where(seen, head.base[place], 0.0))),
                      pa.array(add(lp / LOG10 + np.where(seen, head.within[place], 0.0))),
-                     pa.array(tails, tail_type)], names=[x.split()[0] for x in schema.split(", ")[:7]] + ["tail"])
+                     tails], names=[x.split()[0] for x in schema.split(", ")[:7]] + ["tail"])
 
     scored = spill(base_docs.select("doc_id", "held_out", F.monotonically_increasing_id().alias("row"), "t")
                    .mapInArrow(run, schema), "scored")

@@ -42,21 +42,23 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def symbols(words: list[bytes]):
-    """The words with their boundaries as one sequence: for each symbol to be
-    predicted, the codes of the 1 .. ORDER symbols that end there (uint64), how
-    many symbols of the word there are before it, and its word."""
-    flat = np.frombuffer(b" " + b"  ".join(words) + b" ", np.uint8).astype(np.uint64)
-    n = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    first = np.repeat(np.cumsum(n) - n, n)
-    depth = np.arange(len(flat)) - first
-    word = np.repeat(np.arange(len(words)), n)
-    code, codes = flat.copy(), [flat]
-    for k in range(1, ORDER):
-        code = code.copy()
-        code[k:] |= flat[:-k] << np.uint64(8 * k)
-        codes.append(code)
-    at = np.nonzero(depth > 0)[0]
-    return codes, depth, word, at
+    """The words with their boundaries as one sequence of bytes; for each, how
+    many symbols of the word there are before it, and its word; and the places
+    of the symbols to be predicted."""
+    flat = np.frombuffer(b" " + b"  ".join(words) + b" ", np.uint8)
+    n = np.fromiter(map(len, words), np.int32, len(words)) + 2
+    first = np.repeat(np.cumsum(n, dtype=np.int32) - n, n)
+    depth = np.arange(len(flat), dtype=np.int32) - first
+    word = np.repeat(np.arange(len(words), dtype=np.int32), n)
+    return flat, depth, word, np.nonzero(depth > 0)[0]
+
+
+def grams(flat: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Codes of the ``n`` symbols that end at each place."""
+    out = flat[at].astype(np.uint64)
+    for k in range(1, n):
+        out |= flat[at - k].astype(np.uint64) << np.uint64(8 * k)
+    return out
 
 
 class KneserNey:
@@ -65,62 +67,65 @@ class KneserNey:
 
     def __init__(self, words: list[bytes], counts: np.ndarray):
         """``counts``: a row per word, a column per class."""
-        codes, depth, word, at = symbols(words)
+        flat, depth, word, at = symbols(words)
         self.shared = {}
         self.long: list[dict] = [{}, {}]
-        once = np.unique(codes[0][at], return_counts=True)
-        self.base = np.full(256, 0.5)
-        self.base[once[0].astype(int)] += once[1]
+        self.base = np.bincount(flat[at], minlength=256) + 0.5
         self.base /= self.base.sum()
         for n in range(2, ORDER + 1):
             pos = at[depth[at] >= n - 1]
-            grams, context = codes[n - 1][pos], codes[n - 2][pos - 1]
             if n <= SHARED:  # distinct words: each counts once
-                self.shared[n] = _order(*_distinct(grams, context, word[pos]))
+                self.shared[n] = _order(n, grams(flat, pos, n), None, word[pos])
             else:
                 for c in (0, 1):
-                    self.long[c][n] = _order(grams, context, counts[word[pos], c])
+                    own = pos[counts[word[pos], c] > 0]
+                    self.long[c][n] = _order(n, grams(flat, own, n), counts[word[own], c])
 
     def log_ratio(self, words: list[bytes]) -> np.ndarray:
         """log P(word | class 1) - log P(word | class 0)."""
         if not words:
             return np.zeros(0)
-        codes, depth, word, at = symbols(words)
-        p = self.base[codes[0][at].astype(int)]
-        for n in range(2, SHARED + 1):
-            p = _apply(self.shared[n], codes, depth, at, n, p)
-        both = []
-        for c in (0, 1):
-            q = p
-            for n in range(SHARED + 1, ORDER + 1):
-                q = _apply(self.long[c][n], codes, depth, at, n, q)
-            both.append(q)
+        flat, depth, word, at = symbols(words)
+        p = self.base[flat[at]]
+        both = [p, p]
+        for n in range(2, ORDER + 1):
+            deep = np.nonzero(depth[at] >= n - 1)[0]
+            seen, context = grams(flat, at[deep], n), grams(flat, at[deep] - 1, n - 1)
+            if n <= SHARED:
+                both = [_apply(self.shared[n], seen, context, deep, both[0])] * 2
+            else:
+                both = [_apply(self.long[c][n], seen, context, deep, both[c]) for c in (0, 1)]
         return np.bincount(word[at], np.log(both[1] / both[0]), len(words))
 
 
-def _distinct(grams, context, word):
-    pair = np.unique(np.stack([grams, word.astype(np.uint64), context]), axis=1)
-    return pair[0], pair[2], np.ones(pair.shape[1])
-
-
-def _order(grams, context, count):
-    seen = count > 0
-    keys, first, place = np.unique(grams[seen], return_index=True, return_inverse=True)
-    c = np.bincount(place, count[seen], len(keys))
-    hkeys, hplace = np.unique(context[seen][first], return_inverse=True)
+def _order(n, codes, count, word=None):
+    """(grams, share, contexts, backoff) of one order; without counts, a gram
+    counts once for each word that it occurs in."""
+    place = np.argsort(codes, kind="stable")
+    codes = codes[place]
+    new = np.ones(len(codes), bool)
+    new[1:] = codes[1:] != codes[:-1]
+    if count is None:
+        once = new.copy()
+        once[1:] |= word[place][1:] != word[place][:-1]  # words stay in order
+        count = once.astype(float)
+    else:
+        count = count[place]
+    first = np.nonzero(new)[0]
+    keys = codes[first]
+    c = np.add.reduceat(count, first) if len(first) else np.zeros(0)
+    # the context is the gram without its last symbol, the low byte
+    hkeys, hplace = np.unique(keys >> np.uint64(8), return_inverse=True)
     total = np.bincount(hplace, c, len(hkeys))
     kinds = np.bincount(hplace, minlength=len(hkeys))
     share = np.maximum(c - DISCOUNT, 0) / total[hplace]
     return GramTable(keys), share, GramTable(hkeys), DISCOUNT * kinds / total
 
 
-def _apply(order, codes, depth, at, n, p):
-    grams, share, contexts, backoff = order
-    deep = depth[at] >= n - 1
-    pos = at[deep]
-    g, h = grams.find(codes[n - 1][pos]), contexts.find(codes[n - 2][pos - 1])
-    q = p.copy()
-    low = p[deep]
+def _apply(order, seen, context, deep, p):
+    table, share, contexts, backoff = order
+    g, h = table.find(seen), contexts.find(context)
+    q, low = p.copy(), p[deep]
     a = np.where(g >= 0, np.append(share, 0.0)[g], 0.0)
     q[deep] = np.where(h >= 0, a + np.append(backoff, 1.0)[h] * low, low)
     return q
