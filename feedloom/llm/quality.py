@@ -70,6 +70,7 @@ def meta_features(lang, source, n_chars) -> np.ndarray:
     if source is not None:
         out[LANG_BINS + zlib.crc32(str(source).encode()) % SOURCE_BINS] = 1
     k = LANG_BINS + SOURCE_BINS
+    n_chars = None if n_chars is None else int(n_chars)
     size = np.log1p(max(0, n_chars or 0)) / 10
     out[k:] = [size, size * size, (n_chars or 0) < 100, n_chars is None, (n_chars or 0) > 20000]
     return out
@@ -197,23 +198,22 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
     ``keep_columns`` the input's own columns come back with ``__score`` instead.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    picked = docs.select(
-        *([F.col(f"`{c}`") for c in docs.columns] if keep_columns else [
-            F.col(doc_id).cast("long").alias("doc_id"),
-            (F.col(doc_id).isNotNull() & (fold(doc_id, 5) == 0)).alias("held_out")]),
-        clean_text(text).alias("__t"), F.col(lang).cast("string").alias("__l"),
-        F.col(source).cast("string").alias("__s"), F.col(n_chars).cast("long").alias("__n"))
-    own = len(picked.columns) - 4
-    out = [(f"`{s.name}` {s.dataType.simpleString()}") for s in picked.schema[:own]]
-    names = [s.name for s in picked.schema[:own]]
-    more = ["__score"] if keep_columns else ["text_score", "meta_score", "score", "predicted"]
-    out += ["__score double"] if keep_columns else ["text_score double", "meta_score double",
-                                                    "score double", "predicted int"]
+    views = (text, lang, source, n_chars)
+    if keep_columns:
+        picked, own, more = docs, len(docs.columns), ["__score double"]
+        at = [docs.columns.index(c) for c in views]
+    else:
+        picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+                             (F.col(doc_id).isNotNull() & (fold(doc_id, 5) == 0)).alias("held_out"),
+                             *(F.col(c).alias(f"__{k}") for k, c in enumerate(views)))
+        own, more, at = 2, ["text_score double", "meta_score double", "score double", "predicted int"], [2, 3, 4, 5]
+    kept = picked.schema[:own]
+    names = [f.name for f in kept] + [x.split()[0] for x in more]
 
     def run(batches):
         m = shared.value
         for b in batches:
-            t, la, so, n = (b.column(own + k).to_pylist() for k in range(4))
+            t, la, so, n = (b.column(k).to_pylist() for k in at)
             if m["views"] is None or not t:
                 p = [np.full(len(t), m["prior"])] * 2
                 s = np.full(len(t), m["prior"])
@@ -223,9 +223,9 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
                 p = [f.predict(v) for f, v in zip(m["views"], x)]
                 s = combine(m["prior"], p)
             got = [s] if keep_columns else [*p, s, (s >= 0.5).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:own], *map(pa.array, got)], names=[*names, *more])
+            yield pa.RecordBatch.from_arrays([*b.columns[:own], *map(pa.array, got)], names=names)
 
-    return picked.mapInArrow(run, ", ".join(out))
+    return picked.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + more))
 
 
 def quality(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
