@@ -172,9 +172,10 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
                 .where(fold("__id", 5) != 0).join(ids.select("__id"), "__id", "left_anti")
                 .orderBy(*order).limit(max_pool).select("__id", F.lit(-1).alias("y")))
     chosen = F.broadcast(train_ids.unionByName(pool_ids))  # max_labelled + max_pool rows at most
-    rows = _features(docs.join(chosen, docs[doc_id] == chosen["__id"]),
+    picked = docs.select(F.col(doc_id).alias("__id"), *(F.col(c).alias(f"__{k}") for k, c in enumerate(cols[1:])))
+    rows = _features(picked.join(chosen, "__id"),
                      [F.col("__id").cast("string").alias("i"), "y", fold("__id", 5).cast("int").alias("f")],
-                     cols).toArrow().sort_by("i")
+                     ("__id", "__0", "__1", "__2", "__3")).toArrow().sort_by("i")
     y, f = rows.column("y").to_numpy(), rows.column("f").to_numpy()
     x = [_matrix(rows.column("a"), TEXT_DIM), _matrix(rows.column("b"), META_DIM)]
     fit, cal, pool = (y >= 0) & (f != 4), (y >= 0) & (f == 4), y < 0

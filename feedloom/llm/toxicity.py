@@ -195,7 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, doc_id:
     prior = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pick = [ids.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(max_docs) for y in (0, 1)]
     chosen = F.broadcast(pick[0].unionByName(pick[1]))  # 2 * max_docs rows at most
-    rows = docs.join(chosen, docs[doc_id] == chosen["__id"]).select("y", "f", clean_text(text).alias("t"))
+    rows = (docs.select(F.col(doc_id).alias("__id"), clean_text(text).alias("t")).join(chosen, "__id")
+            .select("y", "f", "t"))
 
     def count(batches):
         for b in batches:
