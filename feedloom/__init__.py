@@ -7,7 +7,6 @@ Layers:
 * ``operators`` – DataFrame → DataFrame operators (latest per key, key sets)
 * ``plans``     – the staging / mart models, incremental key selection,
                   payload normalisers and the composed batch jobs
-* ``streaming`` – file-arrival trigger for the day load
 """
 
 from .session import checkpoint_root, get_session, scratch_dir

@@ -4,7 +4,7 @@
     python -m feedloom publish  --src S --lake L --date D
     python -m feedloom load     --lake L --raw W --date D
     python -m feedloom build    --raw W [--db steam] [--select m1,m2] [--as-of D]
-                                [--buckets N] [--latest join|rank]
+                                [--buckets N]
 
 Dates default to today's UTC date.
 """
@@ -46,7 +46,6 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--as-of", default=None)
     p.add_argument("--location", default=None)
     p.add_argument("--buckets", type=int, default=None)
-    p.add_argument("--latest", choices=("join", "rank"), default="join")
     a = ap.parse_args(argv)
 
     spark = get_session()
@@ -60,8 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         jobs.load_day(spark, a.lake, a.date, a.raw)
     elif a.cmd == "build":
         select = a.select.split(",") if a.select else None
-        jobs.build_all(spark, a.raw, a.db, select, a.as_of, a.location, a.buckets,
-                       a.latest)
+        jobs.build_all(spark, a.raw, a.db, select, a.as_of, a.location, a.buckets)
     return 0
 
 

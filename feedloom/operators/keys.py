@@ -8,14 +8,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POSITION = "pos"
 
 
+def _kind(v: Column) -> Column:
+    return F.schema_of_variant(v)
+
+
+def _typed(df: DataFrame, name: str) -> Column:
+    """A VARIANT column as it is; text as the JSON value it spells, or as text."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, T.VariantType):
+        return c
+    text = c.cast("string")
+    return F.coalesce(F.try_parse_json(text), text.cast("variant"))
+
+
+def _is_number(v: Column) -> Column:
+    k = _kind(v)
+    return (k == "BIGINT") | (k == "DOUBLE") | (k == "FLOAT") | k.startswith("DECIMAL")
+
+
 def to_key(c: Column | str) -> Column:
-    """``int(appid)``: numbers and quoted numbers; other text fails (ANSI)."""
+    """``int(appid)`` of a VARIANT: numbers lose their fraction, quoted whole
+    numbers count, NULL and JSON null are no key; other text fails (ANSI)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.trim(c.cast("string")).cast("bigint")
+    return (F.when(_is_number(c), F.variant_get(c, "$", "decimal(38, 9)").cast("bigint"))
+            .when(_kind(c) == "BOOLEAN", F.variant_get(c, "$", "boolean").cast("bigint"))
+            .when(_kind(c) != "VOID", F.trim(F.variant_get(c, "$", "string")).cast("bigint")))
 
 
 def file_position(df: DataFrame) -> DataFrame:
@@ -33,8 +55,8 @@ def file_position(df: DataFrame) -> DataFrame:
 
 
 def nonnull_keys(df: DataFrame, key: str = "appid") -> DataFrame:
-    """Drop rows without a key and coerce the key like ``int(appid)``."""
-    return df.filter(F.col(key).isNotNull()).withColumn(key, to_key(key))
+    """Coerce the VARIANT key like ``int(appid)`` and drop rows without one."""
+    return df.withColumn(key, to_key(_typed(df, key))).filter(F.col(key).isNotNull())
 
 
 def dedup_ordered(df: DataFrame, key: str = "appid", order: str = POSITION) -> DataFrame:
@@ -47,19 +69,22 @@ def dedup_ordered(df: DataFrame, key: str = "appid", order: str = POSITION) -> D
 
 
 def truthy(c: Column | str) -> Column:
-    """Python truthiness of a JSON value read as text; NULL (missing) → false."""
+    """Truth of a JSON value by its type: true, numbers but 0, and texts, lists
+    and objects that are not empty (so the texts ``"false"`` and ``"0"`` too);
+    JSON null and a missing value are false."""
     c = F.col(c) if isinstance(c, str) else c
-    text = F.trim(F.lower(c))
-    falsy = (text.isin("false", "", "[]", "{}")
-             | (F.coalesce(text.try_cast("double"), F.lit(1.0)) == 0.0))
-    return F.coalesce(~falsy, F.lit(False))
+    kind = _kind(c)
+    return F.coalesce(
+        F.when(kind == "BOOLEAN", F.try_variant_get(c, "$", "boolean"))
+        .when(_is_number(c), F.try_variant_get(c, "$", "double") != 0)
+        .when(kind == "STRING", F.try_variant_get(c, "$", "string") != "")
+        .when(kind != "VOID", ~F.to_json(c).isin("[]", "{}")), F.lit(False))
 
 
 def processed_keys(history: DataFrame, key: str = "appid",
                    success: str = "success") -> DataFrame:
     """Distinct keys with a truthy ``success`` (only successes count as done)."""
-    return (history.filter(F.col(key).isNotNull() & truthy(success))
-            .select(to_key(key).alias(key)).distinct())
+    return nonnull_keys(history.filter(truthy(_typed(history, success))).select(key), key).distinct()
 
 
 def union_processed(*key_sets: DataFrame, key: str = "appid") -> DataFrame:

@@ -20,6 +20,8 @@ from ..sources.derived import (AS_OF, PENDING_RUN_DAY, catalog_feed, details_fee
                                reviews_feed)
 from ..sources.feeds import feed_path, load_feed, write_feed_day
 
+REPLACED_DAY = "1995-01-01"
+
 _LOCK = threading.RLock()
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -54,9 +56,9 @@ def pending_root(spark: SparkSession, sf_dir: str) -> str:
     """Folder for one incremental run on ``PENDING_RUN_DAY``.
 
     The catalog file of the run day holds every catalog row in (day, appid)
-    order; the details and reviews histories hold the rows dated before the
-    run day, split over two earlier day files each.  No output of the run
-    day exists yet.
+    order.  Details and reviews rows are in the output file of their time: those dated
+    before the run day in two earlier day files, those of the run day in its own
+    (the run is being resumed); later days have no file yet.
     """
     k = _key(spark, sf_dir, "pending")
     with _LOCK:
@@ -73,6 +75,8 @@ def pending_root(spark: SparkSession, sf_dir: str) -> str:
                                "1995-02-28")
                 write_feed_day(old.filter(F.col("ingestion_date") >= split), root, feed,
                                _day_before(PENDING_RUN_DAY))
+                write_feed_day(df.filter(F.col("ingestion_date") == run), root, feed,
+                               PENDING_RUN_DAY)
             _WRITTEN[k] = root
         return _WRITTEN[k]
 
@@ -135,6 +139,29 @@ def built_db(spark: SparkSession, sf_dir: str) -> str:
         return _WRITTEN[k]
 
 
+def replaced_root(spark: SparkSession, sf_dir: str, emptied: bool) -> str:
+    """Raw tables root with the whole reviews feed, dated to the first of its
+    year; then one of these days is loaded twice with another total, or emptied."""
+    from ..sources.tables import replace_day
+
+    with _LOCK:
+        k = _key(spark, sf_dir, f"replaced-{emptied}")
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "raw")
+            feed = raw_feed(spark, sf_dir, REVIEWS).withColumn(
+                "ingestion_date", F.trunc("ingestion_date", "year"))
+            replace_day(feed, root, REVIEWS, AS_OF)  # every row is of another day
+            day = feed.filter(F.col("ingestion_date") == F.lit(REPLACED_DAY).cast("date"))
+            if emptied:
+                replace_day(day.limit(0), root, REVIEWS, REPLACED_DAY)
+            else:
+                more = day.withColumn("total_reviews", F.col("total_reviews") + 1)
+                for spelling in (REPLACED_DAY, REPLACED_DAY.replace("-0", "-")):
+                    replace_day(more, root, REVIEWS, spelling)
+            _WRITTEN[k] = root
+        return _WRITTEN[k]
+
+
 def published_root(spark: SparkSession, sf_dir: str) -> str:
     """Lake folder the derived feeds of day ``AS_OF`` were published to."""
     from .jobs import publish_day

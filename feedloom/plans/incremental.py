@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import (POSITION, dedup_ordered, file_position, limit_pending,
                               nonnull_keys, pending_keys, processed_keys, to_key, truthy)
-from ..sources.feeds import FEED_DAY, read_catalog_or_latest, read_feed_history
+from ..schemas import HISTORY_TYPED_DDL
+from ..sources.feeds import FEED_DAY, iso_day, read_catalog_or_latest, read_feed_history
 
-CATALOG_KEY_DDL = "appid string"
+CATALOG_KEY_DDL = "appid variant"
 
 
 def catalog_keys(spark: SparkSession, root: str, day: date | str) -> DataFrame:
     """(appid, pos): the day's (or latest) catalog keys in first-seen order.
 
-    Keys are read as text and coerced like ``int(appid)``; rows without a
+    Keys are read as VARIANT and coerced like ``int(appid)``; rows without a
     key are ignored; a malformed catalog line fails the read.
     """
     cat = read_catalog_or_latest(spark, root, day, CATALOG_KEY_DDL)
@@ -34,7 +35,7 @@ def processed(spark: SparkSession, root: str, feed: str) -> DataFrame:
     History (every file but today's) ∪ today's file is every file, so the
     union is one scan of the feed's files.
     """
-    return processed_keys(read_feed_history(spark, root, feed))
+    return processed_keys(read_feed_history(spark, root, feed, ddl=HISTORY_TYPED_DDL))
 
 
 def pending(spark: SparkSession, root: str, feed: str, day: date | str,
@@ -44,25 +45,30 @@ def pending(spark: SparkSession, root: str, feed: str, day: date | str,
         pending_keys(catalog_keys(spark, root, day), processed(spark, root, feed)), limit)
 
 
-def run_counts(spark: SparkSession, root: str, feed: str, day: date | str) -> DataFrame:
+def run_counts(spark: SparkSession, root: str, feed: str, day: date | str,
+               limit: int | None = None) -> DataFrame:
     """One row: catalog keys, historic / today's processed keys, pending keys.
 
     Historic counts every file except the day's own; today counts the day's
-    file.  One full outer join of the two key sets and one aggregate.
+    file; pending keys are those that a run with ``limit`` would fetch.  One full
+    outer join of the two key sets and one aggregate.
     """
-    hist = read_feed_history(spark, root, feed)
-    hist = hist.filter(F.col("appid").isNotNull() & truthy("success"))
-    is_today = F.col(FEED_DAY) == F.lit(str(day))
+    if limit is not None and limit < 0:
+        raise ValueError("limit must be >= 0")
+    hist = read_feed_history(spark, root, feed, ddl=HISTORY_TYPED_DDL).filter(truthy("success"))
+    is_today = F.col(FEED_DAY) == F.lit(iso_day(day))
     flags = (hist.select(to_key("appid").alias("appid"), is_today.alias("t"))
-             .groupBy("appid")
+             .filter(F.col("appid").isNotNull()).groupBy("appid")
              .agg(F.max(~F.col("t")).alias("in_history"), F.max("t").alias("in_today")))
     keys = catalog_keys(spark, root, day).select("appid", F.lit(True).alias("in_catalog"))
     both = keys.join(flags, "appid", "full_outer")
     in_cat = F.coalesce(F.col("in_catalog"), F.lit(False))
     done = F.col("in_history").isNotNull()
+    left = F.count_if(in_cat & ~done)
     return both.agg(
         F.count_if(in_cat).alias("catalog_keys"),
         F.count_if(F.coalesce(F.col("in_history"), F.lit(False))).alias("historic_processed"),
         F.count_if(F.coalesce(F.col("in_today"), F.lit(False))).alias("today_processed"),
-        F.count_if(in_cat & ~done).alias("pending_keys"),
+        (left if limit is None else F.least(left, F.lit(limit))).cast("long")
+        .alias("pending_keys"),
     )

@@ -5,12 +5,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import APPDETAILS, CATALOG, FEEDS, REVIEWS
-from ..session import checkpoint_root
+from ..session import scratch_dir
 from ..sources.feeds import (feed_path, load_feed, write_failed, write_feed_day)
 from ..sources.tables import as_table, as_view, ensure_tables, raw, replace_day
 from . import marts, staging
@@ -26,24 +25,27 @@ def ingest(spark: SparkSession, payloads: DataFrame, feed: str, root: str,
     exception rows' keys to the day's failed list.
 
     Appending makes a rerun resume; keys already done are skipped by
-    ``incremental.pending`` before fetching.
+    ``incremental.pending`` before fetching.  The failed keys come from a second
+    pass over the payloads that shapes nothing but the flag, so no shaped row is
+    held between the two writes.
     """
-    shaped = SHAPERS[feed](payloads, day, ingested_at).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = write_feed_day(shaped.select(*feed_columns(feed)), root, feed, day,
-                             mode="append")
-        failed = shaped.filter(F.col(FAILED)).select("appid")
-        paths = {"feed": out}
-        if failed.take(1):
-            paths["failed"] = write_failed(failed, root, feed, day)
-        return paths
-    finally:
-        shaped.unpersist()
+    # the payload parser keeps the last value of a repeated JSON key
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    shaped = SHAPERS[feed](payloads, day, ingested_at)
+    paths = {"feed": write_feed_day(shaped.select(*feed_columns(feed)), root, feed, day,
+                                    mode="append")}
+    path = scratch_dir(spark, "failed")
+    shaped.filter(F.col(FAILED)).select("appid").write.parquet(path)
+    failed = spark.read.schema(payloads.select("appid").schema).parquet(path)
+    if failed.take(1):
+        paths["failed"] = write_failed(failed, root, feed, day)
+    return paths
 
 
 def ingest_catalog(spark: SparkSession, pages: DataFrame, root: str,
                    day: date | str) -> str:
     """All catalog pages → the day's catalog file (overwritten), API order kept."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     rows = catalog_from_pages(pages, day)
     return write_feed_day(rows.select(*feed_columns(CATALOG)), root, CATALOG, day,
                           mode="overwrite")
@@ -79,8 +81,9 @@ def publish_day(spark: SparkSession, src_root: str, dst_root: str,
 def load_day(spark: SparkSession, lake_root: str, day: date | str, raw_root: str,
              feeds: tuple[str, ...] = FEEDS) -> None:
     """Ensure the raw tables, then replace each feed's day with the day's
-    file (catalog, details, reviews in turn).  A missing file or a bad
-    record fails that feed's load."""
+    file (catalog, details, reviews in turn).  A missing file or a bad record
+    fails that feed's load and leaves its table as it was.  Loading a day again
+    gives the same day; rows of other days in its file are appended again."""
     ensure_tables(spark, raw_root)
     for feed in feeds:
         replace_day(load_feed(spark, feed_path(lake_root, feed, day), feed),
@@ -98,20 +101,16 @@ MODEL_ORDER = ("stg_steam_catalog", "stg_steam_appdetails", "stg_steam_reviews",
 def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
               select: list[str] | None = None, as_of: date | str | None = None,
               location: str | None = None,
-              buckets: int | None = None,
-              latest_method: str = "join") -> dict[str, DataFrame]:
+              buckets: int | None = None) -> dict[str, DataFrame]:
     """Staging models as views, marts as tables, in dependency order.
 
     ``stg_steam_appdetails`` carries all JSON parsing and feeds three marts,
-    so it is checkpointed once (to the shared checkpoint folder) instead of
-    being re-parsed per mart.  ``mart_steam_details_reviews`` reads the two
+    so it is written once (to the shared scratch folder) whenever one of them is
+    built, instead of being re-parsed per mart.  ``mart_steam_details_reviews`` reads the two
     mart tables just written; with ``buckets`` those two are bucketed by appid
-    alike, so that join runs without a shuffle.  ``latest_method`` picks the
-    latest-per-key form (``join``: skew-safe; ``rank``: one scan, for inputs
-    whose keys are known not to be hot).
+    alike, so that join runs without a shuffle.
     """
     wanted = set(select or MODEL_ORDER)
-    checkpoint_root(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {out_db}")
     built: dict[str, DataFrame] = {}
 
@@ -125,17 +124,15 @@ def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
             built[name] = spark.table(f"{out_db}.{name}")
 
     stg_cat = as_view(
-        staging.stg_catalog(raw(spark, raw_root, CATALOG), latest_method),
+        staging.stg_catalog(raw(spark, raw_root, CATALOG)),
         "stg_steam_catalog")
-    stg_ad = staging.stg_appdetails(raw(spark, raw_root, APPDETAILS), latest_method)
-    needs_ad = wanted & {"stg_steam_appdetails", "mart_steam_appdetails",
-                         "mart_steam_categories", "mart_steam_genres",
-                         "mart_steam_details_reviews"}
-    if len(needs_ad) > 1:
+    stg_ad = staging.stg_appdetails(raw(spark, raw_root, APPDETAILS))
+    if wanted & {"mart_steam_appdetails", "mart_steam_categories", "mart_steam_genres",
+                 "mart_steam_details_reviews"}:
         stg_ad = staging.materialize(stg_ad)
     as_view(stg_ad, "stg_steam_appdetails")
     stg_rv = as_view(
-        staging.stg_reviews(raw(spark, raw_root, REVIEWS), latest_method),
+        staging.stg_reviews(raw(spark, raw_root, REVIEWS)),
         "stg_steam_reviews")
     for name, df in (("stg_steam_catalog", stg_cat), ("stg_steam_appdetails", stg_ad),
                      ("stg_steam_reviews", stg_rv)):

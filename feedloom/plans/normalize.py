@@ -19,6 +19,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import truthy
+from ..sources.feeds import iso_day
 from ..schemas import (REVIEW_SUMMARY_FIELDS, SOURCE_APPDETAILS, SOURCE_CATALOG,
                        SOURCE_REVIEWS, TRIMMED_DETAIL_KEYS, columns_of, FILE_DDL,
                        APPDETAILS, REVIEWS)
@@ -39,7 +41,7 @@ def is_object(v: Column) -> Column:
 
 
 def _day(day: date | str) -> Column:
-    return F.lit(str(day)).cast("date")
+    return F.lit(iso_day(day)).cast("date")
 
 
 def _stamp(ingested_at: str | None) -> Column:
@@ -84,7 +86,7 @@ def shape_catalog(apps: DataFrame, day: date | str, app: str = "app") -> DataFra
     a = F.col(app)
     keep = [c for c in ("page_no", "idx") if c in apps.columns]
     return apps.select(
-        F.lit(str(day)).alias("ingested_at_utc"),
+        F.lit(iso_day(day)).alias("ingested_at_utc"),
         _day(day).alias("partition_date"),
         F.lit(SOURCE_CATALOG).alias("source"),
         F.try_variant_get(a, "$.appid", "bigint").alias("appid"),
@@ -117,14 +119,14 @@ def shape_details(payloads: DataFrame, day: date | str,
         F.map_contains_key(m, key).alias("has_key"),
         m[key].alias("block"))
     block = F.col("block")
-    success = F.coalesce(F.try_variant_get(block, "$.success", "boolean"), F.lit(False))
+    success = truthy(F.variant_get(block, "$.success", "variant"))
     data = F.variant_get(block, "$.data", "variant")
     staged = staged.select(
         "appid", "error", "m", "has_key", "block",
         is_object(block).alias("block_obj"),
         data.alias("data"), is_object(data).alias("data_obj"))
     staged = staged.withColumn(
-        "ok", F.col("block_obj") & success)
+        "ok", F.col("block_obj") & F.when(F.col("block_obj"), success).otherwise(False))
     err = (F.when(F.col("error").isNotNull(), F.col("error"))
            .when(F.col("m").isNull(), F.lit(ERR_NOT_OBJECT))
            .when(F.col("has_key") & ~F.col("block_obj"), F.lit(ERR_BLOCK))
@@ -181,8 +183,10 @@ def shape_reviews(payloads: DataFrame, day: date | str,
     q = F.col("qs")
     metrics = []
     for src, dst in REVIEW_SUMMARY_FIELDS:
-        ddl = "string" if dst == "review_score_desc" else "bigint"
-        metrics.append(F.when(ok, F.try_variant_get(q, f"$.{src}", ddl)).alias(dst))
+        # numbers pass as they are: one that is not whole fails the load
+        value = (F.try_variant_get(q, f"$.{src}", "string") if dst == "review_score_desc"
+                 else F.variant_get(q, f"$.{src}", "variant"))
+        metrics.append(F.when(ok, value).alias(dst))
     return staged.select(
         _stamp(ingested_at).alias("ingested_at"),
         _day(day).alias("ingestion_date"),

@@ -7,6 +7,7 @@ same feed recipe and the model semantics relationally.
 from __future__ import annotations
 
 from ..sources.derived import AS_OF, PENDING_RUN_DAY
+from .fixtures import REPLACED_DAY
 from .registry import PENDING_LIMIT
 
 # Details feed rows (one per lineitem), in columns.
@@ -101,6 +102,14 @@ catalog AS (
 )"""
 
 _RUN = f"DATE '{PENDING_RUN_DAY}'"
+_REPLACED = f"DATE '{REPLACED_DAY}'"
+
+# Reviews dated to the first day of their year.
+_YEARS = """
+years AS (
+  SELECT * REPLACE (CAST(date_trunc('year', ingestion_date) AS DATE) AS ingestion_date)
+  FROM reviews
+)"""
 
 
 def _with(*ctes: str) -> str:
@@ -154,16 +163,16 @@ FROM mart_ad ad LEFT JOIN mart_rv r ON ad.appid = r.appid""",
     "pending_details": _with(_DETAILS, _CATALOG) + f"""
 SELECT appid FROM catalog
 EXCEPT
-SELECT appid FROM details WHERE success AND ingestion_date < {_RUN}""",
+SELECT appid FROM details WHERE success AND ingestion_date <= {_RUN}""",
     "pending_reviews": _with(_REVIEWS, _CATALOG) + f"""
 SELECT appid FROM catalog
 EXCEPT
-SELECT appid FROM reviews WHERE success AND ingestion_date < {_RUN}""",
+SELECT appid FROM reviews WHERE success AND ingestion_date <= {_RUN}""",
     "limit_pending": _with(_DETAILS, _CATALOG) + f"""
 SELECT appid FROM (
   SELECT appid, min(partition_date) AS first_day FROM catalog GROUP BY appid
 ) c
-WHERE appid NOT IN (SELECT appid FROM details WHERE success AND ingestion_date < {_RUN})
+WHERE appid NOT IN (SELECT appid FROM details WHERE success AND ingestion_date <= {_RUN})
 ORDER BY first_day, appid
 LIMIT {PENDING_LIMIT}""",
     "run_counts": _with(_DETAILS, _CATALOG) + f"""
@@ -171,10 +180,30 @@ SELECT
   (SELECT count(DISTINCT appid) FROM catalog) AS catalog_keys,
   (SELECT count(DISTINCT appid) FROM details
     WHERE success AND ingestion_date < {_RUN}) AS historic_processed,
-  CAST(0 AS BIGINT) AS today_processed,
+  (SELECT count(DISTINCT appid) FROM details
+    WHERE success AND ingestion_date = {_RUN}) AS today_processed,
   (SELECT count(*) FROM (SELECT appid FROM catalog EXCEPT
-     SELECT appid FROM details WHERE success AND ingestion_date < {_RUN})) AS pending_keys""",
+     SELECT appid FROM details WHERE success AND ingestion_date <= {_RUN})) AS pending_keys""",
+    "union_processed": _with(_DETAILS) + f"""
+SELECT DISTINCT appid FROM details WHERE success AND ingestion_date <= {_RUN}""",
+    "processed_today": _with(_REVIEWS) + f"""
+SELECT DISTINCT appid FROM reviews WHERE success AND ingestion_date = {_RUN}""",
+    "catalog_fallback": _with(_CATALOG) + f"""
+SELECT appid, name, partition_date, {_RUN} AS file_day FROM catalog""",
+    "replace_day_twice": _with(_REVIEWS, _YEARS) + f"""
+SELECT appid, ingestion_date, success, review_score_desc,
+       total_reviews + CASE WHEN ingestion_date = {_REPLACED} THEN 1 ELSE 0 END AS total_reviews
+FROM years""",
+    "replace_day_emptied": _with(_REVIEWS, _YEARS) + f"""
+SELECT appid, ingestion_date, success, review_score_desc, total_reviews
+FROM years WHERE ingestion_date <> {_REPLACED}""",
+    "raw_on_day": _with(_REVIEWS, _YEARS) + f"""
+SELECT appid, total_reviews + 1 AS total_reviews, success
+FROM years WHERE ingestion_date = {_REPLACED}""",
 }
+ORACLE_SQL["run_counts_limited"] = f"""
+SELECT * REPLACE (least(pending_keys, {PENDING_LIMIT}) AS pending_keys)
+FROM ({ORACLE_SQL["run_counts"]})"""
 ORACLE_SQL["latest_per_key_rank"] = ORACLE_SQL["latest_per_key"]
 
 # -- normalisers: payload forms predicted from key columns --------------------
@@ -261,4 +290,9 @@ FROM reviews""",
 SELECT appid, name, partition_date FROM catalog""",
 })
 ORACLE_SQL["publish_day_reviews"] = ORACLE_SQL["load_day_reviews"]
+ORACLE_SQL["publish_day_catalog"] = ORACLE_SQL["load_day_catalog"]
+ORACLE_SQL["publish_day_details"] = _with(_DETAILS) + """
+SELECT appid, ingestion_date, success, name FROM details"""
+ORACLE_SQL["failed_reviews"] = _with(_REVIEW_PAYLOADS) + """
+SELECT appid FROM c WHERE error IS NOT NULL"""
 ORACLE_SQL["build_all_details_reviews"] = ORACLE_SQL["mart_details_reviews"]

@@ -12,15 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.filters import only_success
+from ..operators.filters import on_day, only_success
+from ..operators.keys import processed_keys, union_processed
 from ..operators.latest import latest_per_key
-from ..schemas import APPDETAILS, CATALOG, REVIEWS
+from ..schemas import APPDETAILS, CATALOG, HISTORY_TYPED_DDL, REVIEWS
 from ..sources.derived import AS_OF, PENDING_RUN_DAY
 from . import incremental, marts, staging
-from ..sources.feeds import load_feed, feed_path, read_catalog, read_failed
+from ..sources.feeds import (feed_path, latest_feed_day, load_feed, read_catalog,
+                             read_catalog_or_latest, read_failed, read_feed_day,
+                             read_feed_history)
 from ..sources.tables import raw
-from .fixtures import (built_db, ingest_root, loaded_root, pending_root, published_root,
-                       raw_feed)
+from .fixtures import (REPLACED_DAY, built_db, ingest_root, loaded_root, pending_root,
+                       published_root, raw_feed, replaced_root)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +140,36 @@ def q_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.run_counts(spark, root, APPDETAILS, PENDING_RUN_DAY)
 
 
+def q_run_counts_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a run that fetches at most 100 keys."""
+    root = pending_root(spark, sf_dir)
+    return incremental.run_counts(spark, root, APPDETAILS, PENDING_RUN_DAY, limit=PENDING_LIMIT)
+
+
+def q_union_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Historic keys (all files but today's) and today's, as a set union."""
+    root = pending_root(spark, sf_dir)
+    hist = read_feed_history(spark, root, APPDETAILS, exclude_day=PENDING_RUN_DAY,
+                             ddl=HISTORY_TYPED_DDL)
+    today = read_feed_day(spark, root, APPDETAILS, PENDING_RUN_DAY, ddl=HISTORY_TYPED_DDL)
+    return union_processed(processed_keys(hist), processed_keys(today))
+
+
+def q_processed_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys done in the run day's own file."""
+    root = pending_root(spark, sf_dir)
+    return processed_keys(read_feed_day(spark, root, REVIEWS, PENDING_RUN_DAY,
+                                        ddl=HISTORY_TYPED_DDL))
+
+
+def q_catalog_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog of a day without a file: the greatest catalog file is read."""
+    root = pending_root(spark, sf_dir)
+    return read_catalog_or_latest(spark, root, "1996-1-1").select(
+        "appid", "name", "partition_date", F.lit(latest_feed_day(spark, root, CATALOG))
+        .cast("date").alias("file_day"))
+
+
 # -- normalisers and sinks --------------------------------------------------
 def _json_text(col: str, path: str) -> Column:
     return F.get_json_object(F.col(col), path)
@@ -202,6 +235,43 @@ def q_publish_day_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_score_desc", "name")
 
 
+def q_failed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the reviews rows that failed with an exception."""
+    return read_failed(spark, ingest_root(spark, sf_dir), REVIEWS, AS_OF)
+
+
+def q_publish_day_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The details copy of a published day."""
+    root = published_root(spark, sf_dir)
+    return load_feed(spark, feed_path(root, APPDETAILS, AS_OF), APPDETAILS).select(
+        "appid", "ingestion_date", "success", "name")
+
+
+def q_publish_day_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog copy of a published day."""
+    root = published_root(spark, sf_dir)
+    return load_feed(spark, feed_path(root, CATALOG, AS_OF), CATALOG).select(
+        "appid", "name", "partition_date")
+
+
+def q_replace_day_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole reviews table after one of its days was loaded again, twice."""
+    return raw(spark, replaced_root(spark, sf_dir, False), REVIEWS).select(
+        "appid", "ingestion_date", "success", "total_reviews", "review_score_desc")
+
+
+def q_replace_day_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole reviews table after one of its days was loaded without rows."""
+    return raw(spark, replaced_root(spark, sf_dir, True), REVIEWS).select(
+        "appid", "ingestion_date", "success", "total_reviews", "review_score_desc")
+
+
+def q_raw_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the raw reviews table, by its partition."""
+    return on_day(raw(spark, replaced_root(spark, sf_dir, False), REVIEWS),
+                  "ingestion_date", REPLACED_DAY).select("appid", "total_reviews", "success")
+
+
 def q_build_all_details_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """build_all over the loaded day-partitioned raw tables; the written
     details ⟕ reviews mart read back."""
@@ -225,6 +295,10 @@ QUERIES: dict[str, Query] = {
     "pending_reviews": q_pending_reviews,
     "limit_pending": q_limit_pending,
     "run_counts": q_run_counts,
+    "run_counts_limited": q_run_counts_limited,
+    "union_processed": q_union_processed,
+    "processed_today": q_processed_today,
+    "catalog_fallback": q_catalog_fallback,
     "ingest_details": q_ingest_details,
     "failed_details": q_failed_details,
     "ingest_reviews": q_ingest_reviews,
@@ -232,5 +306,11 @@ QUERIES: dict[str, Query] = {
     "load_day_reviews": q_load_day_reviews,
     "load_day_catalog": q_load_day_catalog,
     "publish_day_reviews": q_publish_day_reviews,
+    "publish_day_details": q_publish_day_details,
+    "publish_day_catalog": q_publish_day_catalog,
+    "failed_reviews": q_failed_reviews,
+    "replace_day_twice": q_replace_day_twice,
+    "replace_day_emptied": q_replace_day_emptied,
+    "raw_on_day": q_raw_on_day,
     "build_all_details_reviews": q_build_all_details_reviews,
 }

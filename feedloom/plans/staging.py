@@ -9,7 +9,7 @@ from ..functions.json_fields import (as_structs, cents_to_price, json_scalar,
                                      parse_details_raw, to_bool)
 from ..operators.filters import only_success
 from ..operators.latest import latest_per_key
-from ..session import checkpoint_root
+from ..session import scratch_dir
 
 REVIEW_COLUMNS = ("appid", "total_reviews", "good_reviews", "bad_reviews",
                   "review_score", "review_score_desc")
@@ -49,15 +49,17 @@ def stg_appdetails(raw: DataFrame, method: str = "join") -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a model once to the shared checkpoint folder and read it back.
+    """Write a model once as parquet in the shared scratch folder and read it back.
 
     ``stg_appdetails`` holds all JSON parsing; a mart filter on a parsed
     column (release date) would otherwise be pushed below the latest-day join
     and parse ``raw`` for every historic row, several times.  The written
-    copy is a plan boundary, so parsing happens once per latest row.
+    copy is a plan boundary, so parsing happens once per latest row, and columnar:
+    each mart reads its own columns and pushes its filters into the scan.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, "model")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stg_reviews(raw: DataFrame, method: str = "join") -> DataFrame:

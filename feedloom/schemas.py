@@ -46,8 +46,6 @@ RELEASE_DATE_FORMAT_FULL_MONTH = "MMMM d, yyyy"
 # Day partition column of each feed.
 DATE_COLUMN = {CATALOG: "partition_date", APPDETAILS: "ingestion_date",
                REVIEWS: "ingestion_date"}
-SOURCE_NAME = {CATALOG: SOURCE_CATALOG, APPDETAILS: SOURCE_APPDETAILS,
-               REVIEWS: SOURCE_REVIEWS}
 
 # ---------------------------------------------------------------------------
 # Feed file schemas (one JSON object per line).  ``raw`` / ``error_payload``
@@ -91,9 +89,12 @@ FILE_DDL = {CATALOG: CATALOG_FILE_DDL, APPDETAILS: APPDETAILS_FILE_DDL,
 RAW_DDL = {CATALOG: CATALOG_RAW_DDL, APPDETAILS: APPDETAILS_RAW_DDL,
            REVIEWS: REVIEWS_RAW_DDL}
 
-# History reader for processed keys: keys may be quoted in old files, and a
-# quoted key read as bigint would drop the whole record, so read text and cast.
+# History reader for processed keys: keys and flags may have any JSON type in
+# old files, and a quoted key read as bigint would drop the whole record.  Plain
+# readers get text; key sets read the typed form, as the text "false" is not the
+# value false.
 HISTORY_DDL = "appid string, success string"
+HISTORY_TYPED_DDL = "appid variant, success variant"
 
 # The only paths of ``appdetails.raw`` ever read downstream.  Leaves are text
 # (like a JSON-path scalar) and are cast where used; ids stay text because

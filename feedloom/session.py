@@ -2,7 +2,8 @@
 
 Jobs cut lineage and stage intermediate files only under the folder the
 cluster names in ``spark.checkpoint.dir``.  A folder of our own is set only
-when the session has none (local tests).
+when a session in one process (master ``local[...]``, as in tests) has none; any
+other session must name one.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # checkpointed models (staging) are removed once no DataFrame uses them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # a JSON object that repeats a key keeps its last value
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -52,11 +55,20 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and "
+                             "all executors share")
         configured = tempfile.mkdtemp(prefix="feedloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint folder."""
     root = checkpoint_root(spark)

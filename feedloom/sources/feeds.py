@@ -8,15 +8,14 @@ Readers always pass an explicit schema; nothing is inferred.
 from __future__ import annotations
 
 import re
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import (CATALOG, DATE_COLUMN, FILE_DDL, HISTORY_DDL, RAW_DDL,
-                       struct_of)
+from ..schemas import CATALOG, FILE_DDL, HISTORY_DDL, RAW_DDL, struct_of
 
 FEED_DAY = "feed_day"
 _DAY_RE = r"(\d{4}-\d{2}-\d{2})"
@@ -26,8 +25,28 @@ def feed_dir(root: str, feed: str) -> str:
     return f"{root.rstrip('/')}/{feed}"
 
 
+def iso_day(day: date | str) -> str:
+    """``YYYY-MM-DD`` of a date or of its text; ``2024-1-2`` is 2024-01-02.
+
+    Anything else raises: a day names files and folders, so it has one spelling.
+    """
+    if isinstance(day, datetime):
+        return day.date().isoformat()
+    if isinstance(day, date):
+        return day.isoformat()
+    m = re.fullmatch(r"(\d{4})-(\d{1,2})-(\d{1,2})", day.strip())
+    if not m:
+        raise ValueError(f"not a day: {day!r}")
+    return date(*map(int, m.groups())).isoformat()
+
+
+def path_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because nothing is at its path (and for no other reason)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def feed_path(root: str, feed: str, day: date | str) -> str:
-    return f"{feed_dir(root, feed)}/{feed}_{day}.jsonl"
+    return f"{feed_dir(root, feed)}/{feed}_{iso_day(day)}.jsonl"
 
 
 def feed_glob(root: str, feed: str) -> str:
@@ -35,7 +54,7 @@ def feed_glob(root: str, feed: str) -> str:
 
 
 def failed_path(root: str, feed: str, day: date | str) -> str:
-    return f"{root.rstrip('/')}/{feed}_failed/{feed}_failed_{day}.txt"
+    return f"{root.rstrip('/')}/{feed}_failed/{feed}_failed_{iso_day(day)}.txt"
 
 
 def day_of_file(feed: str, path: Column | str) -> Column:
@@ -63,6 +82,8 @@ def latest_feed_day(spark: SparkSession, root: str, feed: str) -> str:
     try:
         files = spark.read.text(feed_glob(root, feed)).inputFiles()
     except AnalysisException as e:
+        if not path_missing(e):
+            raise
         raise FileNotFoundError(f"no {feed} files under {feed_dir(root, feed)}") from e
     days = [m.group(1) for f in files
             if (m := re.search(rf"/{re.escape(feed)}_{_DAY_RE}\.jsonl(/|$)", f))]
@@ -76,7 +97,9 @@ def read_catalog_or_latest(spark: SparkSession, root: str, day: date | str,
     """The day's catalog, else the greatest catalog file (may be newer)."""
     try:
         return read_catalog(spark, root, day, ddl)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return read_catalog(spark, root, latest_feed_day(spark, root, CATALOG), ddl)
 
 
@@ -88,17 +111,21 @@ def read_feed_history(spark: SparkSession, root: str, feed: str,
                       ddl: str = HISTORY_DDL) -> DataFrame:
     """Every dated output file of ``feed`` (optionally without one day).
 
-    Malformed lines are skipped.  Keys and flags are read as text (old files
-    may quote them); a ``feed_day`` column names the file's day.
+    Malformed lines are skipped.  Keys and flags are read as text (old files may
+    quote them), or with their JSON type under ``HISTORY_TYPED_DDL``; a
+    ``feed_day`` column names the file's day.  Only a feed without any file is an empty history; any other
+    failure to read it raises.
     """
     try:
         df = (spark.read.schema(ddl).option("mode", "DROPMALFORMED")
               .json(feed_glob(root, feed)))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):  # only "never written" means nothing done yet
+            raise
         return _empty(spark, ddl).withColumn(FEED_DAY, F.lit(None).cast("string"))
     df = df.withColumn(FEED_DAY, day_of_file(feed, F.col("_metadata.file_path")))
     if exclude_day is not None:
-        df = df.filter(F.col(FEED_DAY) != F.lit(str(exclude_day)))
+        df = df.filter(F.col(FEED_DAY) != F.lit(iso_day(exclude_day)))
     return df
 
 
@@ -108,7 +135,9 @@ def read_feed_day(spark: SparkSession, root: str, feed: str, day: date | str,
     try:
         return (spark.read.schema(ddl).option("mode", "DROPMALFORMED")
                 .json(feed_path(root, feed, day)))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return _empty(spark, ddl)
 
 
@@ -160,9 +189,7 @@ def read_failed(spark: SparkSession, root: str, feed: str, day: date | str) -> D
     try:
         return spark.read.text(failed_path(root, feed, day)).select(
             F.col("value").cast("bigint").alias("appid"))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return _empty(spark, "appid bigint")
-
-
-def date_column(feed: str) -> str:
-    return DATE_COLUMN[feed]

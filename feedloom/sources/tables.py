@@ -8,13 +8,15 @@ track thousands of day partitions; ``register_views`` exposes them to SQL.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DATE_COLUMN, FEEDS, RAW_DDL, columns_of, struct_of
+from ..session import file_system, scratch_dir
+from .feeds import iso_day
 
 
 def table_path(root: str, feed: str) -> str:
@@ -22,33 +24,27 @@ def table_path(root: str, feed: str) -> str:
 
 
 def day_path(root: str, feed: str, day: date | str) -> str:
-    return f"{table_path(root, feed)}/{DATE_COLUMN[feed]}={day}"
+    return f"{table_path(root, feed)}/{DATE_COLUMN[feed]}={iso_day(day)}"
 
 
 def raw(spark: SparkSession, root: str, feed: str) -> DataFrame:
     """A raw table: explicit schema, day column from the folder names.
 
-    Filters on the day column prune folders (``PartitionFilters``).
+    Filters on the day column prune folders (``PartitionFilters``).  A table that
+    was never created raises, so a mistyped root can't empty a mart.
     """
     path = table_path(root, feed)
-    try:
-        return (spark.read.schema(struct_of(RAW_DDL[feed])).option("basePath", path)
-                .parquet(path))
-    except AnalysisException:
-        return spark.createDataFrame([], struct_of(RAW_DDL[feed]))
+    return (spark.read.schema(struct_of(RAW_DDL[feed])).option("basePath", path)
+            .parquet(path))
 
 
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
-    """Create each raw table folder (empty, with its schema) when absent."""
-    paths = []
-    for feed in FEEDS:
-        path = table_path(root, feed)
-        try:
-            spark.read.parquet(path)
-        except AnalysisException:
-            empty = spark.createDataFrame([], struct_of(RAW_DDL[feed]))
-            empty.write.mode("append").partitionBy(DATE_COLUMN[feed]).parquet(path)
-        paths.append(path)
+    """Create each raw table's folder when absent; existing ones are not listed."""
+    paths = [table_path(root, feed) for feed in FEEDS]
+    for path in paths:
+        fs, p = file_system(spark, path)
+        if not fs.exists(p) and not fs.mkdirs(p):
+            raise OSError(f"can't create {path}")
     return paths
 
 
@@ -71,28 +67,44 @@ def conform(df: DataFrame, feed: str) -> DataFrame:
 
 
 def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
-    """Idempotent day load: the day's folder is replaced by the day's rows.
-
-    The day is overwritten also when the feed has no row of it (it is then
-    emptied).  Rows dated another day are appended to their days without
-    clearing them; they are range-partitioned on (day, appid) so each task
-    writes few folders and no day lands in one task.  Files are sorted by
-    appid (clustering: tight min/max statistics per file).  Delete and
-    append are two jobs, not one transaction.
+    """Day load: the day's folder is replaced by the day's rows.
+
+    ``df`` is scanned once, into a scratch table, so a bad record anywhere in it
+    fails the load while the old day is still whole.  The day's rows are
+    range-partitioned and sorted by appid (tight min/max statistics per file)
+    into a folder beside the day, which then takes the day's place by a rename.
+    The day is replaced also when the feed has no row of it (it is then emptied).
+
+    Rows dated another day are appended to their days without clearing them; a
+    load that is run again appends them again.  They are range-partitioned on
+    (day, appid), so each task writes few folders and no day lands in one task.
     """
-    col = DATE_COLUMN[feed]
-    df = conform(df, feed)
+    spark, col = df.sparkSession, DATE_COLUMN[feed]
+    staged_path = scratch_dir(spark, "load")
+    conform(df, feed).write.parquet(staged_path)
+    staged = spark.read.schema(struct_of(RAW_DDL[feed])).parquet(staged_path)
+
     data_cols = [c for c in columns_of(RAW_DDL[feed]) if c != col]
-    d = F.lit(str(day)).cast("date")
-    today = df.filter(F.col(col) == d).select(*data_cols).sortWithinPartitions("appid")
-    today.write.mode("overwrite").parquet(day_path(root, feed, day))
-    other = df.filter(F.col(col).isNull() | (F.col(col) != d)).select(
+    d = F.lit(iso_day(day)).cast("date")
+    new = f"{table_path(root, feed)}/_load-{uuid.uuid4().hex}"  # readers skip "_" names
+    (staged.filter(F.col(col) == d).select(*data_cols)
+     .repartitionByRange("appid").sortWithinPartitions("appid").write.parquet(new))
+    target = day_path(root, feed, day)
+    fs, p = file_system(spark, target)
+    fs.delete(p, True)
+    if not fs.rename(file_system(spark, new)[1], p):
+        raise OSError(f"can't move {new} to {target}")
+
+    other = staged.filter(F.col(col).isNull() | (F.col(col) != d)).select(
         *columns_of(RAW_DDL[feed]))
-    # a fixed range count: AQE would merge small ranges into a few tasks that
-    # then write every day folder one after another
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (other.repartitionByRange(n, col, "appid").sortWithinPartitions(col, "appid")
-     .write.mode("append").partitionBy(col).parquet(table_path(root, feed)))
+    if other.take(1):
+        # a fixed range count: AQE would merge small ranges into a few tasks that
+        # then write every day folder one after another
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (other.repartitionByRange(n, col, "appid").sortWithinPartitions(col, "appid")
+         .write.mode("append").partitionBy(col).parquet(table_path(root, feed)))
+    fs, p = file_system(spark, staged_path)
+    fs.delete(p, True)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -112,5 +124,9 @@ def as_table(df: DataFrame, name: str, path: str | None = None,
     if path:
         w = w.option("path", path)
     if buckets:
-        w = w.bucketBy(buckets, key).sortBy(key)
+        # one task a bucket, so one file a bucket
+        w = (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+             .bucketBy(buckets, key).sortBy(key))
+        if path:
+            w = w.option("path", path)
     w.saveAsTable(name)

@@ -165,6 +165,34 @@ def test_17_quoted_history_key(spark, tmp):
             .collect()] == [2]
 
 
+def test_17b_keys_and_flags_by_json_type(spark, tmp):
+    write_lines(feed_path(tmp, "steam_appdetails", "2024-01-01"),
+                ['{"appid": 5.0, "success": true}', '{"appid": 6, "success": "false"}',
+                 '{"appid": 7, "success": "0"}', '{"appid": 8, "success": ""}',
+                 '{"appid": 9, "success": 0}', '{"appid": 10, "success": 1}',
+                 '{"appid": 11, "success": []}', '{"appid": 12, "success": {"a": 1}}',
+                 '{"appid": null, "success": true}', '{"appid": 13, "success": null}'])
+    got = sorted(r.appid for r in incremental.processed(spark, tmp, "steam_appdetails").collect())
+    assert got == [5, 6, 7, 10, 12]
+
+
+def test_17c_repeated_keys_and_odd_values_in_payloads(spark, tmp):
+    ingest(spark, spark.createDataFrame([
+        (1, '{"1": {"success": false, "success": true, "data": {"name": "a", "name": "b"}}}', None),
+        (2, '{"2": {"success": "no", "data": {"name": "c"}}}', None),
+        (3, '{"3": {"success": 0, "data": {"name": "d"}}}', None)],
+        "appid long, payload string, error string"), "steam_appdetails", tmp, "2024-01-02", "t")
+    rows = {r.appid: r for r in load_feed(
+        spark, feed_path(tmp, "steam_appdetails", "2024-01-02"), "steam_appdetails").collect()}
+    assert [(rows[k].success, rows[k].name) for k in (1, 2, 3)] == [
+        (True, "b"), (True, "c"), (False, None)]
+    ingest(spark, spark.createDataFrame(
+        [(1, '{"success": 1, "query_summary": {"total_reviews": 3.7}}', None)],
+        "appid long, payload string, error string"), "steam_reviews", tmp, "2024-01-02", "t")
+    with pytest.raises(Exception):  # not cut to 3
+        load_feed(spark, feed_path(tmp, "steam_reviews", "2024-01-02"), "steam_reviews").collect()
+
+
 def test_18_catalog_order_and_limit(spark, tmp):
     write_lines(feed_path(tmp, "steam_catalog", "2024-01-02"),
                 [{"appid": a} for a in (50, 7, 50, 3, 7, 9)])

@@ -1,16 +1,17 @@
-"""End-to-end jobs on hand-written feeds: publish → load → build, and the
-file-arrival day loader."""
+"""End-to-end jobs on hand-written feeds: publish → load → build."""
 
 from __future__ import annotations
 
+import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from feedloom.plans.jobs import build_all, load_day, publish_day
 from feedloom.sources.feeds import feed_path
-from feedloom.sources.tables import raw
-from feedloom.streaming import start_day_loader
+from feedloom.sources.tables import raw, replace_day
 
 from .helpers import details_raw, details_row, reviews_row, write_lines
 
@@ -57,18 +58,65 @@ def test_publish_needs_catalog_and_details(spark, tmp):
     assert not os.path.exists(feed_path(lake, "steam_catalog", DAY))
 
 
-def test_stream_day_loader_loads_new_days_once(spark, tmp):
+def test_missing_raw_table_raises_and_leaves_the_mart(spark, tmp):
+    src, wh, marts_at = (os.path.join(tmp, d) for d in ("local", "raw", "marts"))
+    _land(src)
+    load_day(spark, src, DAY, wh)
+    build_all(spark, wh, out_db="feedloom_kept", location=marts_at, select=["mart_steam_reviews"])
+    with pytest.raises(AnalysisException):
+        build_all(spark, wh + "x", out_db="feedloom_kept", location=marts_at,
+                  select=["mart_steam_reviews"])
+    assert spark.table("feedloom_kept.mart_steam_reviews").count() == 2
+
+
+def test_one_mart_alone_parses_once(spark, tmp):
+    src, wh = os.path.join(tmp, "local"), os.path.join(tmp, "raw")
+    _land(src)
+    load_day(spark, src, DAY, wh)
+    build_all(spark, wh, out_db="feedloom_one", as_of="2024-06-30",
+              location=os.path.join(tmp, "marts"), select=["mart_steam_genres"])
+    plan = spark.table("stg_steam_appdetails")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "parquet" in plan
+    assert spark.table("feedloom_one.mart_steam_genres").count() == 1
+
+
+def test_a_bad_record_leaves_the_old_day_whole(spark, tmp):
     lake, wh = os.path.join(tmp, "lake"), os.path.join(tmp, "raw")
-    ckpt = os.path.join(tmp, "ckpt")
-    _land(lake, "2024-01-01")
-    q = start_day_loader(spark, lake, wh, "steam_reviews", checkpoint=ckpt)
-    q.awaitTermination()
-    assert raw(spark, wh, "steam_reviews").count() == 2
-    _land(lake, "2024-01-02")
-    q = start_day_loader(spark, lake, wh, "steam_reviews", checkpoint=ckpt)
-    q.awaitTermination()
-    days = sorted(str(r.ingestion_date) for r in raw(spark, wh, "steam_reviews").collect())
-    assert days == ["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-02"]
+    write_lines(feed_path(lake, "steam_reviews", DAY), [reviews_row(1, DAY), reviews_row(2, DAY)])
+    load_day(spark, lake, DAY, wh, feeds=("steam_reviews",))
+    write_lines(feed_path(lake, "steam_reviews", DAY),
+                [json.dumps(reviews_row(9, DAY)),
+                 json.dumps(reviews_row(3, "2024-01-01")).replace("10", "3.7", 1),
+                 '{"ingestion_date": "2024-01-01", "appid": "no number"}'])
+    with pytest.raises(Exception):
+        load_day(spark, lake, DAY, wh, feeds=("steam_reviews",))
+    assert sorted(r.appid for r in raw(spark, wh, "steam_reviews").collect()) == [1, 2]
+
+
+def test_a_day_has_one_spelling(spark, tmp):
+    lake, wh = os.path.join(tmp, "lake"), os.path.join(tmp, "raw")
+    write_lines(feed_path(lake, "steam_reviews", "2024-1-2"), [reviews_row(1, DAY)])
+    for day in (DAY, "2024-1-2"):
+        load_day(spark, lake, day, wh, feeds=("steam_reviews",))
+    assert raw(spark, wh, "steam_reviews").count() == 1
+    for bad in ("2024-13-01", "yesterday", "2024/01/02", ""):
+        with pytest.raises(ValueError):
+            load_day(spark, lake, bad, wh, feeds=("steam_reviews",))
+
+
+def test_a_day_is_clustered_by_key(spark, tmp):
+    df = spark.range(200_000).selectExpr(
+        "date'2024-01-02' AS ingestion_date", "'s' AS source", "(id * 7919) % 200000 AS appid",
+        "true AS success").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        replace_day(df, tmp, "steam_reviews", DAY)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    spans = (raw(spark, tmp, "steam_reviews").groupBy(F.input_file_name())
+             .agg(F.min("appid").alias("lo"), F.max("appid").alias("hi")).orderBy("lo").collect())
+    assert len(spans) > 1 and all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
 
 
 def test_bucketed_marts_join_without_shuffle(spark, tmp):
@@ -99,7 +147,7 @@ def test_cli_runs_the_daily_steps(spark, tmp):
     assert main(["publish", "--src", src, "--lake", lake, "--date", DAY]) == 0
     assert main(["load", "--lake", lake, "--raw", wh, "--date", DAY]) == 0
     assert main(["build", "--raw", wh, "--db", "feedloom_cli", "--as-of", "2024-06-30",
-                 "--select", "mart_steam_reviews", "--latest", "rank",
+                 "--select", "mart_steam_reviews",
                  "--location", os.path.join(tmp, "marts")]) == 0
     assert spark.table("feedloom_cli.mart_steam_reviews").count() == 2
     out = os.path.join(tmp, "pending")
