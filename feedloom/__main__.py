@@ -3,6 +3,7 @@
     python -m feedloom pending  --root R --feed steam_appdetails --date D [--limit N] --out P
     python -m feedloom publish  --src S --lake L --date D
     python -m feedloom load     --lake L --raw W --date D
+    python -m feedloom views    --raw W [--db steam_raw]
     python -m feedloom build    --raw W [--db steam] [--select m1,m2] [--as-of D]
                                 [--buckets N]
 
@@ -39,6 +40,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--lake", required=True)
     p.add_argument("--raw", required=True)
     p.add_argument("--date", default=_today())
+    p = sub.add_parser("views", help="raw tables and staging views in the catalog")
+    p.add_argument("--raw", required=True)
+    p.add_argument("--db", default="steam_raw")
     p = sub.add_parser("build", help="build staging views and mart tables")
     p.add_argument("--raw", required=True)
     p.add_argument("--db", default="steam")
@@ -57,6 +61,8 @@ def main(argv: list[str] | None = None) -> int:
         jobs.publish_day(spark, a.src, a.lake, a.date)
     elif a.cmd == "load":
         jobs.load_day(spark, a.lake, a.date, a.raw)
+    elif a.cmd == "views":
+        jobs.publish_views(spark, a.raw, a.db)
     elif a.cmd == "build":
         select = a.select.split(",") if a.select else None
         jobs.build_all(spark, a.raw, a.db, select, a.as_of, a.location, a.buckets)

@@ -2,11 +2,11 @@
 
 from .flags import (array_has, as_of_date, parse_release_date, ratio, self_published,
                     very_indie)
-from .json_fields import (as_structs, block_of, cents_to_price, json_scalar,
-                          parse_details_raw, to_bool, to_json_keep_nulls, to_long)
+from .json_fields import (as_structs, cents_to_price, json_scalar,
+                          parse_details_raw, to_bool, to_long)
 
 __all__ = [
-    "array_has", "as_of_date", "as_structs", "block_of", "cents_to_price",
+    "array_has", "as_of_date", "as_structs", "cents_to_price",
     "json_scalar", "parse_details_raw", "parse_release_date", "ratio",
-    "self_published", "to_bool", "to_json_keep_nulls", "to_long", "very_indie",
+    "self_published", "to_bool", "to_long", "very_indie",
 ]

@@ -162,6 +162,26 @@ def replaced_root(spark: SparkSession, sf_dir: str, emptied: bool) -> str:
         return _WRITTEN[k]
 
 
+def views_db(spark: SparkSession, sf_dir: str) -> str:
+    """Database of raw tables and staging views over three loaded feeds, every
+    row dated to the first of its year."""
+    from ..sources.tables import replace_day
+    from .jobs import publish_views
+
+    with _LOCK:
+        k = _key(spark, sf_dir, "views")
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "raw")
+            for feed, col in ((CATALOG, "partition_date"), (APPDETAILS, "ingestion_date"),
+                              (REVIEWS, "ingestion_date")):
+                df = raw_feed(spark, sf_dir, feed)
+                replace_day(df.withColumn(col, F.trunc(col, "year")), root, feed, AS_OF)
+            db = "feedloom_raw_" + root.rsplit("-", 1)[-1]
+            publish_views(spark, root, db)
+            _WRITTEN[k] = db
+        return _WRITTEN[k]
+
+
 def published_root(spark: SparkSession, sf_dir: str) -> str:
     """Lake folder the derived feeds of day ``AS_OF`` were published to."""
     from .jobs import publish_day

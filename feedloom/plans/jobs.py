@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..schemas import APPDETAILS, CATALOG, FEEDS, REVIEWS
 from ..session import scratch_dir
 from ..sources.feeds import (feed_path, load_feed, write_failed, write_feed_day)
-from ..sources.tables import as_table, as_view, ensure_tables, raw, replace_day
+from ..sources.tables import (as_table, as_view, create_latest_view, ensure_tables, raw,
+                              register_tables, replace_day)
 from . import marts, staging
 from .normalize import FAILED, SHAPERS, catalog_from_pages, feed_columns
 
@@ -90,6 +91,26 @@ def load_day(spark: SparkSession, lake_root: str, day: date | str, raw_root: str
                     raw_root, feed, day)
 
 
+def publish_views(spark: SparkSession, raw_root: str, db: str) -> list[str]:
+    """Raw tables and staging models for SQL users, in the catalog.
+
+    Tables over the raw folders, and permanent views of the catalog and reviews
+    staging over them.  The details staging is parsed once into parquet beside
+    the raw tables, and its view reads that copy; run this after a load.
+    """
+    tables = register_tables(spark, raw_root, db)
+    path = f"{raw_root.rstrip('/')}/stg_steam_appdetails"
+    staging.stg_appdetails(raw(spark, raw_root, APPDETAILS)).write.mode("overwrite").parquet(path)
+    name = f"{db}.stg_steam_appdetails"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return tables + [
+        create_latest_view(spark, f"{db}.stg_steam_catalog", f"{db}.{CATALOG}", CATALOG,
+                           ("appid", "name")),
+        name,
+        create_latest_view(spark, f"{db}.stg_steam_reviews", f"{db}.{REVIEWS}", REVIEWS,
+                           staging.REVIEW_COLUMNS)]
+
+
 # --------------------------------------------------------------------------
 # Build every model
 # --------------------------------------------------------------------------

@@ -290,6 +290,20 @@ FROM reviews""",
 SELECT appid, name, partition_date FROM catalog""",
 })
 ORACLE_SQL["publish_day_reviews"] = ORACLE_SQL["load_day_reviews"]
+ORACLE_SQL["view_stg_catalog"] = _with(_CATALOG) + """
+SELECT DISTINCT appid, name FROM catalog
+QUALIFY date_trunc('year', partition_date)
+      = max(date_trunc('year', partition_date)) OVER (PARTITION BY appid)"""
+ORACLE_SQL["view_stg_reviews"] = _with(_REVIEWS, _YEARS) + """
+SELECT DISTINCT appid, total_reviews, good_reviews, bad_reviews, review_score, review_score_desc
+FROM (SELECT * FROM years QUALIFY ingestion_date = max(ingestion_date) OVER (PARTITION BY appid))"""
+ORACLE_SQL["view_stg_appdetails"] = _with(_DETAILS) + """
+SELECT DISTINCT appid, name FROM details WHERE success
+QUALIFY date_trunc('year', ingestion_date)
+      = max(date_trunc('year', ingestion_date)) OVER (PARTITION BY appid)"""
+ORACLE_SQL["table_raw_details"] = _with(_DETAILS) + """
+SELECT appid, CAST(date_trunc('year', ingestion_date) AS DATE) AS ingestion_date, success, name
+FROM details"""
 ORACLE_SQL["publish_day_catalog"] = ORACLE_SQL["load_day_catalog"]
 ORACLE_SQL["publish_day_details"] = _with(_DETAILS) + """
 SELECT appid, ingestion_date, success, name FROM details"""

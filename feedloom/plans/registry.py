@@ -23,7 +23,7 @@ from ..sources.feeds import (feed_path, latest_feed_day, load_feed, read_catalog
                              read_feed_history)
 from ..sources.tables import raw
 from .fixtures import (REPLACED_DAY, built_db, ingest_root, loaded_root, pending_root,
-                       published_root, raw_feed, replaced_root)
+                       published_root, raw_feed, replaced_root, views_db)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,6 +272,25 @@ def q_raw_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
                   "ingestion_date", REPLACED_DAY).select("appid", "total_reviews", "success")
 
 
+# Staging models as another session of the catalog sees them.
+def q_view_stg_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.newSession().table(f"{views_db(spark, sf_dir)}.stg_steam_catalog")
+
+
+def q_view_stg_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.newSession().table(f"{views_db(spark, sf_dir)}.stg_steam_reviews")
+
+
+def q_view_stg_appdetails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = spark.newSession().table(f"{views_db(spark, sf_dir)}.stg_steam_appdetails")
+    return s.select("appid", "name").distinct()
+
+
+def q_table_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.newSession().table(f"{views_db(spark, sf_dir)}.{APPDETAILS}").select(
+        "appid", "ingestion_date", "success", "name")
+
+
 def q_build_all_details_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """build_all over the loaded day-partitioned raw tables; the written
     details ⟕ reviews mart read back."""
@@ -312,5 +331,9 @@ QUERIES: dict[str, Query] = {
     "replace_day_twice": q_replace_day_twice,
     "replace_day_emptied": q_replace_day_emptied,
     "raw_on_day": q_raw_on_day,
+    "view_stg_catalog": q_view_stg_catalog,
+    "view_stg_reviews": q_view_stg_reviews,
+    "view_stg_appdetails": q_view_stg_appdetails,
+    "table_raw_details": q_table_raw_details,
     "build_all_details_reviews": q_build_all_details_reviews,
 }

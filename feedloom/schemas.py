@@ -108,12 +108,6 @@ DETAILS_RAW_JSON_DDL = (
     "genres array<struct<id: string, description: string>>"
 )
 
-# Landed API payload tables (input of the normalisers).
-CATALOG_PAGES_DDL = "page_no int, payload string"
-DETAILS_PAYLOADS_DDL = "appid bigint, payload string, error string"
-REVIEWS_PAYLOADS_DDL = "appid bigint, payload string, error string"
-
-
 def struct_of(ddl: str) -> T.StructType:
     """StructType of a DDL string."""
     return T.StructType.fromDDL(ddl)

@@ -2,8 +2,8 @@
 
 Raw tables are parquet folders partitioned by their day column
 (``<root>/<feed>/<day_col>=YYYY-MM-DD/``).  They are addressed by path, so a
-load touches only the folders of the days it writes and no metastore has to
-track thousands of day partitions; ``register_views`` exposes them to SQL.
+load touches only the folders of the days it writes; ``register_tables`` puts
+them into the catalog for SQL and other sessions.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.filters import off_day, on_day
 from ..schemas import DATE_COLUMN, FEEDS, RAW_DDL, columns_of, struct_of
 from ..session import file_system, scratch_dir
 from .feeds import iso_day
@@ -48,15 +49,38 @@ def ensure_tables(spark: SparkSession, root: str) -> list[str]:
     return paths
 
 
-def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
-    """Temp views ``<prefix><feed>`` over the raw tables, for SQL users."""
+def register_tables(spark: SparkSession, root: str, db: str) -> list[str]:
+    """Catalog tables ``<db>.<feed>`` over the raw folders, day-partitioned.
+
+    They are external: every session of the catalog reads them, and dropping one
+    keeps the data.  Days that the catalog does not know yet are added.
+    """
+    ensure_tables(spark, root)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     names = []
     for feed in FEEDS:
-        raw(spark, root, feed).createOrReplaceTempView(prefix + feed)
-        names.append(prefix + feed)
+        name = f"{db}.{feed}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                         for f in struct_of(RAW_DDL[feed]).fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                  f"PARTITIONED BY ({DATE_COLUMN[feed]}) LOCATION '{table_path(root, feed)}'")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        names.append(name)
     return names
 
 
+def create_latest_view(spark: SparkSession, name: str, table: str, feed: str,
+                       columns: tuple[str, ...]) -> str:
+    """A permanent view: distinct ``columns`` of each key's latest day in ``table``."""
+    day, cols = DATE_COLUMN[feed], ", ".join(f"t.{c}" for c in columns)
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {name} AS
+        SELECT DISTINCT {cols} FROM {table} t
+        JOIN (SELECT appid, max({day}) AS day FROM {table} GROUP BY appid) m
+          ON t.appid = m.appid AND t.{day} = m.day""")
+    return name
+
+
 def conform(df: DataFrame, feed: str) -> DataFrame:
     """The raw table's columns in order; absent columns become typed NULLs."""
     have = set(df.columns)
@@ -85,9 +109,9 @@ def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
     staged = spark.read.schema(struct_of(RAW_DDL[feed])).parquet(staged_path)
 
     data_cols = [c for c in columns_of(RAW_DDL[feed]) if c != col]
-    d = F.lit(iso_day(day)).cast("date")
+    day = iso_day(day)
     new = f"{table_path(root, feed)}/_load-{uuid.uuid4().hex}"  # readers skip "_" names
-    (staged.filter(F.col(col) == d).select(*data_cols)
+    (on_day(staged, col, day).select(*data_cols)
      .repartitionByRange("appid").sortWithinPartitions("appid").write.parquet(new))
     target = day_path(root, feed, day)
     fs, p = file_system(spark, target)
@@ -95,8 +119,7 @@ def replace_day(df: DataFrame, root: str, feed: str, day: date | str) -> None:
     if not fs.rename(file_system(spark, new)[1], p):
         raise OSError(f"can't move {new} to {target}")
 
-    other = staged.filter(F.col(col).isNull() | (F.col(col) != d)).select(
-        *columns_of(RAW_DDL[feed]))
+    other = off_day(staged, col, day).select(*columns_of(RAW_DDL[feed]))
     if other.take(1):
         # a fixed range count: AQE would merge small ranges into a few tasks that
         # then write every day folder one after another
