@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import APPDETAILS, CATALOG, FEEDS, REVIEWS
-from ..session import scratch_dir
+from ..session import file_system, scratch_dir
 from ..sources.feeds import (feed_path, load_feed, write_failed, write_feed_day)
 from ..sources.tables import (as_table, as_view, create_latest_view, ensure_tables, raw,
                               register_tables, replace_day)
@@ -26,20 +26,22 @@ def ingest(spark: SparkSession, payloads: DataFrame, feed: str, root: str,
     exception rows' keys to the day's failed list.
 
     Appending makes a rerun resume; keys already done are skipped by
-    ``incremental.pending`` before fetching.  The failed keys come from a second
-    pass over the payloads that shapes nothing but the flag, so no shaped row is
-    held between the two writes.
+    ``incremental.pending`` before fetching.  Payloads are parsed once: the
+    shaped rows go to a scratch table, of which the failed list reads two columns.
     """
     # the payload parser keeps the last value of a repeated JSON key
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     shaped = SHAPERS[feed](payloads, day, ingested_at)
-    paths = {"feed": write_feed_day(shaped.select(*feed_columns(feed)), root, feed, day,
+    path = scratch_dir(spark, "shaped")
+    shaped.write.parquet(path)
+    staged = spark.read.schema(shaped.schema).parquet(path)
+    paths = {"feed": write_feed_day(staged.select(*feed_columns(feed)), root, feed, day,
                                     mode="append")}
-    path = scratch_dir(spark, "failed")
-    shaped.filter(F.col(FAILED)).select("appid").write.parquet(path)
-    failed = spark.read.schema(payloads.select("appid").schema).parquet(path)
+    failed = staged.filter(F.col(FAILED)).select("appid")
     if failed.take(1):
         paths["failed"] = write_failed(failed, root, feed, day)
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
     return paths
 
 
