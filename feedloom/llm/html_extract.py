@@ -41,6 +41,8 @@ PROTECTED_SHARE = 0.3
 #: Share of link text, and links, that make a branch a menu.
 LINK_SHARE = 0.8
 MIN_LINKS = 3
+#: What stands between two blocks of the text.
+BLOCK_JOIN = "\n\n"
 
 # fixed values: HTML element kinds and names of roles
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -245,7 +247,7 @@ class Page:
         for some in (inside, blocks):
             lines = [x for x in (" ".join("".join(t).split()) for _, t in sorted(some.items())) if x]
             if lines:
-                return "\n".join(lines)
+                return BLOCK_JOIN.join(lines)
         return ""
 
 
@@ -296,7 +298,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """One row per page: page_id, url, text, n_chars.
 
     Blocks of text have their references decoded and white space turned into
-    single spaces and are joined by line ends; a page without any has an empty
+    single spaces and are joined by two line ends; a page without any has an empty
     text, as has null html.  Pages without a host form one host.  Repeated rows
     stay rows; other columns are ignored; an empty table gives an empty table.
     """

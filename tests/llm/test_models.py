@@ -20,11 +20,11 @@ SF = "/root/testdata/sf0.001"
 # --- extraction -----------------------------------------------------------
 
 @pytest.mark.parametrize("html, want", [
-    (None, ""), ("", ""), ("plain  text", "plain text"), ("<p>a<p>b &amp; c&nbsp;d<br>e", "a\nb & c d e"),
+    (None, ""), ("", ""), ("plain  text", "plain text"), ("<p>a<p>b &amp; c&nbsp;d<br>e", "a\n\nb & c d e"),
     ("<nav>m</nav><article><h1>T</h1><p>x &lt; y</p><aside>s</aside><form>f</form></article><footer>z</footer>",
-     "T\nx < y"),
+     "T\n\nx < y"),
     ("<div class='sidebar'>s</div><div>main <b>bold</b></div><div id=comments><p>hey</div>", "main bold"),
-    ("<article><header><h1>T</h1></header><p>x</article><header>site</header>", "T\nx"),
+    ("<article><header><h1>T</h1></header><p>x</article><header>site</header>", "T\n\nx"),
     ("<script>var t='<p>';</script><style>p{}</style>x<!-- c --><textarea>zz", "x"),
     ("<article class='comment-open'><p>a</p><section class=comments><article>no</article></section></article>", "a"),
     ("<ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul><p>t", "t"),
@@ -45,7 +45,7 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     got = {r["page_id"]: r for r in html_extract.extract(pages).collect()}
     assert got[7]["text"] == ("Story 7 " * 20).strip() and got[7]["n_chars"] == len(got[7]["text"])
     assert got[100]["text"] == "One story" and got[200]["text"] == "" and got[201]["n_chars"] == 0
-    assert got[None]["text"] == "Same words everywhere\nq"
+    assert got[None]["text"] == "Same words everywhere\n\nq"
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
@@ -57,7 +57,7 @@ def test_extraction_of_the_test_pages(spark):
         body = re.search(r"(?s)<article>(.*?)</article>", h)[1]
         blocks = (re.sub(r"<[^>]*>", " ", b) if "<br>" in b else re.sub(r"<[^>]*>", "", b)
                   for b in re.split(r"</?(?:p|h1)>", body))
-        assert got[i] == "\n".join(x for x in (" ".join(unescape(b).split()) for b in blocks) if x)
+        assert got[i] == "\n\n".join(x for x in (" ".join(unescape(b).split()) for b in blocks) if x)
 
 
 # --- classifiers ----------------------------------------------------------
