@@ -1,13 +1,16 @@
 """Command line: the daily steps as Spark jobs.
 
-    python -m feedloom pending  --root R --feed steam_appdetails --date D [--limit N] --out P
+    python -m feedloom catalog  --pages P --root R --date D
+    python -m feedloom pending  --root R --feed steam_appdetails --date D [--limit N]
+                                [--raw W] --out P
+    python -m feedloom ingest   --payloads P --feed steam_appdetails --root R --date D
     python -m feedloom publish  --src S --lake L --date D
     python -m feedloom load     --lake L --raw W --date D
     python -m feedloom views    --raw W [--db steam_raw]
     python -m feedloom build    --raw W [--db steam] [--select m1,m2] [--as-of D]
                                 [--buckets N]
 
-Dates default to today's UTC date.
+Pages and payloads are landed parquet tables.  Dates default to today's UTC date.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import argparse
 from datetime import datetime, timezone
 
 from .plans import incremental, jobs
+from .plans.normalize import SHAPERS
 from .session import get_session
 
 
@@ -26,11 +30,21 @@ def _today() -> str:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="feedloom")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    p = sub.add_parser("catalog", help="shape landed app-list pages into the day's catalog")
+    p.add_argument("--pages", required=True)
+    p.add_argument("--root", required=True)
+    p.add_argument("--date", default=_today())
+    p = sub.add_parser("ingest", help="shape landed payloads into the day's feed")
+    p.add_argument("--payloads", required=True)
+    p.add_argument("--feed", default="steam_appdetails", choices=sorted(SHAPERS))
+    p.add_argument("--root", required=True)
+    p.add_argument("--date", default=_today())
     p = sub.add_parser("pending", help="write the keys still to fetch")
     p.add_argument("--root", required=True)
     p.add_argument("--feed", default="steam_appdetails")
     p.add_argument("--date", default=_today())
     p.add_argument("--limit", type=int, default=None)
+    p.add_argument("--raw", default=None, help="loaded raw tables to take the history from")
     p.add_argument("--out", required=True)
     p = sub.add_parser("publish", help="copy a day's feeds to the lake")
     p.add_argument("--src", required=True)
@@ -53,8 +67,12 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     spark = get_session()
-    if a.cmd == "pending":
-        keys = incremental.pending(spark, a.root, a.feed, a.date, a.limit)
+    if a.cmd == "catalog":
+        jobs.ingest_catalog(spark, spark.read.parquet(a.pages), a.root, a.date)
+    elif a.cmd == "ingest":
+        jobs.ingest(spark, spark.read.parquet(a.payloads), a.feed, a.root, a.date)
+    elif a.cmd == "pending":
+        keys = incremental.pending(spark, a.root, a.feed, a.date, a.limit, a.raw)
         keys.select("appid", "pos.file", "pos.block", "pos.row") \
             .write.mode("overwrite").parquet(a.out)
     elif a.cmd == "publish":

@@ -81,6 +81,23 @@ def pending_root(spark: SparkSession, sf_dir: str) -> str:
         return _WRITTEN[k]
 
 
+def pending_raw_root(spark: SparkSession, sf_dir: str) -> str:
+    """Raw tables root that holds the history of the pending run: the details
+    rows before the run day, dated to the first of their year."""
+    from ..sources.tables import replace_day
+
+    k = _key(spark, sf_dir, "pending-raw")
+    with _LOCK:
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "raw")
+            old = raw_feed(spark, sf_dir, APPDETAILS).filter(
+                F.col("ingestion_date") < F.lit(PENDING_RUN_DAY).cast("date"))
+            replace_day(old.withColumn("ingestion_date", F.trunc("ingestion_date", "year")),
+                        root, APPDETAILS, AS_OF)
+            _WRITTEN[k] = root
+        return _WRITTEN[k]
+
+
 def ingest_root(spark: SparkSession, sf_dir: str) -> str:
     """Folder where the derived payload tables were ingested on ``AS_OF``:
     details and reviews feeds with failed lists, and the catalog pages."""

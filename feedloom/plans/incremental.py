@@ -11,10 +11,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.filters import only_success
 from ..operators.keys import (POSITION, dedup_ordered, file_position, limit_pending,
-                              nonnull_keys, pending_keys, processed_keys, to_key, truthy)
+                              nonnull_keys, pending_keys, processed_keys, to_key, truthy,
+                              union_processed)
 from ..schemas import HISTORY_TYPED_DDL
-from ..sources.feeds import FEED_DAY, iso_day, read_catalog_or_latest, read_feed_history
+from ..sources.feeds import (FEED_DAY, iso_day, read_catalog_or_latest, read_feed_day,
+                             read_feed_history)
+from ..sources.tables import raw
 
 CATALOG_KEY_DDL = "appid variant"
 
@@ -38,11 +42,26 @@ def processed(spark: SparkSession, root: str, feed: str) -> DataFrame:
     return processed_keys(read_feed_history(spark, root, feed, ddl=HISTORY_TYPED_DDL))
 
 
+def processed_loaded(spark: SparkSession, root: str, feed: str, day: date | str,
+                     raw_root: str) -> DataFrame:
+    """The same keys from the raw table of ``feed`` and today's output file.
+
+    Two narrow parquet columns with the success filter pushed down, in place of
+    all JSON lines ever written.  It equals :func:`processed` where every earlier
+    day was loaded; keys of a day that was not are pending again.
+    """
+    loaded = only_success(raw(spark, raw_root, feed)).select("appid").where("appid IS NOT NULL")
+    today = read_feed_day(spark, root, feed, day, ddl=HISTORY_TYPED_DDL)
+    return union_processed(loaded, processed_keys(today))
+
+
 def pending(spark: SparkSession, root: str, feed: str, day: date | str,
-            limit: int | None = None) -> DataFrame:
-    """(appid, pos) still to fetch; with ``limit`` the first keys in order."""
-    return limit_pending(
-        pending_keys(catalog_keys(spark, root, day), processed(spark, root, feed)), limit)
+            limit: int | None = None, raw_root: str | None = None) -> DataFrame:
+    """(appid, pos) still to fetch; with ``limit`` the first keys in order, with
+    ``raw_root`` by the loaded raw table and today's file."""
+    done = (processed(spark, root, feed) if raw_root is None
+            else processed_loaded(spark, root, feed, day, raw_root))
+    return limit_pending(pending_keys(catalog_keys(spark, root, day), done), limit)
 
 
 def run_counts(spark: SparkSession, root: str, feed: str, day: date | str,

@@ -22,8 +22,8 @@ from ..sources.feeds import (feed_path, latest_feed_day, load_feed, read_catalog
                              read_catalog_or_latest, read_failed, read_feed_day,
                              read_feed_history)
 from ..sources.tables import raw
-from .fixtures import (REPLACED_DAY, built_db, ingest_root, loaded_root, pending_root,
-                       published_root, raw_feed, replaced_root, views_db)
+from .fixtures import (REPLACED_DAY, built_db, ingest_root, loaded_root,
+                       pending_raw_root, pending_root, published_root, raw_feed, replaced_root, views_db)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +125,12 @@ def q_pending_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.pending(spark, root, REVIEWS, PENDING_RUN_DAY).select("appid")
 
 
+def q_pending_details_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys by the loaded raw table and the run day's own file."""
+    return incremental.pending(spark, pending_root(spark, sf_dir), APPDETAILS, PENDING_RUN_DAY,
+                               raw_root=pending_raw_root(spark, sf_dir)).select("appid")
+
+
 PENDING_LIMIT = 100
 
 
@@ -311,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "mart_reviews": q_mart_reviews,
     "mart_details_reviews": q_mart_details_reviews,
     "pending_details": q_pending_details,
+    "pending_details_loaded": q_pending_details_loaded,
     "pending_reviews": q_pending_reviews,
     "limit_pending": q_limit_pending,
     "run_counts": q_run_counts,

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from feedloom.plans.jobs import build_all, load_day, publish_day
-from feedloom.sources.feeds import feed_path
+from feedloom.sources.feeds import feed_path, load_feed, read_catalog
 from feedloom.sources.tables import raw, replace_day
 
 from .helpers import details_raw, details_row, reviews_row, write_lines
@@ -153,3 +153,31 @@ def test_cli_runs_the_daily_steps(spark, tmp):
     out = os.path.join(tmp, "pending")
     assert main(["pending", "--root", src, "--date", DAY, "--limit", "5", "--out", out]) == 0
     assert sorted(r.appid for r in spark.read.parquet(out).collect()) == [2]
+    # the loaded raw table gives the same keys as the feed's files
+    again = os.path.join(tmp, "pending-loaded")
+    assert main(["pending", "--root", src, "--date", DAY, "--raw", wh, "--out", again]) == 0
+    assert sorted(r.appid for r in spark.read.parquet(again).collect()) == [2]
+
+
+def test_cli_shapes_landed_pages_and_payloads(spark, tmp):
+    from feedloom.__main__ import main
+
+    pages, payloads = os.path.join(tmp, "pages"), os.path.join(tmp, "payloads")
+    spark.createDataFrame([(0, '{"response": {"apps": [{"appid": 7, "name": "Seven"}]}}')],
+                          "page_no int, payload string").write.parquet(pages)
+    spark.createDataFrame(
+        [(7, '{"7": {"success": true, "data": {"name": "Seven", "type": "game"}}}', None),
+         (8, None, "timeout")],
+        "appid bigint, payload string, error string").write.parquet(payloads)
+    assert main(["catalog", "--pages", pages, "--root", tmp, "--date", DAY]) == 0
+    assert [(r.appid, r.name) for r in read_catalog(spark, tmp, DAY).collect()] == [(7, "Seven")]
+    assert main(["ingest", "--payloads", payloads, "--root", tmp, "--date", DAY]) == 0
+    feed = {r.appid: r.success for r in load_feed(
+        spark, feed_path(tmp, "steam_appdetails", DAY), "steam_appdetails").collect()}
+    assert feed == {7: True, 8: False}
+    with pytest.raises(ValueError):
+        main(["ingest", "--payloads", payloads, "--root", tmp, "--date", "2024-13-02"])
+    # a raw table that was never created is no empty history
+    with pytest.raises(AnalysisException):
+        main(["pending", "--root", tmp, "--date", DAY, "--raw", os.path.join(tmp, "none"),
+              "--out", os.path.join(tmp, "out")])
