@@ -9,8 +9,9 @@
 3. One exact pass over the narrow table, combined map-side, verifies the
    candidates.  The verified winners, at most 1 / share rows, are broadcast and
    their copies are settled without a shuffle.
-4. All other digests go through an ordinary shuffle; none of these groups has
-   more than ``share`` of the rows.
+4. All other digests go through an ordinary shuffle: a group's size and best row
+   are combined map-side, and the digests held more than once are joined back.
+   No group is gathered in one task.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import clean_text, keep_rows, spill
 
@@ -86,10 +86,14 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                     .groupBy("digest").agg(F.count("*").alias("group_size"), best)
                     .where(F.col("group_size") >= n * share), "winners")
     heavy = narrow.join(F.broadcast(winners), "digest")
-    w = W.partitionBy("digest")
-    rest = (narrow.join(F.broadcast(winners), "digest", "left_anti")
-            .withColumn("group_size", F.count("*").over(w))
-            .withColumn("best", F.max(F.struct(F.col("doc_id"), F.col("row"))).over(w)))
+    light = narrow.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    # written, so that both sides of the join come from exchanges and adaptive
+    # execution can split a partition or broadcast a small side
+    groups = spill(light.groupBy("digest").agg(F.count("*").alias("group_size"), best)
+                   .where("group_size > 1"), "groups")
+    rest = (light.join(groups, "digest", "left")
+            .withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long"))
+            .withColumn("best", F.coalesce("best", F.struct("doc_id", "row"))))
     cols = ["doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
             (F.col("row") == F.col("best.row")).alias("kept"),
             F.col("digest").alias("text_sha256"), "text_hash", "row"]
