@@ -13,7 +13,10 @@ text hardly change from page to page is boilerplate.
 A page loses the branches of low importance.  The importance of a branch is 0,
 whatever its entropies, if its tag or a word of its class or id names a role that
 is not main text (menu, header, footer, sidebar, notice, advert, form, comments),
-or if it is made of links; entropies alone never remove an article, its
+or if it is made of links.  A wrapper that holds an article is not removed for being
+a form or dialog or for a word of its layout (``sidebar-right``), nor, where no other
+article is left, for another soft name (``sidebar``); only its other branches go, and
+an article in a menu, footer, aside or comments goes with it.  Entropies alone never remove an article, its
 ancestors, or a branch with a large share of its pages' text, so a host with many
 copies of one article keeps it.  Where a page has an article (or main) branch,
 the text is what is left in it, otherwise what is left of the page.
@@ -60,6 +63,17 @@ NOISE_WORDS = frozenset(
     "cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice popup "
     "promo promotion related replies reply share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar topbar widget".split())
+#: Names that also remove an article inside; the rest of the names is soft.
+HARD_TAGS = NOISE_TAGS - frozenset("button dialog form object".split())
+HARD_WORDS = frozenset(
+    "ad ads advert advertisement adverts advertising breadcrumb breadcrumbs comment comments disqus footer menu "
+    "nav navbar navigation related replies reply".split())
+HARD_ROLES = frozenset("complementary contentinfo menu menubar navigation search toolbar".split())
+#: A name with one of these words describes the layout around a part.
+OPTION_WORDS = frozenset(
+    "closed disabled enabled hidden hide layout left off on open right show template visible".split())
+#: A name that begins with one of these is never that of the part.
+ABOUT_WORDS = frozenset("has have no with without".split())
 NOISE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
                         "search toolbar".split())
 CLOSES = {  # an opening tag ends these, up to the bounds
@@ -77,12 +91,29 @@ WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 
+def _rank(name: str, label: str, role: str, inside: bool) -> int:
+    """How firmly a branch is named as no main text: 0 not at all, 1 by a form or
+    its layout, 2 by a soft name, 3 by a name that removes articles too."""
+    rank = 0
+    if name in NOISE_TAGS or role in NOISE_ROLES:
+        rank = 3 if name in HARD_TAGS or role in HARD_ROLES else 1
+    if name == "header" and not inside:
+        rank = max(rank, 2)
+    for token in label.split():
+        words = WORDS.findall(token)
+        named = [w for w in words if w in NOISE_WORDS or w == "header" and not inside]
+        if named and words[0] not in ABOUT_WORDS:
+            rank = max(rank, 1 if not OPTION_WORDS.isdisjoint(words) else
+                       2 if HARD_WORDS.isdisjoint(named) else 3)
+    return rank
+
+
 class Page:
-    """One parse: nodes (parent, path, tag, noise, main) and text pieces."""
+    """One parse: nodes (parent, path, tag, rank, main, article) and text pieces."""
 
     def __init__(self, html: str | None):
         self.parent, self.path, self.tag = [-1], [0], ["#root"]
-        self.noise, self.main, self.style = [False], [False], ["#root"]
+        self.rank, self.main, self.article, self.style = [0], [False], [False], ["#root"]
         self.pieces: list[tuple[int, int, str, bool]] = []  # block, node, text, in a link
         self.links: list[int] = []  # node of each link
         if html:
@@ -132,27 +163,25 @@ class Page:
             stack.append(self._add(stack[-1], name, attributes))
 
     def _add(self, parent: int, name: str, attributes: str) -> int:
-        style, words, role = name, (), ""
+        style, label, role, body = name, "", "", False
         if attributes.strip():
             named = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
             label = f"{named.get('class', '')} {named.get('id', '')}".strip().lower()
             role = named.get("role", "").strip().lower()
             if label:
                 style = f"{name}.{DIGITS.sub('0', label)}"
-                words = WORDS.findall(label)
-            if named.get("itemprop") == "articleBody":
-                role = "main"
-        inside = self.main[parent]
-        noise = (name in NOISE_TAGS or role in NOISE_ROLES or not NOISE_WORDS.isdisjoint(words)
-                 or not inside and (name == "header" or "header" in words))
-        if name in ("html", "body") or name in MAIN_TAGS and not inside:
-            noise = False  # their classes often describe the page's options
+            body = role == "main" or named.get("itemprop") == "articleBody"
+        inside, body = self.main[parent], body or name in MAIN_TAGS
+        rank = _rank(name, label, role, inside)
+        if name in ("html", "body") or body and (not inside or rank == 1):
+            rank = 0  # their classes often describe the page's options
         self.parent.append(parent)
         self.path.append(xxhash.xxh64_intdigest(f"{self.path[parent]}/{style}") >> 1)
         self.tag.append(name)
         self.style.append(style)
-        self.noise.append(noise or self.noise[parent])
-        self.main.append(inside or not noise and (name in MAIN_TAGS or role == "main"))
+        self.rank.append(rank)
+        self.article.append(body and not rank)
+        self.main.append(inside or self.article[-1])
         return len(self.tag) - 1
 
     def _close(self, stack: list[int], name: str) -> None:
@@ -230,25 +259,43 @@ class Page:
         for k in range(n - 1, 0, -1):
             for a in (chars, linked, links):
                 a[self.parent[k]] += a[k]
-        gone = [False] * n
+        holds = [a and c > 0 for a, c in zip(self.article, chars)]  # an article with text
+        last, firm = [True] * n, [0] * n
+        for k in range(n - 1, 0, -1):
+            if holds[k]:
+                holds[self.parent[k]], last[self.parent[k]] = True, False
         for k in range(1, n):
-            menu = (not has_main[k] and self.tag[k] in CONTAINER and self.tag[k] != "body"
-                    and links[k] >= MIN_LINKS and linked[k] >= LINK_SHARE * chars[k])
-            boiler = self.path[k] in low and self.tag[k] not in MAIN_TAGS and not (
-                has_main[k] and not self.main[k])
-            gone[k] = gone[self.parent[k]] or self.noise[k] or menu or boiler
-        blocks: dict[int, list[str]] = {}
-        inside: dict[int, list[str]] = {}
-        for block, node, text, _ in self.pieces:
-            if not gone[node]:
-                blocks.setdefault(block, []).append(text)
-                if self.main[node]:
-                    inside.setdefault(block, []).append(text)
-        for some in (inside, blocks):
-            lines = [x for x in (" ".join("".join(t).split()) for _, t in sorted(some.items())) if x]
-            if lines:
-                return BLOCK_JOIN.join(lines)
-        return ""
+            firm[k] = max(firm[self.parent[k]], self.rank[k])
+        free = any(self.article[k] and holds[k] and last[k] and firm[k] < 2 for k in range(n))
+        opens = 1 if free else 2  # the firmest name that does not remove an article
+
+        def left(plain: int) -> str:
+            """The text, where names up to ``plain`` do not count."""
+            gone, shut = [False] * n, [False] * n
+            for k in range(1, n):
+                up = self.parent[k]
+                menu = (not has_main[k] and self.tag[k] in CONTAINER and self.tag[k] != "body"
+                        and links[k] >= MIN_LINKS and linked[k] >= LINK_SHARE * chars[k])
+                boiler = self.path[k] in low and not self.article[k] and not (has_main[k] and not self.main[k])
+                named = self.rank[k] > plain
+                shut[k] = shut[up] or menu or boiler or named and not (holds[k] and self.rank[k] <= opens)
+                # of a named wrapper only the articles are left
+                gone[k] = shut[k] or named or gone[up] and not self.article[k]
+            blocks: dict[int, list[str]] = {}
+            inside: dict[int, list[str]] = {}
+            for block, node, text, _ in self.pieces:
+                if not gone[node]:
+                    blocks.setdefault(block, []).append(text)
+                    if self.main[node]:
+                        inside.setdefault(block, []).append(text)
+            for some in (inside, blocks):
+                lines = [x for x in (" ".join("".join(t).split()) for _, t in sorted(some.items())) if x]
+                if lines:
+                    return BLOCK_JOIN.join(lines)
+            return ""
+
+        # a page that is all in a form or a layout wrapper is not empty for that
+        return left(0) or (left(1) if 1 in self.rank else "")
 
 
 def host_of(url: str):

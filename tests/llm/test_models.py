@@ -35,6 +35,24 @@ def test_page_text(html, want):
     assert Page(html).text(set()) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<form><div>menu</div><article><p>a</p></article></form>", "a"),
+    ("<div class='content with-sidebar'><article><p>a</p></article><div class=sidebar>s</div></div>", "a"),
+    ("<div class='layout sidebar-right'><div>x</div><main><p>a</p></main></div><article><p>b</p></article>", "a\n\nb"),
+    ("<div class=has-banner><article>a</article></div>", "a"), ("<dialog><article>a</article></dialog>", "a"),
+    ("<div class='layout sidebar'><article>a</article><p>x</div>", "a"),
+    ("<main><div class='no-sidebar'><article class='post has-banner'>a</article></div></main>", "a"),
+    ("<main><h1>T</h1><form><p>x</p><article>a</article></form></main>", "T\n\na"),
+    ("<article>a</article><div class=sidebar><article>teaser</article></div>", "a"),
+    ("<article>a</article><section class=comments-area><article>c</article></section>", "a"),
+    ("<p>a</p><nav><article>n</article></nav><footer><article>f</article></footer>"
+     "<div class=comments><article>c</article></div>", "a"),
+    ("<body><form><nav>n</nav><p>a</p><div class=footer>f</div></form></body>", "a"),
+])
+def test_wrappers_do_not_remove_an_article(html, want):
+    assert Page(html).text(set()) == want
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     page = "<body><div class=x1>Same words everywhere</div><div class=story><p>{}</p></div></body>"
     rows = [(i, f"http://h{i % 2}.com/{i}", page.format(f"Story {i} " * 20)) for i in range(40)]
