@@ -2,8 +2,10 @@
 
 The pages of a host are merged into a style tree: a style node is a path of
 (tag, class, id) from the root; digits in names count as one.  Every style node
-gets two normalised entropies over the host's m pages that have it: of the
+gets two normalised entropies over the host's m distinct pages that have it: of the
 styles its children come in (presentation) and of the text under it (content).
+Pages of equal text count once, and for a node inside an article all pages with
+that article's text do, whatever stands around it.
 
     importance = (1 - g^l) * presentation + g^l * content,   g = 0.9
 
@@ -214,17 +216,26 @@ class Page:
             out.append([k] if p < 0 else [*out[p], k])
         return out
 
-    def statistics(self) -> list[tuple[int, int, int, int, float]]:
-        """(path, child styles, presentation, content, share of text) of each
-        container path; equal paths of a page count as one node."""
+    def statistics(self) -> list[tuple[int, int, int, int, int, float]]:
+        """(path, unit, child styles, presentation, content, share of text) of each
+        container path; equal paths of a page count as one node.  The unit is a
+        hash of the text of the article around the node, else of the page."""
         chars, size, total = {}, {}, 0
         texts: dict[int, list[str]] = {}
         kids: dict[int, list[str]] = {}
         chains = self._under()
+        # the outermost article of each node, 0 without
+        top = [0] * len(self.tag)
+        for k in range(1, len(self.tag)):
+            top[k] = top[self.parent[k]] or (k if self.article[k] else 0)
+        whole: dict[int, list[str]] = {0: []}
         for _, node, text, _ in self.pieces:
             t = " ".join(text.split())
             if t:
                 total += len(t)
+                whole[0].append(t)
+                if top[node]:
+                    whole.setdefault(top[node], []).append(t)
                 for k in chains[node]:
                     if self.tag[k] in CONTAINER:
                         texts.setdefault(self.path[k], []).append(t)
@@ -233,11 +244,12 @@ class Page:
             row = kids.setdefault(p, [])
             if not row or row[-1] != self.style[k]:
                 row.append(self.style[k])
+        units = {k: xxhash.xxh64_intdigest("\n".join(t)) >> 1 for k, t in whole.items()}
         for k in range(1, len(self.tag)):
             if self.tag[k] in CONTAINER and self.path[k] not in chars:
                 t = texts.get(self.path[k], [])
                 chars[self.path[k]] = sum(map(len, t))
-                size[self.path[k]] = (len(set(kids.get(self.path[k], ()))),
+                size[self.path[k]] = (units.get(top[k], 0), len(set(kids.get(self.path[k], ()))),
                                       xxhash.xxh64_intdigest("\n".join(kids.get(self.path[k], ()))) >> 1,
                                       xxhash.xxh64_intdigest("\n".join(t)) >> 1)
         return [(p, *size[p], c / total if total else 0.0) for p, c in chars.items()]
@@ -306,7 +318,7 @@ def host_of(url: str):
 def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(host, path, pages, styles, share, presentation, content, importance) of
     every style node; path is a hash of the path."""
-    schema = "host string, path long, styles int, pres long, cont long, share double"
+    schema = "host string, path long, unit long, styles int, pres long, cont long, share double"
 
     def run(batches):
         for b in batches:
@@ -315,11 +327,14 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (
-                        pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64()))],
-                    names=["host", "path", "styles", "pres", "cont", "share"])
+                        pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64()))],
+                    names=["host", "path", "unit", "styles", "pres", "cont", "share"])
 
     seen = (pages.select(host_of(url).alias("host"), html).mapInArrow(run, schema)
-            # equal looks and texts meet map-side; no group holds a host's pages
+            # copies meet map-side and count once; no group holds a host's pages
+            .groupBy("host", "path", "unit")
+            .agg(F.min(F.struct("pres", "cont", "styles", "share")).alias("one"))
+            .select("host", "path", "one.*")
             .groupBy("host", "path", "pres", "cont")
             .agg(F.count("*").alias("n"), F.sum("share").alias("share"), F.max("styles").alias("styles")))
     seen = spill(seen, "styles")

@@ -67,6 +67,22 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_copies_of_an_article_are_no_evidence_against_its_parts(spark):
+    story = ("<body><div class=top>{}</div><article><p>{}</p><ul><li>first</ul><blockquote>said {}</blockquote>"
+             "<section class=tail>Read more of us</section></article></body>")
+    other = [(i, "http://many.com/", story.replace("first", f"item {i}").format(i, f"Other {i} " * 20, i))
+             for i in range(50)]
+    rows = [(100 + i, "http://three.com/", story.format(0, "One story " * 20, "she")) for i in range(3)]
+    # the copies stand in pages that differ elsewhere
+    rows += [(1000 + i, "http://many.com/", story.format(i, "One story " * 20, "she")) for i in range(1000)]
+    pages = spark.createDataFrame(other + rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
+    one = "\n\n".join([("One story " * 20).strip(), "first", "said she"])
+    assert all(got[100 + i] == one + "\n\nRead more of us" for i in range(3))
+    assert all(got[1000 + i] == one for i in range(1000))  # what all 51 articles repeat is not theirs
+    assert all(got[i] == "\n\n".join([(f"Other {i} " * 20).strip(), f"item {i}", f"said {i}"]) for i in range(50))
+
+
 def test_extraction_of_the_test_pages(spark):
     got = {r["page_id"]: r["text"] for r in E.queries()["op1_html_extraction"](spark, SF).collect()}
     import re
