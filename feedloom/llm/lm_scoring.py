@@ -7,10 +7,11 @@ the ``vocabulary`` most frequent training tokens (with the end of a text) and
 classes of all other tokens by spelling; a token of a class has the class's
 probability times its smoothed share in the class.
 
-Training is noise-contrastive estimation in numpy.  Every task passes over its
-own training documents from the same start; the parameters, weighted by tokens,
-are averaged in a tree of groups of 32.  Every training token is used, and the
-counts cover all documents.
+Training is noise-contrastive estimation in numpy, in two rounds: one over a fold
+of the training documents for a common start, one over all of them.  In a round
+every task passes over its own documents from the same start; the parameters,
+weighted by tokens, are averaged in a tree of groups of 32.  Every training token
+is used, and the counts cover all documents.
 
 Scoring is normalised exactly: there are few symbols, so batched matrix products
 over all pairs of context symbols give the log-normalisers once, and a token
@@ -245,7 +246,7 @@ class Head:
 
 # --- Spark ----------------------------------------------------------------
 
-def train(docs: DataFrame, start: Model, shared, n_own: int) -> np.ndarray:
+def train(docs: DataFrame, start: Model, shared, n_own: int, round_: int) -> np.ndarray:
     """Parameters averaged over all partitions of ``docs`` (t), by tokens."""
     spark = docs.sparkSession
     flat = spark.sparkContext.broadcast((start.pack(), start.noise, start.context.shape[1]))
@@ -255,7 +256,7 @@ def train(docs: DataFrame, start: Model, shared, n_own: int) -> np.ndarray:
         head = shared.value
         values, noise, dim = flat.value
         model = Model(len(noise), noise, dim).unpack(values.copy())
-        fit, seen = Trainer(model, np.random.default_rng([SEED, part])), 0
+        fit, seen = Trainer(model, np.random.default_rng([SEED, round_, part])), 0
         for batch in batches:
             t = batch.column(0).to_pylist()
             for lo in range(0, len(t), 512):
@@ -347,7 +348,10 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
     noise = np.concatenate([own_n, classes[:, 0]]) + 1.0
     model = Model(len(noise), noise / noise.sum())
     learn = base_docs.where("not held_out")
-    model.unpack(train(learn.select("t"), model, shared, n_own))
+    # a short round over one fold for a common start, then one over everything
+    model.unpack(train(learn.where(fold("doc_id", modulus) == (held + 1) % modulus).select("t"),
+                       model, shared, n_own, 0))
+    model.unpack(train(learn.select("t"), model, shared, n_own, 1))
     fitted = spark.sparkContext.broadcast((model, model.log_normalisers()))
 
     schema = ("doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, "
