@@ -108,8 +108,8 @@ def co_train(views: list[np.ndarray], y: np.ndarray, cal: list[np.ndarray], cal_
         new = []
         for k in (0, 1):  # view 1 - k teaches view k
             t = p[1 - k]
-            picks = [np.argsort(-s, kind="stable")[:per_round] for s in (t, 1 - t)]
-            picks = [i[(s[i] >= certain) & open_[k][i]] for i, s in zip(picks, (t, 1 - t))]
+            left = [np.nonzero(open_[k] & (s >= certain))[0] for s in (t, 1 - t)]
+            picks = [i[np.argsort(-s[i], kind="stable")[:per_round]] for i, s in zip(left, (t, 1 - t))]
             new.append((np.concatenate(picks), np.repeat([1, 0], list(map(len, picks)))))
         if not any(len(i) for i, _ in new):
             break

@@ -141,6 +141,16 @@ def test_co_training_exchanges_labels_and_learns():
     assert given > 0 and np.mean((p >= 0.5) == y[pool]) > 0.83
 
 
+def test_co_training_hands_over_open_rows_in_every_round():
+    rng = np.random.default_rng(1)
+    y = np.arange(1400) % 2
+    views = [rng.normal(size=(1400, 4)) + 6.0 * y[:, None] * (np.arange(4) == k) for k in (0, 1)]
+    fit, cal, pool = slice(0, 100), slice(100, 400), slice(400, 1400)
+    _, given = quality.co_train([x[fit] for x in views], y[fit], [x[cal] for x in views], y[cal],
+                                [x[pool] for x in views], rounds=4, per_round=20)
+    assert given == 2 * 2 * 4 * 20  # views, classes, rounds: far more rows are certain
+
+
 @pytest.mark.parametrize("model", [quality.quality, toxicity.toxicity])
 def test_classifiers_nasty(spark, nasty, no_docs, model):
     labels = spark.createDataFrame(
