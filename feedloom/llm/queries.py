@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embedding_dedup, exact_dedup, html_extract, lm_scoring, mixing, packing, quality,
-               simhash, token_files, toxicity)
+from . import (embedding_dedup, exact_dedup, fill_in_middle, html_extract, language_id, lm_scoring,
+               mixing, packing, prefix_trie, quality, simhash, token_files, toxicity)
 from .common import scratch, ship
 from .tokens import default_tokenizer
 
@@ -65,10 +65,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations")).drop("node_key")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_simhash_near_dedup, op3_quality_classifier, op4_exact_dedup,
     op5_source_mixing, op6_toxicity, op7_embedding_near_dedup, op8_lm_scoring, op9_token_binary,
-    op10_best_fit_packing)}
+    op10_best_fit_packing, op11_language_id, op12_fill_in_middle, op13_prefix_trie)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": """
@@ -76,4 +91,6 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
     "op5_source_mixing": mixing.MIX_SQL,
+    "op12_fill_in_middle": fill_in_middle.FIM_SQL,
+    "op13_prefix_trie": prefix_trie.TRIE_SQL,
 }
