@@ -83,7 +83,7 @@ def pending_root(spark: SparkSession, sf_dir: str) -> str:
 
 def pending_raw_root(spark: SparkSession, sf_dir: str) -> str:
     """Raw tables root that holds the history of the pending run: the details
-    rows before the run day, dated to the first of their year."""
+    rows before the run day."""
     from ..sources.tables import replace_day
 
     k = _key(spark, sf_dir, "pending-raw")
@@ -92,8 +92,7 @@ def pending_raw_root(spark: SparkSession, sf_dir: str) -> str:
             root = scratch_dir(spark, "raw")
             old = raw_feed(spark, sf_dir, APPDETAILS).filter(
                 F.col("ingestion_date") < F.lit(PENDING_RUN_DAY).cast("date"))
-            replace_day(old.withColumn("ingestion_date", F.trunc("ingestion_date", "year")),
-                        root, APPDETAILS, AS_OF)
+            replace_day(old, root, APPDETAILS, AS_OF)
             _WRITTEN[k] = root
         return _WRITTEN[k]
 
@@ -157,16 +156,15 @@ def built_db(spark: SparkSession, sf_dir: str) -> str:
 
 
 def replaced_root(spark: SparkSession, sf_dir: str, emptied: bool) -> str:
-    """Raw tables root with the whole reviews feed, dated to the first of its
-    year; then one of these days is loaded twice with another total, or emptied."""
+    """Raw tables root with the whole reviews feed; then one of its days is loaded twice
+    with another total, or emptied."""
     from ..sources.tables import replace_day
 
     with _LOCK:
         k = _key(spark, sf_dir, f"replaced-{emptied}")
         if k not in _WRITTEN:
             root = scratch_dir(spark, "raw")
-            feed = raw_feed(spark, sf_dir, REVIEWS).withColumn(
-                "ingestion_date", F.trunc("ingestion_date", "year"))
+            feed = raw_feed(spark, sf_dir, REVIEWS)
             replace_day(feed, root, REVIEWS, AS_OF)  # every row is of another day
             day = feed.filter(F.col("ingestion_date") == F.lit(REPLACED_DAY).cast("date"))
             if emptied:
@@ -179,22 +177,33 @@ def replaced_root(spark: SparkSession, sf_dir: str, emptied: bool) -> str:
         return _WRITTEN[k]
 
 
+#: Days before and from here on are loaded by two loads into the catalog's tables.
+SECOND_LOAD = "1996-01-01"
+
+
 def views_db(spark: SparkSession, sf_dir: str) -> str:
-    """Database of raw tables and staging views over three loaded feeds, every
-    row dated to the first of its year."""
-    from ..sources.tables import replace_day
-    from .jobs import publish_views
+    """Database of bucketed raw tables and staging views.  The derived feeds are loaded in
+    two loads; between them another session reads all views."""
+    from ..schemas import DATE_COLUMN, FEEDS
+    from ..sources import warehouse
 
     with _LOCK:
         k = _key(spark, sf_dir, "views")
         if k not in _WRITTEN:
-            root = scratch_dir(spark, "raw")
-            for feed, col in ((CATALOG, "partition_date"), (APPDETAILS, "ingestion_date"),
-                              (REVIEWS, "ingestion_date")):
-                df = raw_feed(spark, sf_dir, feed)
-                replace_day(df.withColumn(col, F.trunc(col, "year")), root, feed, AS_OF)
+            root = scratch_dir(spark, "warehouse")
             db = "feedloom_raw_" + root.rsplit("-", 1)[-1]
-            publish_views(spark, root, db)
+            warehouse.create_tables(spark, root, db, buckets=1)
+            views = warehouse.create_views(spark, db)
+            later = F.lit(SECOND_LOAD).cast("date")
+            other = spark.newSession()
+            for old in (True, False):
+                for feed in FEEDS:
+                    df, day = raw_feed(spark, sf_dir, feed), F.col(DATE_COLUMN[feed])
+                    warehouse.commit_day(df.filter(day < later if old else day >= later), db, feed,
+                                         _day_before(SECOND_LOAD) if old else AS_OF)
+                if old:
+                    for name in views:
+                        other.table(name).count()
             _WRITTEN[k] = db
         return _WRITTEN[k]
 
@@ -210,3 +219,46 @@ def published_root(spark: SparkSession, sf_dir: str) -> str:
             publish_day(spark, lake_root(spark, sf_dir), root, AS_OF)
             _WRITTEN[k] = root
         return _WRITTEN[k]
+
+
+def published_run(spark: SparkSession, sf_dir: str) -> str:
+    """Lake folder to which the three files of the pending run's day were published."""
+    from .jobs import publish_day
+
+    k = _key(spark, sf_dir, "published-run")
+    with _LOCK:
+        if k not in _WRITTEN:
+            root = scratch_dir(spark, "published")
+            publish_day(spark, pending_root(spark, sf_dir), root, PENDING_RUN_DAY)
+            _WRITTEN[k] = root
+        return _WRITTEN[k]
+
+
+def resumed_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder where landed details payloads were ingested by a run that died after the feed
+    write, and then by the same run again, twice."""
+    from ..sources.derived import INGESTED_AT, details_payloads
+    from . import jobs
+
+    k = _key(spark, sf_dir, "resumed")
+    with _LOCK:
+        if k not in _WRITTEN:
+            root, landed = scratch_dir(spark, "resumed"), scratch_dir(spark, "payloads")
+            details_payloads(spark, sf_dir).repartition(8).write.parquet(landed)
+            payloads = spark.read.parquet(landed)
+            kept = jobs.write_failed
+
+            def die(*_, **__):
+                raise InterruptedError("died after the feed write")
+
+            jobs.write_failed = die
+            try:
+                jobs.ingest(spark, payloads, APPDETAILS, root, AS_OF, INGESTED_AT)
+            except InterruptedError:
+                pass
+            finally:
+                jobs.write_failed = kept
+            for _ in range(2):
+                jobs.ingest(spark, payloads, APPDETAILS, root, AS_OF, INGESTED_AT)
+            _WRITTEN[k] = root
+        return _WRITTEN[k]

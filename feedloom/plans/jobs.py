@@ -5,15 +5,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import APPDETAILS, CATALOG, FEEDS, REVIEWS
-from ..session import file_system, scratch_dir
-from ..sources.feeds import (feed_path, load_feed, write_failed, write_feed_day)
+from ..session import file_system
+from ..sources import warehouse
+from ..sources.copies import copy_tree
+from ..sources.feeds import (batch_done, feed_dir, feed_path, iso_day, load_feed, payload_batch,
+                             write_failed, write_feed_batch, write_feed_day)
 from ..sources.tables import (as_table, as_view, create_latest_view, ensure_tables, raw,
                               register_tables, replace_day)
-from . import marts, staging
+from . import graph, staging
 from .normalize import FAILED, SHAPERS, catalog_from_pages, feed_columns
 
 
@@ -21,27 +24,31 @@ from .normalize import FAILED, SHAPERS, catalog_from_pages, feed_columns
 # Landed payloads → day feed (+ failed keys)
 # --------------------------------------------------------------------------
 def ingest(spark: SparkSession, payloads: DataFrame, feed: str, root: str,
-           day: date | str, ingested_at: str | None = None) -> dict[str, str]:
-    """Shape payloads into feed rows, append them to the day's file and the
+           day: date | str, ingested_at: str | None = None, batch: str | None = None) -> dict[str, str]:
+    """Shape payloads into feed rows, add them to the day's file as one batch, and the
     exception rows' keys to the day's failed list.
 
-    Appending makes a rerun resume; keys already done are skipped by
-    ``incremental.pending`` before fetching.  Payloads are parsed once: the
-    shaped rows go to a scratch table, of which the failed list reads two columns.
+    A batch appears in the day's file by one rename, so readers see all of it or
+    nothing.  A batch that is there already is not added again: an ingest that died
+    is run again as it was.  ``batch`` names it; by default it is known by the paths, sizes
+    and times of the payload files (payloads that are no files are a new batch each
+    time).  Payloads are parsed once and written once; only where a count taken on the
+    way shows failures does a second, narrow pass write their keys.
     """
     # the payload parser keeps the last value of a repeated JSON key
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    batch = batch or payload_batch(payloads)
     shaped = SHAPERS[feed](payloads, day, ingested_at)
-    path = scratch_dir(spark, "shaped")
-    shaped.write.parquet(path)
-    staged = spark.read.schema(shaped.schema).parquet(path)
-    paths = {"feed": write_feed_day(staged.select(*feed_columns(feed)), root, feed, day,
-                                    mode="append")}
-    failed = staged.filter(F.col(FAILED)).select("appid")
-    if failed.take(1):
-        paths["failed"] = write_failed(failed, root, feed, day)
-    fs, p = file_system(spark, path)
-    fs.delete(p, True)
+    paths, failures = {"feed": feed_path(root, feed, day)}, None
+    if not batch_done(spark, paths["feed"], batch):
+        seen = Observation()
+        rows = shaped.observe(seen, F.count_if(F.col(FAILED)).alias("failures"))
+        write_feed_batch(rows.select(*feed_columns(feed)), root, feed, day, batch)
+        failures = seen.get["failures"]
+    if failures is None or failures:
+        failed = shaped.filter(F.col(FAILED)).select("appid")
+        if failures or failed.take(1):
+            paths["failed"] = write_failed(failed, root, feed, day, batch=batch)
     return paths
 
 
@@ -59,28 +66,50 @@ def ingest_catalog(spark: SparkSession, pages: DataFrame, root: str,
 # --------------------------------------------------------------------------
 def publish_day(spark: SparkSession, src_root: str, dst_root: str,
                 day: date | str) -> list[str]:
-    """Copy the day's three feed files line for line.
+    """Copy the day's three feed files byte for byte, under the same names.
 
     The catalog and details files must exist before anything is copied;
-    the reviews file is only needed when its turn comes.
+    the reviews file is only needed when its turn comes.  Each copy is whole before
+    it takes its place; sizes and SHA-256 of its files are in
+    ``<feed>/_published_<day>.json`` beside it.
     """
-    srcs = [feed_path(src_root, f, day) for f in (CATALOG, APPDETAILS, REVIEWS)]
-    catalog_lines = spark.read.text(srcs[0])
-    details_lines = spark.read.text(srcs[1])
+    for feed in (CATALOG, APPDETAILS):
+        fs, p = file_system(spark, feed_path(src_root, feed, day))
+        if not fs.exists(p):
+            raise FileNotFoundError(f"no {feed} file of {iso_day(day)} under {src_root}")
     out = []
-    for feed, lines in ((CATALOG, catalog_lines), (APPDETAILS, details_lines),
-                        (REVIEWS, None)):
-        if lines is None:
-            lines = spark.read.text(feed_path(src_root, feed, day))
+    for feed in (CATALOG, APPDETAILS, REVIEWS):
         dst = feed_path(dst_root, feed, day)
-        lines.write.mode("overwrite").text(dst)
+        manifest = copy_tree(spark, feed_path(src_root, feed, day), dst)
+        rows = spark.createDataFrame([tuple(r.values()) for r in manifest],
+                                     "source string, name string, size bigint, sha256 string")
+        rows.coalesce(1).write.mode("overwrite").json(manifest_path(dst_root, feed, day))
         out.append(dst)
     return out
 
 
+def manifest_path(root: str, feed: str, day: date | str) -> str:
+    return f"{feed_dir(root, feed)}/_published_{iso_day(day)}.json"
+
+
 # --------------------------------------------------------------------------
 # Load a day's three feeds into the raw tables
 # --------------------------------------------------------------------------
+def load_tables(spark: SparkSession, lake_root: str, day: date | str, raw_root: str, db: str,
+                feeds: tuple[str, ...] = FEEDS, buckets: int | None = None) -> None:
+    """Load a day into the raw tables of the catalog, created if absent, with the
+    staging views over them.
+
+    Each feed's file is read and written once and its day committed by its
+    location (``sources.warehouse``), so the views show the day in every session
+    as soon as its feed is loaded.
+    """
+    warehouse.create_tables(spark, raw_root, db, buckets)
+    warehouse.create_views(spark, db)
+    for feed in feeds:
+        warehouse.commit_day(load_feed(spark, feed_path(lake_root, feed, day), feed), db, feed, day)
+
+
 def load_day(spark: SparkSession, lake_root: str, day: date | str, raw_root: str,
              feeds: tuple[str, ...] = FEEDS) -> None:
     """Ensure the raw tables, then replace each feed's day with the day's
@@ -116,16 +145,16 @@ def publish_views(spark: SparkSession, raw_root: str, db: str) -> list[str]:
 # --------------------------------------------------------------------------
 # Build every model
 # --------------------------------------------------------------------------
-MODEL_ORDER = ("stg_steam_catalog", "stg_steam_appdetails", "stg_steam_reviews",
-               "mart_steam_appdetails", "mart_steam_categories", "mart_steam_genres",
-               "mart_steam_reviews", "mart_steam_details_reviews")
-
-
-def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
+def build_all(spark: SparkSession, raw_root: str | None, out_db: str = "steam",
               select: list[str] | None = None, as_of: date | str | None = None,
-              location: str | None = None,
-              buckets: int | None = None) -> dict[str, DataFrame]:
-    """Staging models as views, marts as tables, in dependency order.
+              location: str | None = None, buckets: int | None = None,
+              raw_db: str | None = None) -> dict[str, DataFrame]:
+    """Staging models as views, marts as tables: the selected ones and all they read.
+
+    Order and selection come from the models' inputs (``plans.graph``); marts that do not
+    need each other are built at the same time, and only the raw tables that the
+    selection reads are opened.  These are the folders under ``raw_root``, or with
+    ``raw_db`` tables of the catalog, read in place by key where they are bucketed.
 
     ``stg_steam_appdetails`` carries all JSON parsing and feeds three marts,
     so it is written once (to the shared scratch folder) whenever one of them is
@@ -133,41 +162,28 @@ def build_all(spark: SparkSession, raw_root: str, out_db: str = "steam",
     mart tables just written; with ``buckets`` those two are bucketed by appid
     alike, so that join runs without a shuffle.
     """
-    wanted = set(select or MODEL_ORDER)
+    names = graph.closure(select)
+    found: dict[str, DataFrame] = {}
+    method = "join"
+    for feed in sorted(graph.sources(names)):
+        found[feed] = warehouse.raw_table(spark, raw_db, feed) if raw_db else raw(spark, raw_root, feed)
+        if raw_db and warehouse.table_buckets(spark, f"{raw_db}.{feed}"):
+            method = "bucketed"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {out_db}")
-    built: dict[str, DataFrame] = {}
-
+    options = {"as_of": as_of, "method": method}
     co_located = {"mart_steam_appdetails", "mart_steam_reviews"}
+    read_by_marts = {i for n in names if graph.MODELS[n].table for i in graph.MODELS[n].inputs}
 
-    def table(name: str, df: DataFrame) -> None:
-        if name in wanted:
+    def build(name: str) -> None:
+        model = graph.MODELS[name]
+        df = model.build({i: found[i] for i in model.inputs}, options)
+        if model.table:
             path = f"{location.rstrip('/')}/{name}" if location else None
-            as_table(df, f"{out_db}.{name}", path,
-                     buckets if name in co_located else None)
-            built[name] = spark.table(f"{out_db}.{name}")
-
-    stg_cat = as_view(
-        staging.stg_catalog(raw(spark, raw_root, CATALOG)),
-        "stg_steam_catalog")
-    stg_ad = staging.stg_appdetails(raw(spark, raw_root, APPDETAILS))
-    if wanted & {"mart_steam_appdetails", "mart_steam_categories", "mart_steam_genres",
-                 "mart_steam_details_reviews"}:
-        stg_ad = staging.materialize(stg_ad)
-    as_view(stg_ad, "stg_steam_appdetails")
-    stg_rv = as_view(
-        staging.stg_reviews(raw(spark, raw_root, REVIEWS)),
-        "stg_steam_reviews")
-    for name, df in (("stg_steam_catalog", stg_cat), ("stg_steam_appdetails", stg_ad),
-                     ("stg_steam_reviews", stg_rv)):
-        if name in wanted:
-            built[name] = df
-
-    table("mart_steam_appdetails", marts.mart_appdetails(stg_ad, as_of))
-    table("mart_steam_categories", marts.mart_categories(stg_ad, as_of))
-    table("mart_steam_genres", marts.mart_genres(stg_ad, as_of))
-    table("mart_steam_reviews", marts.mart_reviews(stg_rv))
-    if "mart_steam_details_reviews" in wanted:
-        ad = built.get("mart_steam_appdetails", marts.mart_appdetails(stg_ad, as_of))
-        rv = built.get("mart_steam_reviews", marts.mart_reviews(stg_rv))
-        table("mart_steam_details_reviews", marts.mart_details_reviews(ad, rv))
-    return built
+            as_table(df, f"{out_db}.{name}", path, buckets if name in co_located else None)
+            found[name] = spark.table(f"{out_db}.{name}")
+        else:
+            parsed = name == "stg_steam_appdetails" and name in read_by_marts
+            found[name] = as_view(staging.materialize(df) if parsed else df, name)
+
+    graph.build_in_order(names, build)
+    return {n: found[n] for n in graph.MODELS if n in names}

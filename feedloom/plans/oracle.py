@@ -6,7 +6,8 @@ same feed recipe and the model semantics relationally.
 
 from __future__ import annotations
 
-from ..sources.derived import AS_OF, PENDING_RUN_DAY
+from ..schemas import TRIMMED_DETAIL_KEYS
+from ..sources.derived import AS_OF, INGESTED_AT, PENDING_RUN_DAY
 from .fixtures import REPLACED_DAY
 from .registry import PENDING_LIMIT
 
@@ -105,11 +106,7 @@ _RUN = f"DATE '{PENDING_RUN_DAY}'"
 _REPLACED = f"DATE '{REPLACED_DAY}'"
 
 # Reviews dated to the first day of their year.
-_YEARS = """
-years AS (
-  SELECT * REPLACE (CAST(date_trunc('year', ingestion_date) AS DATE) AS ingestion_date)
-  FROM reviews
-)"""
+
 
 
 def _with(*ctes: str) -> str:
@@ -190,16 +187,16 @@ SELECT DISTINCT appid FROM details WHERE success AND ingestion_date <= {_RUN}"""
 SELECT DISTINCT appid FROM reviews WHERE success AND ingestion_date = {_RUN}""",
     "catalog_fallback": _with(_CATALOG) + f"""
 SELECT appid, name, partition_date, {_RUN} AS file_day FROM catalog""",
-    "replace_day_twice": _with(_REVIEWS, _YEARS) + f"""
+    "replace_day_twice": _with(_REVIEWS) + f"""
 SELECT appid, ingestion_date, success, review_score_desc,
        total_reviews + CASE WHEN ingestion_date = {_REPLACED} THEN 1 ELSE 0 END AS total_reviews
-FROM years""",
-    "replace_day_emptied": _with(_REVIEWS, _YEARS) + f"""
+FROM reviews""",
+    "replace_day_emptied": _with(_REVIEWS) + f"""
 SELECT appid, ingestion_date, success, review_score_desc, total_reviews
-FROM years WHERE ingestion_date <> {_REPLACED}""",
-    "raw_on_day": _with(_REVIEWS, _YEARS) + f"""
+FROM reviews WHERE ingestion_date <> {_REPLACED}""",
+    "raw_on_day": _with(_REVIEWS) + f"""
 SELECT appid, total_reviews + 1 AS total_reviews, success
-FROM years WHERE ingestion_date = {_REPLACED}""",
+FROM reviews WHERE ingestion_date = {_REPLACED}""",
 }
 ORACLE_SQL["run_counts_limited"] = f"""
 SELECT * REPLACE (least(pending_keys, {PENDING_LIMIT}) AS pending_keys)
@@ -212,7 +209,9 @@ _DETAIL_PAYLOADS = """
 p AS (
   SELECT l_partkey AS appid, l_orderkey % 50 AS k,
          l_linenumber = 7 AND l_returnflag = 'A' AS fetch_err,
-         l_returnflag <> 'R' AS ok_flag, l_linenumber, p_name, p_type, p_retailprice
+         l_returnflag <> 'R' AS ok_flag, l_linenumber, p_name, p_type, p_retailprice,
+         p_brand, l_suppkey, l_quantity, l_linestatus, o_orderdate,
+         CAST(round(p_retailprice * 100) AS BIGINT) AS cents
   FROM lineitem
   JOIN part ON p_partkey = l_partkey
   JOIN orders ON o_orderkey = l_orderkey
@@ -263,6 +262,28 @@ SELECT appid, DATE '{AS_OF}' AS ingestion_date, success,
   CASE WHEN with_data AND p_type = 'ECONOMY' THEN 'Indie' END AS genre3,
   error,
   CASE WHEN error IS NULL AND NOT success AND k <> 5 THEN 'false' END AS refused
+FROM c""",
+    # whole envelopes: kept keys in their order, those of nested objects by name
+    "ingest_resumed": _with(_DETAIL_PAYLOADS) + f"""
+SELECT '{INGESTED_AT}' AS ingested_at, appid, success,
+  CASE WHEN with_data THEN '{{"steam_appid":' || appid || ',"type":"game","name":"' || p_name
+    || '","is_free":' || CAST(l_linenumber = 1 AS VARCHAR) || ',"required_age":0,"developers":["' || p_brand
+    || '"],"publishers":["' || CASE WHEN l_linenumber % 2 = 0 THEN p_brand ELSE 'Supplier ' || l_suppkey END
+    || '"],"price_overview":{{"currency":"USD","final":' || (cents - 100 * l_linenumber)
+    || ',"initial":' || cents || '}},"platforms":null,"categories":['
+    || concat_ws(',', CASE WHEN l_quantity >= 25 THEN '{{"description":"Multi-player","id":1}}' END,
+         CASE WHEN CAST(l_quantity AS BIGINT) % 2 = 0 THEN '{{"description":"Co-op","id":9}}' END)
+    || '],"genres":[' || concat_ws(',', '{{"description":"' || split_part(p_name, ' ', 1) || '","id":"1"}}',
+         '{{"description":"' || split_part(p_name, ' ', 2) || '","id":"2"}}',
+         CASE WHEN p_type = 'ECONOMY' THEN '{{"description":"Indie","id":"23"}}' END)
+    || '],"recommendations":null,"release_date":{{"coming_soon":' || CAST(l_linestatus = 'O' AS VARCHAR)
+    || ',"date":"' || CASE l_linenumber WHEN 2 THEN 'Q1 1999' WHEN 3 THEN 'Coming soon'
+         ELSE strftime(o_orderdate, '%b %-d, %Y') END
+    || '"}},"metacritic":null,"content_descriptors":null}}'
+  WHEN success THEN '{{' || array_to_string(['"' || x || '":null' FOR x IN [{", ".join(repr(x) for x in TRIMMED_DETAIL_KEYS)}]], ',') || '}}'
+  END AS raw,
+  CASE WHEN error IS NOT NULL THEN '{{"error":"' || error || '"}}' WHEN success THEN NULL
+       WHEN k = 5 THEN '{{}}' ELSE '{{"success":false}}' END AS error_payload
 FROM c""",
     "failed_details": _with(_DETAIL_PAYLOADS) + """
 SELECT appid FROM c WHERE error IS NOT NULL""",
@@ -291,20 +312,15 @@ FROM reviews""",
 SELECT appid, name, partition_date FROM catalog""",
 })
 ORACLE_SQL["publish_day_reviews"] = ORACLE_SQL["load_day_reviews"]
-ORACLE_SQL["view_stg_catalog"] = _with(_CATALOG) + """
-SELECT DISTINCT appid, name FROM catalog
-QUALIFY date_trunc('year', partition_date)
-      = max(date_trunc('year', partition_date)) OVER (PARTITION BY appid)"""
-ORACLE_SQL["view_stg_reviews"] = _with(_REVIEWS, _YEARS) + """
-SELECT DISTINCT appid, total_reviews, good_reviews, bad_reviews, review_score, review_score_desc
-FROM (SELECT * FROM years QUALIFY ingestion_date = max(ingestion_date) OVER (PARTITION BY appid))"""
-ORACLE_SQL["view_stg_appdetails"] = _with(_DETAILS) + """
-SELECT DISTINCT appid, name FROM details WHERE success
-QUALIFY date_trunc('year', ingestion_date)
-      = max(date_trunc('year', ingestion_date)) OVER (PARTITION BY appid)"""
+ORACLE_SQL["view_stg_catalog"] = ORACLE_SQL["bucketed_stg_catalog"] = ORACLE_SQL["stg_catalog"]
+ORACLE_SQL["view_stg_reviews"] = ORACLE_SQL["stg_reviews"]
+ORACLE_SQL["view_stg_appdetails"] = ORACLE_SQL["stg_appdetails"]
+ORACLE_SQL["build_all_genres"] = ORACLE_SQL["mart_genres"]
+ORACLE_SQL["limit_pending_published"] = ORACLE_SQL["limit_pending"].replace(
+    "ingestion_date <=", "ingestion_date =")
+ORACLE_SQL["failed_resumed"] = ORACLE_SQL["failed_details"]
 ORACLE_SQL["table_raw_details"] = _with(_DETAILS) + """
-SELECT appid, CAST(date_trunc('year', ingestion_date) AS DATE) AS ingestion_date, success, name
-FROM details"""
+SELECT appid, ingestion_date, success, name FROM details"""
 ORACLE_SQL["publish_day_catalog"] = ORACLE_SQL["load_day_catalog"]
 ORACLE_SQL["publish_day_details"] = _with(_DETAILS) + """
 SELECT appid, ingestion_date, success, name FROM details"""

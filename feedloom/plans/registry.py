@@ -15,15 +15,19 @@ from pyspark.sql import functions as F
 from ..operators.filters import on_day, only_success
 from ..operators.keys import processed_keys, union_processed
 from ..operators.latest import latest_per_key
-from ..schemas import APPDETAILS, CATALOG, HISTORY_TYPED_DDL, REVIEWS
+from ..schemas import APPDETAILS, CATALOG, FILE_DDL, HISTORY_TYPED_DDL, REVIEWS
+from ..session import scratch_dir
 from ..sources.derived import AS_OF, PENDING_RUN_DAY
 from . import incremental, marts, staging
 from ..sources.feeds import (feed_path, latest_feed_day, load_feed, read_catalog,
                              read_catalog_or_latest, read_failed, read_feed_day,
                              read_feed_history)
 from ..sources.tables import raw
+from ..sources.warehouse import raw_table
 from .fixtures import (REPLACED_DAY, built_db, ingest_root, loaded_root,
-                       pending_raw_root, pending_root, published_root, raw_feed, replaced_root, views_db)
+                       pending_raw_root, pending_root, published_root, published_run, raw_feed,
+                       replaced_root, resumed_root, views_db)
+from .jobs import build_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,8 +67,8 @@ def q_stg_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_catalog(raw_feed(spark, sf_dir, CATALOG))
 
 
-def q_stg_appdetails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = stg_appdetails_of(spark, sf_dir)
+def flat_appdetails(s: DataFrame) -> DataFrame:
+    """All staged columns, arrays as text."""
     return s.select(
         "appid", "name", "is_free", "is_coming_soon", "release_date",
         texts("developers").alias("developers"), texts("publishers").alias("publishers"),
@@ -73,6 +77,10 @@ def q_stg_appdetails(spark: SparkSession, sf_dir: str) -> DataFrame:
         pairs("genres", "genre_name").alias("genres"))
 
 
+def q_stg_appdetails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_appdetails(stg_appdetails_of(spark, sf_dir))
+
+
 def q_stg_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_reviews_of(spark, sf_dir)
 
@@ -278,7 +286,7 @@ def q_raw_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
                   "ingestion_date", REPLACED_DAY).select("appid", "total_reviews", "success")
 
 
-# Staging models as another session of the catalog sees them.
+# Staging models as another session of the catalog sees them after a further load.
 def q_view_stg_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.newSession().table(f"{views_db(spark, sf_dir)}.stg_steam_catalog")
 
@@ -288,8 +296,40 @@ def q_view_stg_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_view_stg_appdetails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = spark.newSession().table(f"{views_db(spark, sf_dir)}.stg_steam_appdetails")
-    return s.select("appid", "name").distinct()
+    return flat_appdetails(spark.newSession().table(f"{views_db(spark, sf_dir)}.stg_steam_appdetails"))
+
+
+def q_bucketed_stg_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog staging over the bucketed raw table, read in place by key."""
+    return staging.stg_catalog(raw_table(spark, views_db(spark, sf_dir), CATALOG), "bucketed")
+
+
+def q_build_all_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One selected mart, built with what it reads from the catalog's raw tables."""
+    db = "feedloom_genres_" + views_db(spark, sf_dir).rsplit("_", 1)[-1]
+    built = build_all(spark, None, db, ["mart_steam_genres"], AS_OF, scratch_dir(spark, "marts"),
+                      raw_db=views_db(spark, sf_dir))
+    return built["mart_steam_genres"]
+
+
+# -- published copies and resumed ingests ------------------------------------
+def q_limit_pending_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 100 catalog keys of a published day not done in its own files, in catalog order."""
+    return incremental.pending(spark, published_run(spark, sf_dir), APPDETAILS, PENDING_RUN_DAY,
+                               limit=PENDING_LIMIT).select("appid")
+
+
+def q_ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole feed lines of an ingest that died and was run again: envelopes, stamp and all."""
+    root = resumed_root(spark, sf_dir)
+    feed = spark.read.schema(FILE_DDL[APPDETAILS]).option("recursiveFileLookup", "true") \
+        .json(feed_path(root, APPDETAILS, AS_OF))
+    return feed.select("ingested_at", "appid", "success", "raw", "error_payload")
+
+
+def q_failed_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed keys of that ingest."""
+    return read_failed(spark, resumed_root(spark, sf_dir), APPDETAILS, AS_OF)
 
 
 def q_table_raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,4 +383,9 @@ QUERIES: dict[str, Query] = {
     "view_stg_appdetails": q_view_stg_appdetails,
     "table_raw_details": q_table_raw_details,
     "build_all_details_reviews": q_build_all_details_reviews,
+    "bucketed_stg_catalog": q_bucketed_stg_catalog,
+    "build_all_genres": q_build_all_genres,
+    "limit_pending_published": q_limit_pending_published,
+    "ingest_resumed": q_ingest_resumed,
+    "failed_resumed": q_failed_resumed,
 }

@@ -1,13 +1,16 @@
 """Dated JSONL feeds: ``<root>/<feed>/<feed>_YYYY-MM-DD.jsonl``.
 
 A day "file" may be a single JSONL file (as landed by any writer) or a
-directory of part files (as Spark writes it); every reader takes both.
+directory of part files (as Spark writes it), with batches as folders in it; every
+reader takes all of them.  A batch is written as a hidden folder and shown by a rename.
 Readers always pass an explicit schema; nothing is inferred.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+import uuid
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CATALOG, FILE_DDL, HISTORY_DDL, RAW_DDL, struct_of
+from ..session import file_system
 
 FEED_DAY = "feed_day"
 _DAY_RE = r"(\d{4}-\d{2}-\d{2})"
@@ -63,6 +67,11 @@ def day_of_file(feed: str, path: Column | str) -> Column:
     return F.regexp_extract(path, rf"/{re.escape(feed)}_{_DAY_RE}\.jsonl(/|$)", 1)
 
 
+def _lines(spark: SparkSession, ddl: str, mode: str):
+    """Reader of JSON lines: part files and batches of a day alike."""
+    return spark.read.schema(ddl).option("mode", mode).option("recursiveFileLookup", "true")
+
+
 def _empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], struct_of(ddl))
 
@@ -73,14 +82,13 @@ def _empty(spark: SparkSession, ddl: str) -> DataFrame:
 def read_catalog(spark: SparkSession, root: str, day: date | str,
                  ddl: str = FILE_DDL[CATALOG]) -> DataFrame:
     """The catalog file of ``day``; a missing file raises, a bad line fails."""
-    return (spark.read.schema(ddl).option("mode", "FAILFAST")
-            .json(feed_path(root, CATALOG, day)))
+    return _lines(spark, ddl, "FAILFAST").json(feed_path(root, CATALOG, day))
 
 
 def latest_feed_day(spark: SparkSession, root: str, feed: str) -> str:
     """Greatest day among the feed's files (file listing only, no data read)."""
     try:
-        files = spark.read.text(feed_glob(root, feed)).inputFiles()
+        files = spark.read.option("recursiveFileLookup", "true").text(feed_glob(root, feed)).inputFiles()
     except AnalysisException as e:
         if not path_missing(e):
             raise
@@ -117,8 +125,7 @@ def read_feed_history(spark: SparkSession, root: str, feed: str,
     failure to read it raises.
     """
     try:
-        df = (spark.read.schema(ddl).option("mode", "DROPMALFORMED")
-              .json(feed_glob(root, feed)))
+        df = _lines(spark, ddl, "DROPMALFORMED").json(feed_glob(root, feed))
     except AnalysisException as e:
         if not path_missing(e):  # only "never written" means nothing done yet
             raise
@@ -133,8 +140,7 @@ def read_feed_day(spark: SparkSession, root: str, feed: str, day: date | str,
                   ddl: str = HISTORY_DDL) -> DataFrame:
     """Today's output for resuming; a missing file is an empty set."""
     try:
-        return (spark.read.schema(ddl).option("mode", "DROPMALFORMED")
-                .json(feed_path(root, feed, day)))
+        return _lines(spark, ddl, "DROPMALFORMED").json(feed_path(root, feed, day))
     except AnalysisException as e:
         if not path_missing(e):
             raise
@@ -144,7 +150,7 @@ def read_feed_day(spark: SparkSession, root: str, feed: str, day: date | str,
 def load_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """A feed file in its raw table schema: unknown fields ignored, a bad
     record (malformed line or wrong type) fails the load."""
-    return spark.read.schema(RAW_DDL[feed]).option("mode", "FAILFAST").json(path)
+    return _lines(spark, RAW_DDL[feed], "FAILFAST").json(path)
 
 
 # --------------------------------------------------------------------------
@@ -172,22 +178,85 @@ def write_feed_day(df: DataFrame, root: str, feed: str, day: date | str,
     interrupted run resumes (details, reviews).
     """
     path = feed_path(root, feed, day)
-    (_embed_json(df).write.mode(mode).option("ignoreNullFields", "false")
-     .option("dateFormat", "yyyy-MM-dd").json(path))
+    _feed_writer(df).mode(mode).json(path)
     return path
 
 
+def _feed_writer(df: DataFrame):
+    return (_embed_json(df).write.option("ignoreNullFields", "false")
+            .option("dateFormat", "yyyy-MM-dd"))
+
+
 def write_failed(keys: DataFrame, root: str, feed: str, day: date | str,
-                 key: str = "appid") -> str:
-    """Append failed keys, one per line."""
+                 key: str = "appid", batch: str | None = None) -> str:
+    """Append failed keys, one per line; those of a ``batch`` only once."""
     path = failed_path(root, feed, day)
-    keys.select(F.col(key).cast("string").alias("value")).write.mode("append").text(path)
+    lines = keys.select(F.col(key).cast("string").alias("value"))
+    if batch is None:
+        lines.write.mode("append").text(path)
+    else:
+        add_batch(keys.sparkSession, path, batch, lines.write.text)
+    return path
+
+
+# --------------------------------------------------------------------------
+# Batches of a day
+# --------------------------------------------------------------------------
+def payload_batch(payloads: DataFrame) -> str:
+    """Name of the batch that some landed files are: a digest of their paths, sizes
+    and times; a new name where ``payloads`` does not come from files."""
+    files = sorted(payloads.inputFiles())
+    if not files:
+        return uuid.uuid4().hex
+    digest = hashlib.sha256()
+    for f in files:
+        fs, p = file_system(payloads.sparkSession, f)
+        s = fs.getFileStatus(p)
+        digest.update(f"{f} {s.getLen()} {s.getModificationTime()}\n".encode())
+    return digest.hexdigest()[:32]
+
+
+def batch_path(path: str, batch: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9.-]*", batch):
+        raise ValueError(f"not a batch name: {batch!r}")
+    return f"{path}/batch-{batch}"
+
+
+def batch_done(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether a day's file or list at ``path`` holds the batch."""
+    fs, p = file_system(spark, batch_path(path, batch))
+    return fs.exists(p)
+
+
+def add_batch(spark: SparkSession, path: str, batch: str, write) -> bool:
+    """Add what ``write(folder)`` writes as a batch, unless it is there; whether it was added.
+
+    Readers skip ``_`` names: an attempt is not seen until its folder is renamed.
+    """
+    fs, done = file_system(spark, batch_path(path, batch))
+    if fs.exists(done):
+        return False
+    attempt = f"{path}/_attempt-{uuid.uuid4().hex}"
+    write(attempt)
+    # of two writers of a batch the second finds its folder there and gives way
+    if fs.exists(done) or not fs.rename(file_system(spark, attempt)[1], done):
+        fs.delete(file_system(spark, attempt)[1], True)
+        if not fs.exists(done):
+            raise OSError(f"can't add batch {batch} to {path}")
+        return False
+    return True
+
+
+def write_feed_batch(df: DataFrame, root: str, feed: str, day: date | str, batch: str) -> str:
+    """Add a batch of feed lines to a day, once."""
+    path = feed_path(root, feed, day)
+    add_batch(df.sparkSession, path, batch, lambda at: _feed_writer(df).json(at))
     return path
 
 
 def read_failed(spark: SparkSession, root: str, feed: str, day: date | str) -> DataFrame:
     try:
-        return spark.read.text(failed_path(root, feed, day)).select(
+        return spark.read.option("recursiveFileLookup", "true").text(failed_path(root, feed, day)).select(
             F.col("value").cast("bigint").alias("appid"))
     except AnalysisException as e:
         if not path_missing(e):
