@@ -49,8 +49,10 @@ def time_jobs(spark, sf_dir: str) -> dict:
         took[name] = round(time.time() - t0, 3)
 
     for feed, payloads in ((APPDETAILS, details_payloads), (REVIEWS, reviews_payloads)):
-        timed(f"ingest_{feed}", lambda f=feed, p=payloads: jobs.ingest(
-            spark, p(spark, sf_dir), f, scratch_dir(spark, "bench-ingest"), AS_OF))
+        landed = scratch_dir(spark, "bench-landed")  # as a fetcher lands them: in several files
+        payloads(spark, sf_dir).repartition(16).write.parquet(landed)
+        timed(f"ingest_{feed}", lambda f=feed, at=landed: jobs.ingest(
+            spark, spark.read.parquet(at), f, scratch_dir(spark, "bench-ingest"), AS_OF))
     timed("publish_day", lambda: jobs.publish_day(spark, lake_root(spark, sf_dir), lake, AS_OF))
     # the landed day file holds rows of about 2,400 days: a backfill
     timed("load_day_reviews_backfill", lambda: jobs.load_day(spark, lake, AS_OF, raw_at, (REVIEWS,)))
@@ -59,6 +61,7 @@ def time_jobs(spark, sf_dir: str) -> dict:
         df = load_feed(spark, feed_path(lake, feed, AS_OF), feed)
         df = df.withColumn(DATE_COLUMN[feed], F.trunc(DATE_COLUMN[feed], "year"))
         timed(f"replace_day_{feed}", lambda d=df, f=feed: replace_day(d, raw_at + "-years", f, AS_OF))
+    timed("load_tables", lambda: jobs.load_tables(spark, lake, AS_OF, raw_at + "-tables", "bench_tables", buckets=2))
     timed("publish_views", lambda: jobs.publish_views(spark, raw_at + "-years", "bench_raw"))
     timed("build_all", lambda: jobs.build_all(spark, raw_at + "-years", "bench_marts", as_of=AS_OF,
                                               location=scratch_dir(spark, "bench-marts")))
