@@ -53,6 +53,93 @@ def test_wrappers_do_not_remove_an_article(html, want):
     assert Page(html).text(set()) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div id=content><p>Main text of the page.</p></div><section><article class='comment'>Reader comment</article>"
+     "</section>", "Main text of the page."),
+    ("<div id=content><p>A plain container with the long main text.</p></div><section><article>teaser one</article>"
+     "<article>teaser two</article></section>", "A plain container with the long main text."),
+    ("<article><p>a</p><div class='market-share'>b</div><section class='related-work'>c</section>"
+     "<div class=ad-hoc>d</div><div class='open-share'>e</div></article>", "a\n\nb\n\nc\n\nd\n\ne"),
+    ("<article><p>a</p><div class='share-buttons'>b</div><section class=related-posts>c</section>"
+     "<div class=comments__list>d</div><div class='ad'>e</div></article>", "a"),
+    ("<div class=market-share>a</div><div class=acme-sidebar>b</div><div class=blog_footer>c</div>", "a"),
+    ("<article><p>first</p></article><article><p>second one</p></article><p>x</p>", "first\n\nsecond one"),
+    ("<article class='post widget'><p>a</p></article><footer>f</footer>", "a"),
+    ("<article class=teaser>t</article><div><p>main</p></div>", "main"),
+])
+def test_comments_teasers_and_words_in_names(html, want):
+    assert Page(html).text(set()) == want
+
+
+def test_a_deep_page_takes_memory_in_proportion():
+    import time
+    import tracemalloc
+    peaks = []
+    for n in (10_000, 40_000):
+        html = "<div class=a>" * n + "deep" + "</p></section>" * n
+        tracemalloc.start()
+        start = time.time()
+        page = Page(html)
+        assert page.text(set()) == "deep" and len(page.statistics()) == n
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert time.time() - start < 30
+    assert peaks[1] < 6 * peaks[0] and peaks[1] < 100e6
+
+
+TEMPLATE = ("<body><div class=qa><a href=/start>Start</a> <a href=/all>All</a> updated {0}</div>"
+            "<div class=qb><div class=qc>All rights of this house are kept, write to the desk, build {0}</div></div>"
+            "<div class=qd><h1>About {1}</h1><p>{2}</p></div><div class=qe>Written by {1} for you {3}</div></body>")
+
+
+def template_pages():
+    import random
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        words = [f"w{int(rng.paretovariate(0.6)) % 4000}" for _ in range(80)]
+        name = f"name{i} of{rng.randrange(40)}"
+        rows.append((i, f"http://h{i % 2}.org/{i}", TEMPLATE.format(i, name, " ".join(words), " ".join(words[:5])),
+                     f"About {name}\n\n{' '.join(words)}"))
+    return rows
+
+
+def test_the_tree_removes_boilerplate_that_no_name_tells(spark):
+    rows = template_pages()
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    on = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
+    off = {r["page_id"]: r["text"] for r in html_extract.extract(pages, threshold=0.0).collect()}
+    for i, _, _, main in rows:
+        assert "All rights" in off[i] and "Start All" in off[i] and main in off[i]
+        assert "All rights" not in on[i] and "Start" not in on[i]
+        assert on[i].startswith(main)  # and the byline, which differs
+
+
+def test_style_tree_against_brute_force(spark):
+    rows = template_pages() + [(100 + k, "http://h0.org/c", template_pages()[0][2], "") for k in range(3)] \
+        + [(200, "http://h0.org/x", "<body><article><p>x</p><ul><li>Start</ul></article></body>", "")]
+    got = {(r["host"], r["path"]): r for r in html_extract.style_tree(html_extract.page_nodes(
+        spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string"))).collect()}
+    nodes = {}
+    for _, url, html, _ in rows:
+        for path, unit, children, share, features in Page(html).statistics():
+            nodes.setdefault((url.split("/")[2], path), {})[unit] = (children, share, features)
+    assert nodes.keys() == got.keys()
+
+    def base(x, m):
+        return math.log(x) / math.log(m)
+
+    for key, units in nodes.items():
+        m, looks = len(units), Counter(v[0] for v in units.values())
+        pres = -sum(c / m * base(c / m, m) for c in looks.values()) if m > 1 else 1.0
+        counts, own = Counter(f for v in units.values() for f in v[2]), sum(bool(v[2]) for v in units.values())
+        cont = 1 - sum(base(counts[f], own) for v in units.values() for f in v[2]) / counts.total() if own > 1 else 1.0
+        r = got[key]
+        assert (r["pages"], r["styles"]) == (m, len(looks))
+        assert np.allclose([r["presentation"], r["content"], r["importance"]],
+                           [pres, cont, (1 - 0.9 ** len(looks)) * pres + 0.9 ** len(looks) * cont])
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     page = "<body><div class=x1>Same words everywhere</div><div class=story><p>{}</p></div></body>"
     rows = [(i, f"http://h{i % 2}.com/{i}", page.format(f"Story {i} " * 20)) for i in range(40)]
