@@ -7,8 +7,11 @@ import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 #: A word is a maximal run of anything but the six ASCII white-space characters.
 #: ``bytes.split()`` splits on exactly this set, so Python code uses that.
@@ -84,6 +87,24 @@ def fold(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus, F.lit(0))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores after it as keep it apart from the
+    columns of ``df`` (whose case does not count)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def column(df: DataFrame, name: str) -> Column:
+    """A column by its name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def keep_rows(docs: DataFrame, keepers: DataFrame, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``keepers`` (doc_id, text_hash, ties) names.
@@ -93,14 +114,56 @@ def keep_rows(docs: DataFrame, keepers: DataFrame, doc_id: str = "doc_id",
     repeats; only such rows are shuffled again, combined map-side.
     """
     cols = docs.columns
-    k = keepers.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"),
-                       F.col("ties").alias("__ties")).distinct()
-    on = docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(
-        F.coalesce(docs[text], F.lit(""))) == F.col("__th"))
-    once = docs.join(k.where("__ties = 1"), on, "left_semi")
-    tied = docs.join(k.where("__ties > 1"), on, "left_semi")
-    first = (tied.withColumn("__th", F.xxhash64(clean_text(text)))
-             .groupBy(F.col(doc_id).alias("__id"), "__th")
-             .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("__row"))
-             .select(*[F.col(f"__row.`{c}`") for c in cols]))
+    i, h, n, row = free_names(docs, "__id", "__th", "__ties", "__row")
+    k = keepers.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h),
+                       F.col("ties").alias(n)).distinct()
+    on = docs[doc_id].eqNullSafe(F.col(i)) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col(h))
+    once = docs.join(k.where(F.col(n) == 1), on, "left_semi")
+    tied = docs.join(k.where(F.col(n) > 1), on, "left_semi")
+    first = (tied.withColumn(h, F.xxhash64(clean_text(text)))
+             .groupBy(F.col(doc_id).alias(i), h)
+             .agg(F.first(F.struct(*[column(docs, c) for c in cols])).alias(row))
+             .select(*[F.col(row)[c].alias(c) for c in cols]))
     return once.unionByName(first)
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], number: str = "number") -> DataFrame:
+    """``df`` with ``number``: its rows from 0 in ``order`` within equal ``keys`` (one
+    numbering of all rows without keys).
+
+    The rows are sorted by ranges of (keys, order), numbered in a stream, and get as a base
+    the rows of their key in the ranges before; no key has to fit a task.  ``number``
+    and the order's columns are the caller's to keep free.
+    """
+    names = df.columns
+    place = {c: f"c{k}" for k, c in enumerate(names)}  # Python stages take plain names only
+    flat = df.toDF(*place.values())
+    keys, order = [place[k] for k in keys], [place[c] for c in order]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in flat.schema] + ["part long", "at long"])
+    where = [flat.columns.index(k) for k in keys]
+
+    def run(batches):
+        me, last, n = TaskContext.get().partitionId(), None, 0
+        for b in batches:
+            places = []
+            for key in zip(*(b.column(k).to_pylist() for k in where)) if where else ((),) * b.num_rows:
+                n = n + 1 if key == last else 0
+                last = key
+                places.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array([me] * b.num_rows, pa.int64()), pa.array(places, pa.int64())],
+                names=[*b.schema.names, "part", "at"])
+
+    by = keys + order
+    laid = spill(flat.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, schema), "numbered")
+    # a row a partition and key that meet
+    parts = laid.groupBy(*keys, "part").agg(F.count("*").alias("m"))
+    window = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy("part")
+    base = spill(parts.withColumn("base", F.coalesce(F.sum("m").over(
+        window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).where("base > 0"), "bases")
+    b, d = base.alias("b"), laid.alias("d")
+    on = F.col("d.part") == F.col("b.part")
+    for k in keys:
+        on = on & F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return d.join(b, on, "left").select(*[F.col(f"d.{place[c]}").alias(c) for c in names],
+                                        (F.col("d.at") + F.coalesce("b.base", F.lit(0))).alias(number))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import n_words, spill
+from .common import clean_text, column, free_names, n_words, numbered, spill
 
 #: Weights by the sources' order, repeating; what all sources share of the total
 #: size; the most a source may be repeated.
@@ -84,13 +84,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS,
         schedules=SCHEDULES) -> DataFrame:
-    """One row per distinct (doc_id, source, size) of ``docs``: doc_id, source,
-    size, rows, source_size, target, positions.
+    """One row per row of ``docs``: doc_id, source, size, repeat, source_size, target,
+    positions.
 
     ``positions`` holds the training positions (0 to 1) of the copies that the
-    mix takes of each row.  ``size`` is the number of words (null text: 0);
-    ``rows`` is how often the triple is repeated: repeats lie next to each other
-    and get the same copies.  A null source is a source of its own, the last one.
+    mix takes of the row.  ``size`` is the number of words (null text: 0);
+    ``repeat`` numbers rows of equal (doc_id, source, size) from 0; they lie next to each
+    other, each at a place of its own.  A null source is a source of its own, the last one.
     A document without words takes up no room; it is taken where it lies.  Where
     all sizes are 0, every document is taken once, at the start.  Other columns
     are ignored; an empty table gives an empty table.
@@ -129,10 +129,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         .select("b.source", "b.part", "b.base", "t.source_size", "t.target", "t.rank")
     at = (laid.alias("d").join(base.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source"))
                                & (F.col("d.part") == F.col("b.part")))
-          .select("d.doc_id", "d.source", "d.size", "d.rows", "b.source_size", "b.target", "b.rank",
-                  (F.col("base") + F.col("before") + F.col("size") * F.col("rows") / 2).alias("mid")))
+          .select("d.doc_id", "d.source", "d.size", "b.source_size", "b.target", "b.rank",
+                  (F.col("base") + F.col("before")).alias("start"),
+                  F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("repeat"))
+          .withColumn("mid", F.col("start") + F.col("size") * F.col("repeat") + F.col("size") / 2))
     copies = int(np.ceil(max_repeats))
-    schema = ("doc_id long, source string, size long, rows long, source_size long, target double, "
+    schema = ("doc_id long, source string, size long, repeat long, source_size long, target double, "
               "positions array<double>")
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -157,26 +159,84 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     return at.mapInArrow(place, schema)
 
 
+def training_order(plan: DataFrame) -> DataFrame:
+    """(doc_id, source, size, repeat, copy, position, rank): the copies of a mix, ranked
+    from 0 in training order (by position; then id, null first, source, size, repeat, copy)."""
+    copies = plan.select("doc_id", "source", "size", "repeat",
+                         F.posexplode("positions").alias("copy", "position"))
+    return numbered(copies, [], ["position", "doc_id", "source", "size", "repeat", "copy"], "rank")
+
+
+def ranked_mix(docs: DataFrame, **kw) -> DataFrame:
+    """:func:`mix` with ``ranks``, the places of the positions in the training order."""
+    plan = spill(mix(docs, **kw), "mix")
+    key = ["doc_id", "source", "size", "repeat"]
+    # a row's copies, at most the greatest repeat of them
+    ranks = spill(training_order(plan).groupBy(*key).agg(
+        F.sort_array(F.collect_list("rank")).alias("ranks")), "ranks").alias("r")
+    on = F.lit(True)
+    for k in key:
+        on = on & F.col(f"p.{k}").eqNullSafe(F.col(f"r.{k}"))
+    return (plan.alias("p").join(ranks, on, "left")
+            .select("p.*", F.coalesce("r.ranks", F.array().cast("array<long>")).alias("ranks")))
+
+
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     source: str = "source", **kw) -> DataFrame:
     """``docs`` as the mix takes it, in training order: every row once for each
     copy, range-sorted by position; rows without a copy are dropped.  All
     columns stay."""
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    plan = mix(docs, doc_id, text, source, **kw)
-    at = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-                     F.col("size").alias("__size"), F.explode("positions").alias("__at"))
-    both = docs.join(at, docs[doc_id].cast("long").eqNullSafe(F.col("__id"))
-                     & docs[source].cast("string").eqNullSafe(F.col("__source"))
-                     & (F.regexp_count(F.coalesce(docs[text], F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-                        .cast("long") == F.col("__size")))
-    return (both.repartitionByRange("__at", "__id").sortWithinPartitions("__at", "__id", "__source")
-            .select(*cols))
+    cols = [column(docs, c) for c in docs.columns]
+    i, s, z, r, at, h, n = free_names(docs, "__id", "__source", "__size", "__repeat", "__at", "__th", "__n")
+    plan = spill(mix(docs, doc_id, text, source, **kw), "mix")
+    keyed = (docs.withColumn(i, F.col(doc_id).cast("long")).withColumn(s, F.col(source).cast("string"))
+             .withColumn(z, n_words(text)))
+    same = [i, s, z]
+    names = plan.select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("size").alias(z),
+                        F.col("repeat").alias(r), "positions")
+
+    def match(a, b, on):
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & a[c].eqNullSafe(b[c])
+        return cond
+
+    # rows that repeat (id, source, size) are numbered as their places are
+    often = spill(names.where(F.col(r) > 0).select(*same).distinct(), "repeats")
+    once = keyed.join(often, match(keyed, often, same), "left_anti").withColumn(r, F.lit(0).cast("long"))
+    again = keyed.join(often, match(keyed, often, same), "left_semi").withColumn(h, F.xxhash64(clean_text(text)))
+    again = numbered(again, same, [h], r).drop(h)
+    rows = once.unionByName(again)
+    copies = names.select(*[F.col(c).alias(f"{c}{n}") for c in (*same, r)], F.explode("positions").alias(at))
+    both = rows
+    cond = F.lit(True)
+    for c in (*same, r):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{c}{n}"))
+    both = rows.join(copies, cond)
+    return (both.repartitionByRange(at, i, s, z, r).sortWithinPartitions(at, i, s, z, r).select(*cols))
+
+
+def _inverse_sql(x: str, kind: str, schedules=SCHEDULES) -> str:
+    """SQL of :func:`invert_schedule`, its operations in the same order."""
+    out = "CASE"
+    for k, knots in enumerate(schedules):
+        t = np.array([p[0] for p in knots], float)
+        d = np.array([p[1] for p in knots], float)
+        area = np.concatenate([[0.0], np.cumsum((d[1:] + d[:-1]) / 2 * np.diff(t))])
+        d, area = d / area[-1], area / area[-1]
+        for j in range(len(t) - 2, -1, -1):
+            a, slope, low, start = (f"'{float(v)!r}'::DOUBLE" for v in (
+                d[j], 2 * ((d[j + 1] - d[j]) / (t[j + 1] - t[j])), area[j], t[j]))
+            rest = f"({x} - {low})"
+            out += (f" WHEN {kind} = {k}" + (f" AND {x} >= {low}" if j else "")
+                    + f" THEN greatest(least({start} + 2 * {rest} / greatest({a} + sqrt(greatest("
+                      f"{a} * {a} + {slope} * {rest}, 0)), 1e-300), 1), 0)")
+    return out + " END"
 
 
 #: DuckDB SQL of the query: closed form of the shared level over the sources,
 #: running sums in MD5 order.
-MIX_SQL = """
+MIX_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
   FROM documents
@@ -194,12 +254,26 @@ WITH d AS (
 ), l AS (
   SELECT arg_min((budget - held) / open, k) FILTER (WHERE most > weight * ((budget - held) / open)) AS level FROM c
 ), t AS (
-  SELECT source, source_size, least(weight * coalesce(level, 0), most) AS target FROM r, l
+  SELECT source, source_size, least(weight * coalesce(level, 0), most) AS target, (row_number() OVER (
+         ORDER BY source IS NULL, source COLLATE "C") - 1) % 3 AS kind FROM r, l
 ), p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(d.doc_id::VARCHAR), d.doc_id) - d.size + d.size / 2.0 AS mid
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.kind,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(d.doc_id::VARCHAR), d.doc_id, d.size
+                           ROWS UNBOUNDED PRECEDING) - d.size + d.size / 2.0 AS mid,
+         row_number() OVER () AS row
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), q AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least((mid + copy * source_size)::DOUBLE / greatest(target, 1e-300), 1) END::DOUBLE AS x
+  FROM p, (SELECT unnest([0, 1]) AS copy)
+  WHERE mid + copy * source_size < target OR source_size = 0 AND copy = 0
+), o AS (
+  SELECT *, {_inverse_sql("x", "kind")}::DOUBLE AS position FROM q
+), k AS (
+  SELECT row, copy, position, row_number() OVER (
+         ORDER BY position, doc_id NULLS FIRST, source COLLATE "C" NULLS FIRST, size, row, copy) - 1 AS rank FROM o
 )
-SELECT doc_id, size, source_size, target,
-       (size * ((mid < target)::INT + (mid + source_size < target)::INT))::BIGINT AS taken FROM p
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       (p.size * ((a.row IS NOT NULL)::INT + (b.row IS NOT NULL)::INT))::BIGINT AS taken,
+       a.position AS first_position, b.position AS second_position, a.rank AS first_rank, b.rank AS second_rank
+FROM p LEFT JOIN k a ON a.row = p.row AND a.copy = 0 LEFT JOIN k b ON b.row = p.row AND b.copy = 1
 """

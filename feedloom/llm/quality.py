@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, fold
+from .common import clean_text, column, fold, free_names
 from .numeric import fit_logistic, logit, predict_logistic, sigmoid
 
 #: Labelled rows and pool rows that the classifiers are fitted on, at most.
@@ -196,12 +196,13 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
     Null text counts as empty, null metadata as a value of its own; repeated
     rows stay rows; an empty table gives an empty table.  ``score`` is the
     probability of quality 1 and ``predicted`` whether it reaches 0.5.  With
-    ``keep_columns`` the input's own columns come back with ``__score`` instead.
+    ``keep_columns`` the input's own columns come back with one more, the score.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     views = (text, lang, source, n_chars)
     if keep_columns:
-        picked, own, more = docs, len(docs.columns), ["__score double"]
+        own, more = len(docs.columns), ["score double"]
+        picked = docs.toDF(*[f"c{k}" for k in range(own)])  # Python stages take plain names only
         at = [docs.columns.index(c) for c in views]
     else:
         picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
@@ -226,7 +227,8 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
             got = [s] if keep_columns else [*p, s, (s >= 0.5).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([*b.columns[:own], *map(pa.array, got)], names=names)
 
-    return picked.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + more))
+    scored = picked.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + more))
+    return scored.toDF(*docs.columns, *free_names(docs, "__score")) if keep_columns else scored
 
 
 def quality(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
@@ -237,4 +239,5 @@ def quality(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **kw) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, all columns kept."""
     scored = score(docs, train(docs, labels, **kw), keep_columns=True)
-    return scored.where(F.col("__score") >= threshold).drop("__score")
+    mark = scored.columns[-1]
+    return scored.where(column(scored, mark) >= threshold).drop(mark)

@@ -35,11 +35,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mix(_table(spark, sf_dir, "documents"))
-    row = plan.select("doc_id", "size", "source_size", "target",
-                      (F.col("size") * F.size("positions")).cast("long").alias("taken"),
-                      F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return row.drop("col")
+    plan = mixing.ranked_mix(_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target",
+                       (F.col("size") * F.size("positions")).cast("long").alias("taken"),
+                       F.get("positions", F.lit(0)).alias("first_position"),
+                       F.get("positions", F.lit(1)).alias("second_position"),
+                       F.get("ranks", F.lit(0)).alias("first_rank"), F.get("ranks", F.lit(1)).alias("second_rank"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

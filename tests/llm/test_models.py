@@ -329,11 +329,12 @@ def test_mixing_query_matches_sql_and_targets(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     rel = con.sql(E.oracle_sql()["op5_source_mixing"])
-    want = {r[0]: r for r in rel.select("doc_id, size, source_size, target, taken").fetchall()}
+    cols = "doc_id, size, source_size, target, taken, first_position, second_position, first_rank, second_rank"
+    want = {r[0]: r for r in rel.select(cols).fetchall()}
     assert len(got) == len(want)
     for r in got:
         w = want[r["doc_id"]]
-        assert tuple(r)[:3] == w[:3] and r["taken"] == w[4] and math.isclose(r["target"], w[3])
+        assert tuple(r[c] for c in cols.split(", ")) == w  # to the last bit
     source = dict(duckdb.sql(f"SELECT doc_id, source FROM '{SF}/documents.parquet'").fetchall())
     total, most, target = Counter(), Counter(), {}
     for r in got:
@@ -348,12 +349,12 @@ def test_mixing_query_matches_sql_and_targets(spark):
 
 def test_mixing_nasty(spark, nasty, no_docs):
     rows = mixing.mix(nasty).collect()
-    assert sum(r["rows"] for r in rows) == 14
+    assert len(rows) == 14
     kept = mixing.mixed_documents(nasty)
     assert kept.columns == nasty.columns
     want = Counter()
     for r in rows:
-        want[r["doc_id"]] += r["rows"] * len(r["positions"])
+        want[r["doc_id"]] += len(r["positions"])
         assert len(r["positions"]) <= 2 and all(0 <= p <= 1 for p in r["positions"])
     assert Counter(r["doc_id"] for r in kept.collect()) == +want
     again = mixing.mix(nasty.repartition(5)).collect()
@@ -363,6 +364,36 @@ def test_mixing_nasty(spark, nasty, no_docs):
     assert mixing.mixed_documents(blank).count() == 2
 
 
+def test_repeated_rows_are_placed_one_by_one(spark):
+    rows = [(1, "one two three four", "en", "a", 9)] * 1000 + [(None, f"w{k} x", "en", "a", 9) for k in range(500)]
+    rows += [(k, "x " * 40, "en", "b", 9) for k in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plan = mixing.ranked_mix(docs, share=0.9).collect()
+    assert len(plan) == len(rows)
+    taken, target = Counter(), {}
+    for r in plan:
+        taken[r["source"]] += r["size"] * len(r["positions"])
+        target[r["source"]] = r["target"]
+    assert abs(taken["a"] - target["a"]) <= 4 and abs(taken["b"] - target["b"]) <= 40
+    ranks = sorted((k, p) for r in plan for k, p in zip(r["ranks"], r["positions"]))
+    assert [k for k, _ in ranks] == list(range(len(ranks)))
+    assert all(a[1] <= b[1] for a, b in zip(ranks, ranks[1:]))
+    kept = mixing.mixed_documents(docs, share=0.9).collect()
+    assert len(kept) == len(ranks)
+    most = Counter(r["text"] for r in kept if r["doc_id"] is None)
+    assert all(n <= 2 for n in most.values())  # rows of equal id and size are told apart
+
+
+def test_numbers_of_rows_run_over_ranges(spark):
+    from feedloom.llm.common import numbered
+    df = spark.range(3000).selectExpr("IF(id % 3 = 0, NULL, id % 2) AS k", "id AS o")
+    got = numbered(df, ["k"], ["o"]).collect()
+    for key in (None, 0, 1):
+        own = sorted((r["o"], r["number"]) for r in got if r["k"] == key)
+        assert [n for _, n in own] == list(range(len(own))) and len(own) == 1000
+    assert [r["number"] for r in sorted(numbered(df, [], ["o"]).collect(), key=lambda r: r["o"])] == list(range(3000))
+
+
 def test_mixed_documents_come_in_order_of_position(spark, sf):
     docs = sf("documents")
     at = {}
