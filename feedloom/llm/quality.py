@@ -4,9 +4,13 @@ Two views of a document get a classifier each: the text (rates of byte kinds,
 punctuation and byte pairs, word and line statistics of the whole text) and the
 page metadata (language, source, recorded length).  In each round both are
 fitted on the rows they have labels for, calibrated on labelled rows kept aside,
-and hand the pool documents of which their calibrated probability is certain
+and hand the documents of which their calibrated probability is certain
 enough to the other view as pseudo-labels.  A document's score combines the
 calibrated views: the prior's log-odds plus what each view adds to them.
+
+The pool is every unlabelled document outside the held-out fold.  Its features are
+written once; in each round Spark scores all of it with both views and brings the most
+certain rows to the driver, a fixed number for each view and class.
 """
 
 from __future__ import annotations
@@ -19,12 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, column, fold, free_names
+from .common import clean_text, column, fold, free_names, spill
 from .numeric import fit_logistic, logit, predict_logistic, sigmoid
 
-#: Labelled rows and pool rows that the classifiers are fitted on, at most.
+#: Labelled rows that the classifiers are fitted on, at most.
 MAX_LABELLED = 6000
-MAX_POOL = 4000
 ROUNDS = 4
 #: Pseudo-labels need this calibrated probability; a view hands over at most
 #: so many of each class in a round.
@@ -94,33 +97,109 @@ class View:
         return predict_logistic(self.cal, logit(self.raw(x))[:, None] / 10)
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, cal: list[np.ndarray], cal_y: np.ndarray,
-             pool: list[np.ndarray], rounds: int = ROUNDS, certain: float = CERTAIN,
-             per_round: int = PER_ROUND) -> tuple[list[View], int]:
-    """The two fitted views and the number of pseudo-labels exchanged."""
+def exchange(views: list[np.ndarray], y: np.ndarray, cal: list[np.ndarray], cal_y: np.ndarray,
+             pick, rounds: int = ROUNDS) -> tuple[list[View], int]:
+    """The two fitted views and the number of pseudo-labels exchanged.
+
+    ``pick(fitted)`` gives for each view the rows that the other one is most certain
+    of, and their labels; rows that a view was given before are not given again.
+    """
     own = [(v, y) for v in views]
-    open_ = [np.ones(len(pool[0]), bool) for _ in views]  # pool rows that view k has no label for
     fitted, given = [View(*o, c, cal_y) for o, c in zip(own, cal)], 0
     for _ in range(rounds):
-        if not len(pool[0]):
-            break
-        p = [f.predict(u) for f, u in zip(fitted, pool)]
-        new = []
-        for k in (0, 1):  # view 1 - k teaches view k
-            t = p[1 - k]
-            left = [np.nonzero(open_[k] & (s >= certain))[0] for s in (t, 1 - t)]
-            picks = [i[np.argsort(-s[i], kind="stable")[:per_round]] for i, s in zip(left, (t, 1 - t))]
-            new.append((np.concatenate(picks), np.repeat([1, 0], list(map(len, picks)))))
-        if not any(len(i) for i, _ in new):
+        new = pick(fitted)
+        if not any(len(label) for _, label in new):
             break
-        for k, (i, label) in enumerate(new):
-            open_[k][i] = False
-            given += len(i)
-            own[k] = (np.vstack([own[k][0], pool[k][i]]), np.concatenate([own[k][1], label]))
+        for k, (x, label) in enumerate(new):
+            given += len(label)
+            own[k] = (np.vstack([own[k][0], x]), np.concatenate([own[k][1], label]))
         fitted = [View(*o, c, cal_y) for o, c in zip(own, cal)]
     return fitted, given
 
 
+def most_certain(p: list[np.ndarray], open_: list[np.ndarray], certain: float, per_round: int):
+    """For each view k: (rows, labels, certainty), the ``per_round`` open rows of each
+    class that view 1 - k is most certain of."""
+    out = []
+    for k in (0, 1):
+        sides = (p[1 - k], 1 - p[1 - k])
+        left = [np.nonzero(open_[k] & (s >= certain))[0] for s in sides]
+        best = [i[np.argsort(-s[i], kind="stable")[:per_round]] for i, s in zip(left, sides)]
+        out.append((np.concatenate(best), np.repeat([1, 0], list(map(len, best))),
+                    np.concatenate([s[i] for i, s in zip(best, sides)])))
+    return out
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, cal: list[np.ndarray], cal_y: np.ndarray,
+             pool: list[np.ndarray], rounds: int = ROUNDS, certain: float = CERTAIN,
+             per_round: int = PER_ROUND) -> tuple[list[View], int]:
+    """:func:`exchange` over a pool in memory."""
+    open_ = [np.ones(len(pool[0]), bool) for _ in views]  # pool rows that view k has no label for
+
+    def pick(fitted):
+        new = most_certain([f.predict(u) for f, u in zip(fitted, pool)], open_, certain, per_round)
+        for k, (i, _, _) in enumerate(new):
+            open_[k][i] = False
+        return [(pool[k][i], label) for k, (i, label, _) in enumerate(new)]
+
+    return exchange(views, y, cal, cal_y, pick, rounds)
+
+
+class PoolPicker:
+    """The most certain rows of a pool (i, a, b) of any size, a row an id."""
+
+    def __init__(self, pool: DataFrame, certain: float = CERTAIN, per_round: int = PER_ROUND):
+        self.pool, self.certain, self.per_round = pool, certain, per_round
+        self.taken: list[set] = [set(), set()]  # ids by view: per_round a class and round
+
+    def __call__(self, fitted):
+        certain, per_round = self.certain, self.per_round
+        shared = self.pool.sparkSession.sparkContext.broadcast((fitted, self.taken))
+
+        def run(batches):
+            views, taken = shared.value
+            held: dict[tuple[int, int], dict] = {(k, c): {} for k in (0, 1) for c in (0, 1)}
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 4096):
+                    t = batch.slice(lo, 4096)
+                    ids = t.column(0).to_pylist()
+                    x = [_matrix(t.column(1), TEXT_DIM), _matrix(t.column(2), META_DIM)]
+                    open_ = [np.array([i not in own for i in ids], bool) for own in taken]
+                    found = most_certain([f.predict(v) for f, v in zip(views, x)], open_, certain, len(ids))
+                    for k, picks in enumerate(found):
+                        for r, c, s in zip(*(v.tolist() for v in picks)):
+                            best = held[k, c]
+                            if s > best.get(ids[r], (-1.0,))[0]:
+                                best[ids[r]] = (s, t.column(1)[r].as_py(), t.column(2)[r].as_py())
+                    for key, best in held.items():
+                        if len(best) > per_round:
+                            top = sorted(best, key=lambda i: (-best[i][0], i))[:per_round]
+                            held[key] = {i: best[i] for i in top}
+            rows = [(k, c, s, i, a, b) for (k, c), best in held.items() for i, (s, a, b) in best.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, t) for v, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.string(),
+                                                                 pa.binary(), pa.binary()))],
+                    names=["k", "c", "s", "i", "a", "b"])
+
+        # at most 4 * per_round rows a partition
+        certain_rows = spill(self.pool.select("i", "a", "b").mapInArrow(
+            run, "k long, c long, s double, i string, a binary, b binary"), "certain")
+        best = certain_rows.groupBy("k", "c", "i").agg(F.max(F.struct("s", "a", "b")).alias("x"))
+        parts = [best.where((F.col("k") == k) & (F.col("c") == c)).orderBy(F.col("x.s").desc(), "i").limit(per_round)
+                 for k in (0, 1) for c in (1, 0)]
+        got = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]) \
+            .select("k", "c", "x.s", "i", "x.a", "x.b").toArrow()
+        got = got.sort_by([("k", "ascending"), ("c", "descending"), ("s", "descending"), ("i", "ascending")])
+        k, c = (got.column(n).to_numpy() for n in ("k", "c"))
+        out = []
+        for view, (name, dim) in enumerate((("a", TEXT_DIM), ("b", META_DIM))):
+            mine = got.filter(pa.array(k == view))
+            self.taken[view] |= set(mine.column("i").to_pylist())
+            out.append((_matrix(mine.column(name), dim), c[k == view]))
+        return out
+
+
 def combine(prior: float, p: list[np.ndarray]) -> np.ndarray:
     base = logit(np.array(prior))
     return sigmoid(base + sum(logit(v) - base for v in p))
@@ -152,39 +231,40 @@ def _matrix(column, dim: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
-          max_pool: int = MAX_POOL, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-          source: str = "source", n_chars: str = "n_chars", label: str = "quality", **kw) -> dict:
+          doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+          source: str = "source", n_chars: str = "n_chars", label: str = "quality",
+          certain: float = CERTAIN, per_round: int = PER_ROUND, rounds: int = ROUNDS) -> dict:
     """Fit the views on labelled rows outside the held-out fold.
 
-    At most ``max_labelled`` labelled rows and ``max_pool`` unlabelled rows
-    outside that fold are used, those with the smallest id hashes.  Of the
-    labelled ones, fold 4 of crc32(id) mod 5 calibrates and folds 1 to 3 train;
-    fold 0 is never read.  Rows without a label or an id and ids with both labels
-    count as unlabelled.  With one class only, that class is the score.
+    At most ``max_labelled`` labelled ids are used, those with the smallest hashes, and
+    of an id that is repeated one row (that with the smallest hash).  Fold 4 of crc32(id)
+    mod 5 calibrates and folds 1 to 3 train; fold 0 is never read.  All other rows with an id
+    are the pool; ids with both labels are among them.  The driver gets the labelled rows and
+    at most 4 * ``rounds`` * ``per_round`` rows of the pool.  With one class only, that
+    class is the score.
     """
     cols = (doc_id, text, lang, source, n_chars)
     ids = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
-           .groupBy(F.col(doc_id).alias("__id")).agg(F.min(label).alias("y"), F.max(label).alias("hi"))
-           .where("y = hi").select("__id", F.col("y").cast("int")))
-    order = (F.xxhash64("__id"), F.col("__id"))
-    train_ids = ids.where(fold("__id", 5) != 0).orderBy(*order).limit(max_labelled)
-    pool_ids = (docs.select(F.col(doc_id).alias("__id")).where("__id is not null").distinct()
-                .where(fold("__id", 5) != 0).join(ids.select("__id"), "__id", "left_anti")
-                .orderBy(*order).limit(max_pool).select("__id", F.lit(-1).alias("y")))
-    chosen = F.broadcast(train_ids.unionByName(pool_ids))  # max_labelled + max_pool rows at most
+           .groupBy(F.col(doc_id).cast("string").alias("i")).agg(F.min(label).alias("y"), F.max(label).alias("hi"))
+           .where("y = hi").select("i", F.col("y").cast("int")))
     picked = docs.select(F.col(doc_id).alias("__id"), *(F.col(c).alias(f"__{k}") for k, c in enumerate(cols[1:])))
-    rows = _features(picked.join(chosen, "__id"),
-                     [F.col("__id").cast("string").alias("i"), "y", fold("__id", 5).cast("int").alias("f")],
-                     ("__id", "__0", "__1", "__2", "__3")).toArrow().sort_by("i")
-    y, f = rows.column("y").to_numpy(), rows.column("f").to_numpy()
-    x = [_matrix(rows.column("a"), TEXT_DIM), _matrix(rows.column("b"), META_DIM)]
-    fit, cal, pool = (y >= 0) & (f != 4), (y >= 0) & (f == 4), y < 0
-    known = y[y >= 0]
-    prior = float(known.mean()) if len(known) else 1.0
+    inside = picked.where(F.col("__id").isNotNull() & (fold("__id", 5) != 0))
+    rows = spill(_features(inside, [F.col("__id").cast("string").alias("i"), fold("__id", 5).cast("int").alias("f"),
+                                    F.xxhash64("__0", "__1", "__2", "__3").alias("h")],
+                           ("__id", "__0", "__1", "__2", "__3")).join(ids, "i", "left"), "features")
+    order = (F.xxhash64("i"), F.col("i"))
+    chosen = ids.where(fold("i", 5) != 0).orderBy(*order).limit(max_labelled).select("i")
+    known = (rows.where("y is not null").join(F.broadcast(chosen), "i")  # max_labelled rows at most
+             .groupBy("i").agg(F.min(F.struct("h", "f", "y", "a", "b")).alias("x"))
+             .select("i", "x.f", "x.y", "x.a", "x.b").toArrow().sort_by("i"))
+    y, f = known.column("y").to_numpy(), known.column("f").to_numpy()
+    x = [_matrix(known.column("a"), TEXT_DIM), _matrix(known.column("b"), META_DIM)]
+    fit, cal = f != 4, f == 4
+    prior = float(y.mean()) if len(y) else 1.0
     if len(set(y[fit].tolist())) < 2:
         return {"prior": prior, "views": None, "given": 0}
-    views, given = co_train([v[fit] for v in x], y[fit], [v[cal] for v in x], y[cal],
-                            [v[pool] for v in x], **kw)
+    views, given = exchange([v[fit] for v in x], y[fit], [v[cal] for v in x], y[cal],
+                            PoolPicker(rows.where("y is null"), certain, per_round), rounds)
     return {"prior": prior, "views": views, "given": given}
 
 

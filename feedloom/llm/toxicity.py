@@ -183,8 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, doc_id:
           text: str = "text", label: str = "toxic") -> dict:
     """Model and calibration from labelled rows outside the held-out fold.
 
-    At most ``max_docs`` labelled rows of each class are used (those with the
-    smallest id hashes).  Folds 1 to 3 of crc32(id) mod 5 count for the language
+    At most ``max_docs`` labelled ids of each class are used (those with the
+    smallest hashes), and of an id that is repeated one row (the smallest text hash).  Folds 1 to 3 of crc32(id) mod 5 count for the language
     models, fold 4 for the calibration; fold 0 is never read.  Rows without a
     label or an id, and ids with both labels, count as unlabelled.
     """
@@ -196,7 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, doc_id:
     pick = [ids.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(max_docs) for y in (0, 1)]
     chosen = F.broadcast(pick[0].unionByName(pick[1]))  # 2 * max_docs rows at most
     rows = (docs.select(F.col(doc_id).alias("__id"), clean_text(text).alias("t")).join(chosen, "__id")
-            .select("y", "f", "t"))
+            .groupBy("__id").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t", "y", "f")).alias("x"))
+            .select("x.y", "x.f", "x.t"))  # a row an id
 
     def count(batches):
         for b in batches:

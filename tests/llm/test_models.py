@@ -238,6 +238,55 @@ def test_co_training_hands_over_open_rows_in_every_round():
     assert given == 2 * 2 * 4 * 20  # views, classes, rounds: far more rows are certain
 
 
+def test_the_pool_is_every_unlabelled_row(spark, sf):
+    """The picks on Spark are those of a pool in memory, a row an id."""
+    rng = np.random.default_rng(2)
+    y = np.arange(900) % 2
+    x = [(rng.normal(size=(900, d)) + 2.5 * y[:, None] * (np.arange(d) == k)).astype(np.float32)
+         for k, d in enumerate((quality.TEXT_DIM, quality.META_DIM))]
+    rows = [(f"{i:04d}", bytearray(x[0][i].tobytes()), bytearray(x[1][i].tobytes())) for i in range(200, 900)]
+    pool = spark.createDataFrame(rows + rows[:300] * 3, "i string, a binary, b binary").repartition(7)
+    split = [v.astype(float) for v in x]
+    args = [v[:100] for v in split], y[:100], [v[100:200] for v in split], y[100:200]
+    views, given = quality.exchange(*args, quality.PoolPicker(pool, 0.8, 15), 3)
+    want, given_there = quality.co_train(*args, [v[200:] for v in split], 3, 0.8, 15)
+    assert given == given_there > 60
+    for a, b, v in zip(views, want, split):
+        assert np.allclose(a.predict(v), b.predict(v), atol=1e-6)
+
+
+def test_quality_against_a_plain_version(spark, sf):
+    docs, labels = sf("documents"), sf("labels")
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    rows = docs.collect()
+    x = (np.array([quality.text_features(r["text"]) for r in rows], float),
+         np.array([quality.meta_features(r["lang"], r["source"], r["n_chars"]) for r in rows], float))
+    ids = [r["doc_id"] for r in rows]
+    part = lambda test: sorted((k for k, i in enumerate(ids) if test(i)), key=lambda k: str(ids[k]))
+    fit = part(lambda i: i in known and fold(i) in (1, 2, 3))
+    cal = part(lambda i: i in known and fold(i) == 4)
+    pool = part(lambda i: i not in known and fold(i))
+    label = lambda at: np.array([known[ids[k]] for k in at])
+    views, _ = quality.co_train([v[fit] for v in x], label(fit), [v[cal] for v in x], label(cal), [v[pool] for v in x])
+    want = quality.combine(label(fit + cal).mean(), [f.predict(v) for f, v in zip(views, x)])
+    got = {r["doc_id"]: r["score"] for r in quality.quality(docs, labels).collect()}
+    assert np.allclose([got[i] for i in ids], want, atol=1e-4)
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_a_repeated_id_brings_one_row_to_the_driver(spark, module, monkeypatch):
+    rows = [(i, f"text {i} {'bad' if i % 2 else 'good'} word{i % 7}", "en", "s", 9) for i in range(60)]
+    docs = spark.createDataFrame(rows + [(7, f"text {k % 3} bad", "en", "s", 9) for k in range(20_000)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    real, most = Classic.toArrow, []
+    monkeypatch.setattr(Classic, "toArrow", lambda df: (most.append(real(df)), most[-1])[1])
+    module.train(docs, labels)
+    assert most and max(t.num_rows for t in most) < 200
+
+
 @pytest.mark.parametrize("model", [quality.quality, toxicity.toxicity])
 def test_classifiers_nasty(spark, nasty, no_docs, model):
     labels = spark.createDataFrame(
