@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--date", default=_today())
     p.add_argument("--limit", type=int, default=None)
     p.add_argument("--raw", default=None, help="loaded raw tables to take the history from")
+    p.add_argument("--state", default=None, help="kept table of done keys to take the history from")
     p.add_argument("--out", required=True)
     p = sub.add_parser("publish", help="copy a day's feeds to the lake")
     p.add_argument("--src", required=True)
@@ -80,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "ingest":
         jobs.ingest(spark, spark.read.parquet(a.payloads), a.feed, a.root, a.date, batch=a.batch)
     elif a.cmd == "pending":
-        keys = incremental.pending(spark, a.root, a.feed, a.date, a.limit, a.raw)
+        keys = incremental.pending(spark, a.root, a.feed, a.date, a.limit, a.raw, a.state)
         keys.select("appid", "pos.file", "pos.block", "pos.row") \
             .write.mode("overwrite").parquet(a.out)
     elif a.cmd == "publish":

@@ -16,8 +16,9 @@ from ..operators.keys import (POSITION, dedup_ordered, file_position, limit_pend
                               nonnull_keys, pending_keys, processed_keys, to_key, truthy,
                               union_processed)
 from ..schemas import HISTORY_TYPED_DDL
-from ..sources.feeds import (FEED_DAY, iso_day, read_catalog_or_latest, read_feed_day,
-                             read_feed_history)
+from ..session import file_system
+from ..sources.feeds import (FEED_DAY, add_batch, batch_done, day_in_path, feed_files, files_digest, iso_day,
+                             read_catalog_or_latest, read_feed_day, read_feed_history)
 from ..sources.tables import raw
 
 CATALOG_KEY_DDL = "appid variant"
@@ -55,11 +56,56 @@ def processed_loaded(spark: SparkSession, root: str, feed: str, day: date | str,
     return union_processed(loaded, processed_keys(today))
 
 
+def keep_done_keys(spark: SparkSession, root: str, feed: str, day: date | str, state_root: str) -> list[str]:
+    """Bring the kept table of done keys up to date; the days that were read.
+
+    The table holds the distinct keys done in each closed day file (every one but that of
+    ``day``), as a batch named by a digest of the day's files.  A day that is there
+    with the same files is not read again; one whose files changed is replaced.
+    A batch appears by a rename, so a run that dies leaves whole days only.
+    """
+    files: dict[str, list[str]] = {}
+    for path in feed_files(spark, root, feed):
+        files.setdefault(day_in_path(feed, path), []).append(path)
+    files.pop(iso_day(day), None)
+    read = []
+    for d in sorted(files):
+        at, batch = f"{state_root.rstrip('/')}/{feed}/{d}", files_digest(spark, files[d])
+        if batch_done(spark, at, batch):
+            continue
+        keys = processed_keys(read_feed_day(spark, root, feed, d, ddl=HISTORY_TYPED_DDL)).select("appid")
+        add_batch(spark, at, batch, keys.write.parquet)
+        fs, p = file_system(spark, at)
+        for s in fs.listStatus(p):  # what the day's files were before
+            if s.getPath().getName() != f"batch-{batch}":
+                fs.delete(s.getPath(), True)
+        read.append(d)
+    return read
+
+
+def processed_kept(spark: SparkSession, root: str, feed: str, day: date | str, state_root: str) -> DataFrame:
+    """The keys of :func:`processed` from the kept table, brought up to date, and today's
+    file: no earlier day's lines are read again."""
+    keep_done_keys(spark, root, feed, day, state_root)
+    today = processed_keys(read_feed_day(spark, root, feed, day, ddl=HISTORY_TYPED_DDL))
+    fs, p = file_system(spark, f"{state_root.rstrip('/')}/{feed}")
+    if not fs.exists(p):  # no closed day yet
+        return today
+    kept = (spark.read.schema("appid bigint").option("recursiveFileLookup", "true")
+            .parquet(f"{state_root.rstrip('/')}/{feed}"))
+    return union_processed(kept, today)
+
+
 def pending(spark: SparkSession, root: str, feed: str, day: date | str,
-            limit: int | None = None, raw_root: str | None = None) -> DataFrame:
+            limit: int | None = None, raw_root: str | None = None,
+            state_root: str | None = None) -> DataFrame:
     """(appid, pos) still to fetch; with ``limit`` the first keys in order, with
-    ``raw_root`` by the loaded raw table and today's file."""
-    done = (processed(spark, root, feed) if raw_root is None
+    ``raw_root`` by the loaded raw table and today's file, with ``state_root`` by the kept
+    table of done keys and today's file."""
+    if raw_root is not None and state_root is not None:
+        raise ValueError("the history comes from raw_root or from state_root")
+    done = (processed_kept(spark, root, feed, day, state_root) if state_root is not None
+            else processed(spark, root, feed) if raw_root is None
             else processed_loaded(spark, root, feed, day, raw_root))
     return limit_pending(pending_keys(catalog_keys(spark, root, day), done), limit)
 

@@ -201,7 +201,7 @@ FROM reviews WHERE ingestion_date = {_REPLACED}""",
 ORACLE_SQL["run_counts_limited"] = f"""
 SELECT * REPLACE (least(pending_keys, {PENDING_LIMIT}) AS pending_keys)
 FROM ({ORACLE_SQL["run_counts"]})"""
-ORACLE_SQL["pending_details_loaded"] = ORACLE_SQL["pending_details"]
+ORACLE_SQL["pending_details_kept"] = ORACLE_SQL["pending_details_loaded"] = ORACLE_SQL["pending_details"]
 ORACLE_SQL["latest_per_key_rank"] = ORACLE_SQL["latest_per_key"]
 
 # -- normalisers: payload forms predicted from key columns --------------------

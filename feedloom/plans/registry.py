@@ -139,6 +139,13 @@ def q_pending_details_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
                                raw_root=pending_raw_root(spark, sf_dir)).select("appid")
 
 
+def q_pending_details_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys by the kept table of done keys, which a second run leaves as it is."""
+    root, state = pending_root(spark, sf_dir), scratch_dir(spark, "done-keys")
+    incremental.keep_done_keys(spark, root, APPDETAILS, PENDING_RUN_DAY, state)
+    return incremental.pending(spark, root, APPDETAILS, PENDING_RUN_DAY, state_root=state).select("appid")
+
+
 PENDING_LIMIT = 100
 
 
@@ -358,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "mart_details_reviews": q_mart_details_reviews,
     "pending_details": q_pending_details,
     "pending_details_loaded": q_pending_details_loaded,
+    "pending_details_kept": q_pending_details_kept,
     "pending_reviews": q_pending_reviews,
     "limit_pending": q_limit_pending,
     "run_counts": q_run_counts,

@@ -85,16 +85,25 @@ def read_catalog(spark: SparkSession, root: str, day: date | str,
     return _lines(spark, ddl, "FAILFAST").json(feed_path(root, CATALOG, day))
 
 
-def latest_feed_day(spark: SparkSession, root: str, feed: str) -> str:
-    """Greatest day among the feed's files (file listing only, no data read)."""
+def feed_files(spark: SparkSession, root: str, feed: str) -> list[str]:
+    """Every data file of a feed's days (file listing only, no data read)."""
     try:
-        files = spark.read.option("recursiveFileLookup", "true").text(feed_glob(root, feed)).inputFiles()
+        return sorted(spark.read.option("recursiveFileLookup", "true").text(feed_glob(root, feed)).inputFiles())
     except AnalysisException as e:
         if not path_missing(e):
             raise
-        raise FileNotFoundError(f"no {feed} files under {feed_dir(root, feed)}") from e
-    days = [m.group(1) for f in files
-            if (m := re.search(rf"/{re.escape(feed)}_{_DAY_RE}\.jsonl(/|$)", f))]
+        return []
+
+
+def day_in_path(feed: str, path: str) -> str:
+    """The day that a feed file's path names (empty text if none)."""
+    m = re.search(rf"/{re.escape(feed)}_{_DAY_RE}\.jsonl(/|$)", path)
+    return m.group(1) if m else ""
+
+
+def latest_feed_day(spark: SparkSession, root: str, feed: str) -> str:
+    """Greatest day among the feed's files (file listing only, no data read)."""
+    days = [d for f in feed_files(spark, root, feed) if (d := day_in_path(feed, f))]
     if not days:
         raise FileNotFoundError(f"no {feed} files under {feed_dir(root, feed)}")
     return max(days)
@@ -205,12 +214,15 @@ def write_failed(keys: DataFrame, root: str, feed: str, day: date | str,
 def payload_batch(payloads: DataFrame) -> str:
     """Name of the batch that some landed files are: a digest of their paths, sizes
     and times; a new name where ``payloads`` does not come from files."""
-    files = sorted(payloads.inputFiles())
-    if not files:
-        return uuid.uuid4().hex
+    files = payloads.inputFiles()
+    return files_digest(payloads.sparkSession, files) if files else uuid.uuid4().hex
+
+
+def files_digest(spark: SparkSession, files) -> str:
+    """A digest of the paths, sizes and times of some files."""
     digest = hashlib.sha256()
-    for f in files:
-        fs, p = file_system(payloads.sparkSession, f)
+    for f in sorted(files):
+        fs, p = file_system(spark, f)
         s = fs.getFileStatus(p)
         digest.update(f"{f} {s.getLen()} {s.getModificationTime()}\n".encode())
     return digest.hexdigest()[:32]

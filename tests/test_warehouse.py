@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from feedloom.operators.latest import latest_per_key
-from feedloom.plans import graph, jobs, staging
+from feedloom.plans import graph, incremental, jobs, staging
 from feedloom.schemas import FEEDS
 from feedloom.sources import warehouse
 from feedloom.sources.copies import copy_tree
@@ -272,6 +272,36 @@ def test_an_attempt_is_not_read(spark, tmp):
                     "steam_reviews", tmp, DAY, batch="../x")
 
 
+# --- A4, M9: kept keys ----------------------------------------------------
+
+def test_done_keys_are_kept_by_day(spark, tmp):
+    lake, state = os.path.join(tmp, "lake"), os.path.join(tmp, "state")
+    feed = "steam_appdetails"
+
+    def land(day, *rows):
+        write_lines(feed_path(lake, feed, day), [details_row(k, day, success=s) for k, s in rows])
+
+    write_lines(feed_path(lake, "steam_catalog", NEXT), [{"appid": k} for k in range(1, 9)])
+
+    def todo(**kw):
+        return sorted(r.appid for r in incremental.pending(spark, lake, feed, NEXT, **kw).collect())
+
+    assert todo(state_root=state) == todo() == list(range(1, 9))  # no history at all
+    land("2024-01-01", (1, True), (2, False))
+    land(NEXT, (3, True))
+    assert incremental.keep_done_keys(spark, lake, feed, NEXT, state) == ["2024-01-01"]
+    assert todo(state_root=state) == todo() == [2, 4, 5, 6, 7, 8]
+    assert incremental.keep_done_keys(spark, lake, feed, NEXT, state) == []
+    land("2024-01-01", (2, True))  # the day's file was replaced
+    land(DAY, (5, True), (5, True))
+    assert incremental.keep_done_keys(spark, lake, feed, NEXT, state) == ["2024-01-01", DAY]
+    assert todo(state_root=state) == todo() == [1, 4, 6, 7, 8]
+    land(NEXT, (3, True), (4, True))  # today's file is read as it is
+    assert todo(state_root=state) == todo() == [1, 6, 7, 8]
+    with pytest.raises(ValueError):
+        todo(state_root=state, raw_root=tmp)
+
+
 # --- M12: the graph -------------------------------------------------------
 
 def test_the_graph_selects_what_a_model_reads():
