@@ -21,18 +21,25 @@ CHUNK = 8 << 20
 MANIFEST = "source string, name string, size bigint, sha256 string, attempt string"
 
 
-def copy_file(source: str, target: str) -> tuple[int, str]:
-    """Copy one file through its store; (size, SHA-256)."""
-    from pyarrow.fs import FileSystem
+def file_copier(chunk: int = CHUNK):
+    """A function (source, target) → (size, SHA-256) that copies one file through its store.
 
-    (a, src), (b, dst) = FileSystem.from_uri(source), FileSystem.from_uri(target)
-    size, digest = 0, hashlib.sha256()
-    with a.open_input_stream(src, compression=None) as r, b.open_output_stream(dst, compression=None) as w:
-        while chunk := r.read(CHUNK):
-            w.write(chunk)
-            digest.update(chunk)
-            size += len(chunk)
-    return size, digest.hexdigest()
+    It goes to the tasks by value: workers need not have this package.
+    """
+
+    def copy(source: str, target: str) -> tuple[int, str]:
+        from pyarrow.fs import FileSystem
+
+        (a, src), (b, dst) = FileSystem.from_uri(source), FileSystem.from_uri(target)
+        size, digest = 0, hashlib.sha256()
+        with a.open_input_stream(src, compression=None) as r, b.open_output_stream(dst, compression=None) as w:
+            while part := r.read(chunk):
+                w.write(part)
+                digest.update(part)
+                size += len(part)
+        return size, digest.hexdigest()
+
+    return copy
 
 
 def _files(fs, path) -> dict[str, tuple[str, int]]:
@@ -65,6 +72,7 @@ def copy_tree(spark: SparkSession, source: str, target: str) -> list[dict]:
     t = to_fs.makeQualified(t)
     work = f"{t.getParent().toUri().toString()}/_copy-{uuid.uuid4().hex}"
     to_fs.mkdirs(file_system(spark, f"{work}/attempts")[1])
+    copy = file_copier()
 
     def run(batches):
         task = TaskContext.get().taskAttemptId()
@@ -72,7 +80,7 @@ def copy_tree(spark: SparkSession, source: str, target: str) -> list[dict]:
             rows = []
             for name, uri in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 attempt = f"{work}/attempts/{task}-{uuid.uuid4().hex}"
-                rows.append((uri, name, *copy_file(uri, attempt), attempt))
+                rows.append((uri, name, *copy(uri, attempt), attempt))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, x) for c, x in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.string(),
                                                              pa.string()))],

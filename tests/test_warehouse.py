@@ -210,6 +210,24 @@ def test_a_published_day_is_the_same_bytes(spark, tmp):
     assert not [f for f in os.listdir(os.path.join(lake, "steam_catalog")) if f.startswith("_copy")]
 
 
+def test_a_copier_needs_no_package_in_the_workers(tmp):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from feedloom.sources.copies import file_copier
+
+    src, dst, code = (os.path.join(tmp, n) for n in ("a", "b", "f.pkl"))
+    write_lines(src, ["one"])
+    with open(code, "wb") as f:
+        f.write(cloudpickle.dumps(file_copier()))
+    run = f"import pickle; print(pickle.load(open({code!r}, 'rb'))({'file://' + src!r}, {'file://' + dst!r})[0])"
+    out = subprocess.run([sys.executable, "-c", run], cwd=tmp, capture_output=True, text=True,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert out.stdout.strip() == "4" and open(dst).read() == "one\n", out.stderr
+
+
 def test_a_copy_that_fails_leaves_the_one_of_before(spark, tmp, monkeypatch):
     a, b = os.path.join(tmp, "a.txt"), os.path.join(tmp, "lake", "a.txt")
     write_lines(a, ["one"])
