@@ -6,10 +6,12 @@ difference is a ``left_anti`` join and the order is a column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_dir
+
 POSITION = "pos"
 
 
@@ -109,10 +111,55 @@ def pending_keys(catalog_keys: DataFrame, processed: DataFrame,
     return catalog_keys.join(processed.select(key), on=key, how="left_anti")
 
 
-def limit_pending(df: DataFrame, n: int | None, order: str = POSITION) -> DataFrame:
-    """First ``n`` keys in catalog order; ``None`` keeps all (unordered)."""
+#: Keys up to which a limit is a sort that keeps its first rows in every task.
+SORT_AT_MOST = 100_000
+#: Row ids that share a chunk differ in these lowest bits only.
+CHUNK_BITS = 16
+
+
+def limit_pending(df: DataFrame, n: int | None, order: str = POSITION,
+                  sort_at_most: int = SORT_AT_MOST) -> DataFrame:
+    """First ``n`` keys in catalog order; ``None`` keeps all (unordered).
+
+    More than ``sort_at_most`` keys are taken by counts (:func:`first_by_counts`, in no
+    order), fewer by a sort.
+    """
     if n is None:
         return df
     if n < 0:
         raise ValueError("limit must be >= 0")
-    return df.orderBy(order).limit(n)
+    return df.orderBy(order).limit(n) if n <= sort_at_most else first_by_counts(df, n, order)
+
+
+def first_by_counts(df: DataFrame, n: int, order: str = POSITION, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+    """The first ``n`` rows by a file position, without sorting them.
+
+    Keys are counted by chunk of a split; prefix sums over files, and over the chunks of
+    each file, tell in which chunk the nth key lies.  Only that chunk, at most
+    2 ** ``chunk_bits`` rows, is sorted for the nth position; the result is a filter on it.
+    ``df`` is written once to the shared scratch folder, so that all steps see the same
+    positions.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "keys")
+    if n == 0:
+        return df.limit(0)
+    df.write.parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    at = {c: F.col(f"{order}.{c}") for c in ("file", "block", "row")}
+    chunk = F.shiftright(at["row"], chunk_bits)
+    sizes = kept.groupBy(at["file"].alias("file"), at["block"].alias("block"), chunk.alias("chunk")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    files = sizes.groupBy("file").agg(F.sum("n").alias("total"))  # a row a file
+    before = files.select("file", (F.sum("total").over(Window.orderBy("file")) - F.col("total")).alias("before"))
+    w = Window.partitionBy("file").orderBy("block", "chunk")
+    last = (sizes.withColumn("upto", F.sum("n").over(w)).join(before, "file")
+            .withColumn("upto", F.col("upto") + F.col("before"))
+            .where((F.col("upto") >= n) & (F.col("upto") - F.col("n") < n)).first())
+    if last is None:  # there are fewer
+        return kept
+    rows = kept.where((at["file"] == last.file) & (at["block"] == last.block) & (chunk == last.chunk)) \
+        .select(at["row"].alias("row")).orderBy("row").limit(n - (last.upto - last.n))
+    row = rows.agg(F.max("row")).first()[0]
+    nth = F.struct(F.lit(last.file).alias("file"), F.lit(last.block).cast("long").alias("block"),
+                   F.lit(row).cast("long").alias("row"))
+    return kept.where(F.struct(*(c.alias(k) for k, c in at.items())) <= nth)

@@ -148,13 +148,14 @@ def publish_views(spark: SparkSession, raw_root: str, db: str) -> list[str]:
 def build_all(spark: SparkSession, raw_root: str | None, out_db: str = "steam",
               select: list[str] | None = None, as_of: date | str | None = None,
               location: str | None = None, buckets: int | None = None,
-              raw_db: str | None = None) -> dict[str, DataFrame]:
+              raw_db: str | None = None, method: str | None = None) -> dict[str, DataFrame]:
     """Staging models as views, marts as tables: the selected ones and all they read.
 
     Order and selection come from the models' inputs (``plans.graph``); marts that do not
     need each other are built at the same time, and only the raw tables that the
     selection reads are opened.  These are the folders under ``raw_root``, or with
-    ``raw_db`` tables of the catalog, read in place by key where they are bucketed.
+    ``raw_db`` tables of the catalog, read in place by key where they are bucketed.  ``method``
+    names another form of the staging models (``ties`` reads wide columns of latest rows only).
 
     ``stg_steam_appdetails`` carries all JSON parsing and feeds three marts,
     so it is written once (to the shared scratch folder) whenever one of them is
@@ -164,13 +165,13 @@ def build_all(spark: SparkSession, raw_root: str | None, out_db: str = "steam",
     """
     names = graph.closure(select)
     found: dict[str, DataFrame] = {}
-    method = "join"
+    form = method or "join"
     for feed in sorted(graph.sources(names)):
         found[feed] = warehouse.raw_table(spark, raw_db, feed) if raw_db else raw(spark, raw_root, feed)
-        if raw_db and warehouse.table_buckets(spark, f"{raw_db}.{feed}"):
-            method = "bucketed"
+        if not method and raw_db and warehouse.table_buckets(spark, f"{raw_db}.{feed}"):
+            form = "bucketed"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {out_db}")
-    options = {"as_of": as_of, "method": method}
+    options = {"as_of": as_of, "method": form}
     co_located = {"mart_steam_appdetails", "mart_steam_reviews"}
     read_by_marts = {i for n in names if graph.MODELS[n].table for i in graph.MODELS[n].inputs}
 

@@ -327,3 +327,6 @@ SELECT appid, ingestion_date, success, name FROM details"""
 ORACLE_SQL["failed_reviews"] = _with(_REVIEW_PAYLOADS) + """
 SELECT appid FROM c WHERE error IS NOT NULL"""
 ORACLE_SQL["build_all_details_reviews"] = ORACLE_SQL["mart_details_reviews"]
+ORACLE_SQL["limit_pending_counts"] = ORACLE_SQL["limit_pending"]
+for _model in ("stg_catalog", "stg_appdetails", "stg_reviews"):
+    ORACLE_SQL[_model + "_ties"] = ORACLE_SQL[_model]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import on_day, only_success
-from ..operators.keys import processed_keys, union_processed
+from ..operators.keys import first_by_counts, processed_keys, union_processed
 from ..operators.latest import latest_per_key
 from ..schemas import APPDETAILS, CATALOG, FILE_DDL, HISTORY_TYPED_DDL, REVIEWS
 from ..session import scratch_dir
@@ -156,6 +156,13 @@ def q_limit_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
                                limit=PENDING_LIMIT).select("appid")
 
 
+def q_limit_pending_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys by counts and prefix sums: only the chunk of the last key is sorted."""
+    root = pending_root(spark, sf_dir)
+    todo = incremental.pending(spark, root, APPDETAILS, PENDING_RUN_DAY)
+    return first_by_counts(todo, PENDING_LIMIT).select("appid")
+
+
 def q_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = pending_root(spark, sf_dir)
     return incremental.run_counts(spark, root, APPDETAILS, PENDING_RUN_DAY)
@@ -311,6 +318,21 @@ def q_bucketed_stg_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_catalog(raw_table(spark, views_db(spark, sf_dir), CATALOG), "bucketed")
 
 
+# Staging over the loaded raw tables: the latest rows by their places, and a distinct of
+# tied keys only.
+def q_stg_appdetails_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_appdetails(staging.stg_appdetails(
+        raw_table(spark, views_db(spark, sf_dir), APPDETAILS), "ties"))
+
+
+def q_stg_reviews_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_reviews(raw_table(spark, views_db(spark, sf_dir), REVIEWS), "ties")
+
+
+def q_stg_catalog_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_catalog(raw_table(spark, views_db(spark, sf_dir), CATALOG), "ties")
+
+
 def q_build_all_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One selected mart, built with what it reads from the catalog's raw tables."""
     db = "feedloom_genres_" + views_db(spark, sf_dir).rsplit("_", 1)[-1]
@@ -396,4 +418,8 @@ QUERIES: dict[str, Query] = {
     "limit_pending_published": q_limit_pending_published,
     "ingest_resumed": q_ingest_resumed,
     "failed_resumed": q_failed_resumed,
+    "limit_pending_counts": q_limit_pending_counts,
+    "stg_catalog_ties": q_stg_catalog_ties,
+    "stg_appdetails_ties": q_stg_appdetails_ties,
+    "stg_reviews_ties": q_stg_reviews_ties,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.json_fields import (as_structs, cents_to_price, json_scalar,
                                      parse_details_raw, to_bool)
 from ..operators.filters import only_success
+from ..operators.late import distinct_ties, fetch, latest_counted, latest_located
 from ..operators.latest import latest_per_key
 from ..session import scratch_dir
 
@@ -16,7 +17,13 @@ REVIEW_COLUMNS = ("appid", "total_reviews", "good_reviews", "bad_reviews",
 
 
 def stg_catalog(raw: DataFrame, method: str = "join") -> DataFrame:
-    """appid, name of each app's latest catalog day (distinct)."""
+    """appid, name of each app's latest catalog day (distinct).
+
+    ``ties`` puts only apps with several latest rows through the distinct.
+    """
+    if method == "ties":
+        rows = latest_counted(raw.select("appid", "name", "partition_date"), "appid", "partition_date")
+        return distinct_ties(materialize(rows.drop("partition_date")))
     latest = latest_per_key(raw.select("appid", "name", "partition_date"),
                             "appid", "partition_date", method)
     return latest.select("appid", "name").distinct()
@@ -27,9 +34,21 @@ def stg_appdetails(raw: DataFrame, method: str = "join") -> DataFrame:
 
     Only successful rows take part, also in the max.  ``raw`` is parsed once,
     after the latest-day join, with a schema holding just the paths read.
+
+    ``ties`` (for parquet tables) finds the latest rows by their narrow columns alone,
+    reads ``raw`` of these rows only, and puts only apps with several through the
+    distinct.  The rows' places are written once to the shared scratch folder.
     """
+    if method == "ties":
+        rows = latest_located(only_success(raw), "appid", "ingestion_date", ("name",))
+        return distinct_ties(materialize(rows.drop("ingestion_date")),
+                             lambda df: _typed_details(fetch(df, "raw string")))
     ok = only_success(raw.select("appid", "ingestion_date", "success", "name", "raw"))
-    latest = latest_per_key(ok, "appid", "ingestion_date", method)
+    return _typed_details(latest_per_key(ok, "appid", "ingestion_date", method)).distinct()
+
+
+def _typed_details(latest: DataFrame) -> DataFrame:
+    """Typed columns of (appid, name, raw) rows."""
     parsed = latest.select("appid", "name", parse_details_raw("raw").alias("j"))
     j = F.col("j")
     return parsed.select(
@@ -45,7 +64,7 @@ def stg_appdetails(raw: DataFrame, method: str = "join") -> DataFrame:
         cents_to_price(j["price_overview"]["final"]).alias("discount_price"),
         as_structs(j["categories"], "category_name").alias("categories"),
         as_structs(j["genres"], "genre_name").alias("genres"),
-    ).distinct()
+    )
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -67,7 +86,10 @@ def stg_reviews(raw: DataFrame, method: str = "join") -> DataFrame:
 
     No success filter: a later failed fetch hides an earlier good one and
     leaves NULL metrics, and a failed and a good row of one day both stay.
+    ``ties`` puts only apps with several latest rows through the distinct.
     """
     cols = list(REVIEW_COLUMNS) + ["ingestion_date"]
+    if method == "ties":
+        return distinct_ties(materialize(latest_counted(raw.select(*cols)).drop("ingestion_date")))
     latest = latest_per_key(raw.select(*cols), "appid", "ingestion_date", method)
     return latest.select(*REVIEW_COLUMNS).distinct()

@@ -1,0 +1,155 @@
+"""Latest rows by locator, the distinct of tied keys, and limits by counts."""
+
+from __future__ import annotations
+
+import os
+import random
+import re
+import uuid
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.operators import keys, late
+from feedloom.operators.latest import latest_per_key
+from feedloom.plans import jobs, staging
+from feedloom.schemas import APPDETAILS
+from feedloom.sources import warehouse
+from feedloom.sources.feeds import feed_path
+
+from .helpers import details_raw, details_row, write_lines
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _same(a, b) -> bool:
+    return Counter(map(tuple, a.collect())) == Counter(map(tuple, b.collect()))
+
+
+def _table(spark, path, n=6000):
+    """Rows of 500 keys over 20 days in a few files of small row groups; key 7 holds a third;
+    null keys and dates; a wide column."""
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 101 = 0 THEN NULL ELSE pmod(xxhash64(id), 500) END AS appid",
+        "CASE WHEN id % 97 = 0 THEN NULL WHEN id % 3 = 0 THEN date'2024-02-01' "
+        "ELSE date_add(date'2024-01-01', CAST(pmod(xxhash64(id, 1), 20) AS INT)) END AS ingestion_date",
+        "id % 11 <> 0 AS success", "CAST(id % 4 AS STRING) AS name",
+        "CASE WHEN id % 13 = 0 THEN NULL ELSE repeat(CAST(id % 4 AS STRING), 300) END AS raw")
+    (df.repartition(3).write.option("parquet.block.size", 64 << 10)
+     .option("parquet.block.size.row.check.min", 10).partitionBy("success").parquet(path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def test_rows_by_locator_equal_rows_carried(spark, tmp):
+    t = _table(spark, f"{tmp}/a table")  # a blank in the path
+    want = latest_per_key(t.where("success").select("appid", "ingestion_date", "name", "raw"))
+    found = late.latest_located(t.where("success"), columns=("name",))
+    for block in (100, late.BLOCK):
+        got = late.fetch(found, "raw string", block).select(*want.columns)
+        assert _same(got, want)
+    assert want.where("appid = 7").count() > 1500
+
+
+def test_row_groups_and_batches_of_a_file_are_found(spark, tmp):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    n = 30_000
+    os.makedirs(f"{tmp}/t")
+    pq.write_table(pa.table({"appid": pa.array(range(n), pa.int64()),
+                             "raw": [f"text {k}" for k in range(n)]}), f"{tmp}/t/a.parquet", row_group_size=9_000)
+    some = random.Random(3).sample(range(n), 700) + [0, 8_999, 9_000, n - 1]
+    rows = (spark.read.parquet(f"{tmp}/t").where(F.col("appid").isin(some))
+            .select("appid", F.col("_metadata.file_path").alias(late.FILE),
+                    F.col("_metadata.row_index").alias(late.ROW)))
+    got = {(r.appid, r.raw) for r in late.fetch(rows, "raw string", 5_000).collect()}
+    assert got == {(k, f"text {k}") for k in some}
+
+
+def test_no_exchange_carries_the_wide_column(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    got = late.fetch(late.latest_located(t.where("success"), columns=("name",)), "raw string")
+    plan = _plan(got)
+    assert "Exchange" in plan
+    # raw first appears above every exchange and join, and no scan reads it
+    assert all("raw" not in line for line in plan.splitlines() if "Exchange" in line or "FileScan" in line)
+    assert not re.search(r"ReadSchema: struct<[^>]*raw", plan)
+    # the join form does carry it
+    assert re.search(r"ReadSchema: struct<[^>]*raw", _plan(latest_per_key(t.select("appid", "ingestion_date", "raw"))))
+
+
+def test_counts_at_the_latest_day(spark):
+    rows = [(1, "2024-01-01"), (1, "2024-01-02"), (2, "2024-01-01"), (2, "2024-01-01"), (3, None), (None, "2024-01-01")]
+    df = spark.createDataFrame(rows, "appid long, d string").selectExpr("appid", "CAST(d AS DATE) AS ingestion_date")
+    got = {(r[0], str(r[1]), r[2]) for r in late.latest_days(df).collect()}
+    assert got == {(1, "2024-01-02", 1), (2, "2024-01-01", 2)}
+    assert late.latest_days(df.limit(0)).count() == 0
+
+
+def test_only_tied_keys_are_shuffled_by_the_distinct(spark, tmp):
+    t = _table(spark, f"{tmp}/t")
+    rows = late.latest_counted(t.select("appid", "ingestion_date", "name", "raw"))
+    rows.write.parquet(f"{tmp}/rows")
+    rows = spark.read.parquet(f"{tmp}/rows")
+    got = late.distinct_ties(rows)
+    want = latest_per_key(t.select("appid", "ingestion_date", "name", "raw")).distinct()
+    assert _same(got, want)
+    alone = rows.where(F.col(late.ROWS_AT_LATEST) == 1).count()
+    assert alone > 100
+    # a union of rows read as they are, and of tied rows behind the only exchange
+    first, second = _plan(got).split("FileScan")[:2]
+    assert second.count("Exchange hashpartitioning") == 1 and "Exchange" not in first, _plan(got)
+    assert f"EqualTo({late.ROWS_AT_LATEST},1)" in second
+    # counts are combined before they are shuffled: a hot key is a row a task
+    assert _plan(late.latest_days(t)).count("partial_count") == 1
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_staging_by_locators_equals_the_other_forms(spark, tmp, buckets):
+    lake, wh, db = f"{tmp}/lake", f"{tmp}/wh", f"late_{uuid.uuid4().hex[:8]}"
+    day = "2024-01-02"
+    genre = [{"id": "23", "description": "Indie"}]
+    write_lines(feed_path(lake, APPDETAILS, day), [
+        details_row(1, "2024-01-01", name="old", raw=details_raw()),
+        details_row(1, day, name="new", raw=details_raw(genres=genre)),
+        details_row(2, day, raw=details_raw()), details_row(2, day, raw=details_raw()),       # equal rows
+        details_row(3, day, name="a", raw=details_raw()), details_row(3, day, name="b", raw=details_raw()),
+        details_row(4, "2024-01-01", raw=details_raw()), details_row(4, day, success=False),  # a later failure
+        details_row(5, day, success=False)])
+    jobs.load_tables(spark, lake, day, wh, db, feeds=(APPDETAILS,), buckets=buckets)
+    raw = warehouse.raw_table(spark, db, APPDETAILS)
+    got, want = staging.stg_appdetails(raw, "ties"), staging.stg_appdetails(raw)
+    assert got.schema == want.schema
+    assert Counter(map(str, got.collect())) == Counter(map(str, want.collect()))
+    assert sorted((r.appid, r.name) for r in got.collect()) == [
+        (1, "new"), (2, "Game"), (3, "a"), (3, "b"), (4, "Game")]
+    built = jobs.build_all(spark, None, f"{db}_out", ["mart_steam_genres"], "2024-02-01", f"{tmp}/marts",
+                           raw_db=db, method="ties")["mart_steam_genres"]
+    assert [(r.appid, r.genre_name) for r in built.collect()] == [(1, "Indie")]
+
+
+# --- L1 ---------------------------------------------------------------------
+
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 500, 999, 1000, 5000])
+def test_first_keys_by_counts(spark, n):
+    rng = random.Random(5)
+    place = [(f"f{rng.randrange(3)}", rng.choice([0, 128, 1024]), rng.randrange(1 << 34)) for _ in range(1000)]
+    rows = [(k, p) for k, p in enumerate(dict.fromkeys(place))]
+    df = spark.createDataFrame(rows, "appid long, pos struct<file: string, block: long, row: long>").repartition(4)
+    want = {k for k, p in sorted(rows, key=lambda r: r[1])[:n]}
+    for bits in (3, 30, 40):
+        got = [r.appid for r in keys.first_by_counts(df, n, chunk_bits=bits).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert {r.appid for r in keys.limit_pending(df, n, sort_at_most=4).collect()} == want
+
+
+def test_the_result_of_counts_sorts_and_shuffles_nothing(spark):
+    df = spark.range(5000).select(F.col("id").alias("appid"), F.struct(
+        F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("id").alias("row")).alias("pos"))
+    got = keys.first_by_counts(df, 3000, chunk_bits=4)
+    plan = _plan(got)
+    assert "Sort" not in plan and "Exchange" not in plan and "TakeOrdered" not in plan
+    assert got.agg(F.max("appid"), F.count("*")).first() == (2999, 3000)
