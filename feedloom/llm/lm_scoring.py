@@ -5,7 +5,8 @@ vectors, each scaled by a position vector, add up to a predicted vector whose
 product with the symbol's own vector, plus a bias, is its score.  Symbols are
 the ``vocabulary`` most frequent training tokens (with the end of a text) and
 classes of all other tokens by spelling; a token of a class has the class's
-probability times its smoothed share in the class.
+probability times its smoothed share in the class.  The vocabulary grows with the
+training tokens (``vocabulary_of``).
 
 Training is noise-contrastive estimation in numpy, in two rounds: one over a fold
 of the training documents for a common start, one over all of them.  In a round
@@ -13,9 +14,10 @@ every task passes over its own documents from the same start; the parameters,
 weighted by tokens, are averaged in a tree of groups of 32.  Every training token
 is used, and the counts cover all documents.
 
-Scoring is normalised exactly: there are few symbols, so batched matrix products
-over all pairs of context symbols give the log-normalisers once, and a token
-costs one product of two short vectors.
+Scoring is normalised exactly: batched matrix products give the log-normaliser of
+each pair of context symbols that occurs, summed over all symbols.  A worker remembers
+them in a table of fixed size, where a pair may take another's place and is then
+computed again; all other work of a token is one product of two short vectors.
 
 Token counts live in a table, not on the driver.  The ``head`` tokens that occur
 often (``HEAD`` of them at most, by a threshold on the count) are broadcast;
@@ -25,19 +27,24 @@ token can be hot, as it occurs less often than the threshold.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import clean_text, fold, spill
 
-VOCABULARY = 1000
+#: Symbols of their own: at least LEAST, and GROWTH times the cube root of the training tokens.
+LEAST = 1000
+GROWTH = 2.5
 CLASSES = 32
 DIM = 24
 HEAD = 200_000
@@ -46,9 +53,18 @@ BATCH = 1024
 RATE = 0.15
 GROUP = 32
 SEED = 17
+#: Places of a worker's table of log-normalisers, as a power of two (12 bytes each).
+SLOT_BITS = 21
 END = b""  # no word is empty
 LOG10 = float(np.log(10))
 
+_NORMALISERS: dict = {}
+
+
+def vocabulary_of(n_train: int) -> int:
+    """How many tokens have a symbol of their own, the end included."""
+    return max(LEAST, int(round(GROWTH * n_train ** (1 / 3))))
+
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
@@ -140,15 +156,42 @@ class Model:
     def predicted(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.context[a] * self.place[0] + self.context[b] * self.place[1]
 
-    def log_normalisers(self) -> np.ndarray:
-        """log of the sum over all symbols, for each pair (last, last but one)."""
-        n = len(self.context)
-        second = self.context * self.place[1]
-        out = np.empty((n, n), np.float32)
-        for a in range(n):
-            s = (second + self.context[a] * self.place[0]) @ self.symbol.T + self.bias
+
+class Normalisers:
+    """Logs of the sums over all symbols after context pairs, remembered by pair."""
+
+    def __init__(self, model: Model, slot_bits: int = SLOT_BITS):
+        self.m, self.shift = model, np.uint64(64 - slot_bits)
+        self.pair = np.full(1 << slot_bits, -1, np.int64)
+        self.z = np.zeros(1 << slot_bits, np.float32)
+
+    def _slots(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def compute(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.empty(len(a), np.float32)
+        some = max(1, (1 << 20) // len(self.m.bias))  # scores at a time
+        for k in range(0, len(a), some):
+            s = self.m.predicted(a[k:k + some], b[k:k + some]) @ self.m.symbol.T
+            s += self.m.bias
             top = s.max(axis=1)
-            out[a] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+            s -= top[:, None]
+            np.exp(s, out=s)
+            out[k:k + some] = top + np.log(s.sum(axis=1))
+        return out
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        n = len(self.m.context)
+        pair = a.astype(np.int64) * n + b
+        slot = self._slots(pair)
+        out = self.z[slot]
+        miss = np.nonzero(self.pair[slot] != pair)[0]
+        if len(miss):
+            new, at = np.unique(pair[miss], return_inverse=True)
+            z = self.compute(new // n, new % n)
+            out[miss] = z[at]
+            slot, first = np.unique(self._slots(new), return_index=True)  # one pair a place
+            self.pair[slot], self.z[slot] = new[first], z[first]
         return out
 
 
@@ -291,8 +334,22 @@ def _row(part, n, p):
         names=["part", "n", "p"])
 
 
+class Fitted(NamedTuple):
+    """What the training documents gave: counts of all tokens (word, n_all, n_train), which
+    of them are broadcast (``frequent``, ``head``), totals, tokens and kinds of each class, the model."""
+
+    counts: DataFrame
+    frequent: Column
+    head: Broadcast  # of a Head
+    n_train: int
+    kinds: int
+    classes: np.ndarray
+    n_own: int
+    model: Model
+
+
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7,
-              held: int = 2, vocabulary: int = VOCABULARY, head_size: int = HEAD) -> DataFrame:
+              held: int = 2, vocabulary: int | None = None, head_size: int = HEAD) -> DataFrame:
     """Score all documents by a model of those whose crc32(id) mod ``modulus``
     is not ``held``.
 
@@ -302,12 +359,18 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
     ``score`` the model's.  Null texts count as empty; a null id is not held out;
     repeated rows are documents of their own; other columns are ignored.  An
     empty table gives an empty table; without training documents every token
-    is new to the model.
+    is new to the model.  ``vocabulary`` sets the number of symbols by hand.
     """
-    spark = docs.sparkSession
     is_held = F.col(doc_id).isNotNull() & (fold(doc_id, modulus) == held)
     base_docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), is_held.alias("held_out"),
                             clean_text(text).alias("t"))
+    return score(base_docs, fit(base_docs, modulus, held, vocabulary, head_size))
+
+
+def fit(base_docs: DataFrame, modulus: int = 7, held: int = 2, vocabulary: int | None = None,
+        head_size: int = HEAD) -> Fitted:
+    """Counts and model over (doc_id, held_out, t) rows."""
+    spark = base_docs.sparkSession
     counts = spill(token_counts(base_docs.select("t", (~F.col("held_out")).alias("train"))), "counts")
     total = counts.agg(F.coalesce(F.sum("n_train"), F.lit(0)).alias("n"),
                        F.count(F.when(F.col("n_train") > 0, 1)).alias("v")).first()
@@ -325,7 +388,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
     # head_size rows at most, and the end
     head = sorted((-r["n_train"], bytes(r["word"])) for r in counts.where(frequent | (F.col("word") == F.lit(END)))
                   .select("word", "n_train").collect())
-    own = [w for n, w in head if n < 0 and w != END][:vocabulary - 1] + [END]
+    own = [w for n, w in head if n < 0 and w != END][:(vocabulary or vocabulary_of(n_train)) - 1] + [END]
     n_own, own_id = len(own), {w: k for k, w in enumerate(own)}
     own_table = spark.createDataFrame([(bytearray(w),) for w in own], "word binary")
     classes = class_totals(counts.join(F.broadcast(own_table), "word", "left_anti"))
@@ -352,14 +415,24 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
     model.unpack(train(learn.where(fold("doc_id", modulus) == (held + 1) % modulus).select("t"),
                        model, shared, n_own, 0))
     model.unpack(train(learn.select("t"), model, shared, n_own, 1))
-    fitted = spark.sparkContext.broadcast((model, model.log_normalisers()))
+    return Fitted(counts, frequent, shared, n_train, kinds, classes, n_own, model)
+
+
+def score(base_docs: DataFrame, fitted: Fitted) -> DataFrame:
+    """The scores of (doc_id, held_out, t) rows under what was fitted."""
+    spark = base_docs.sparkSession
+    counts, frequent, shared, n_train, kinds, classes, n_own, model = fitted
+    shared_model, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     schema = ("doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, "
               "score double, tail array<struct<word: binary, n: int, k: int>>")
 
     def run(batches):
-        head = shared.value
-        m, z = fitted.value
+        head, m = shared.value, shared_model.value
+        if name not in _NORMALISERS:
+            _NORMALISERS.clear()
+            _NORMALISERS[name] = Normalisers(m)
+        normalisers = _NORMALISERS[name]
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 b = batch.slice(lo, 512)
@@ -369,7 +442,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modul
                 lp = np.empty(len(w))
                 for k in range(0, len(w), 1 << 16):
                     s = slice(k, k + (1 << 16))
-                    lp[s] = (m.predicted(a[s], c[s]) * m.symbol[w[s]]).sum(1) + m.bias[w[s]] - z[a[s], c[s]]
+                    lp[s] = (m.predicted(a[s], c[s]) * m.symbol[w[s]]).sum(1) + m.bias[w[s]] - normalisers.find(a[s], c[s])
                 first = np.cumsum(lengths) - lengths
                 seen = place >= 0
                 add = lambda v: np.add.reduceat(v, first)  # noqa: E731  every text has a token

@@ -344,10 +344,13 @@ def test_lm_partitions_train_from_a_common_start(spark, sf):
 def test_lm_normalisers_and_gradient():
     rng = np.random.default_rng(0)
     m = lm_scoring.Model(9, np.full(9, 1 / 9), dim=5)
-    z = m.log_normalisers()
-    a, b = 3, 9
-    s = m.predicted(np.array([a]), np.array([b])) @ m.symbol.T + m.bias
-    assert abs(np.exp(s - z[a, b]).sum() - 1) < 1e-5
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(10), np.arange(10)))
+    want = np.log(np.exp((m.predicted(a, b) @ m.symbol.T + m.bias).astype(float)).sum(1))
+    for bits in (1, 3, 12):  # pairs may take each other's place
+        z = lm_scoring.Normalisers(m, bits)
+        for _ in range(2):
+            assert np.allclose(z.find(a, b), want, atol=1e-5)
+            assert np.allclose(z.find(a[::-3], b[::-3]), want[::-3], atol=1e-5)
     # a chain in which symbol x + 1 follows x is learnt
     w = np.arange(40_000) % 9
     p, q = lm_scoring.triples(w, np.array([40_000]), 9)
@@ -355,11 +358,40 @@ def test_lm_normalisers_and_gradient():
     fit = lm_scoring.Trainer(m, rng)
     for k in range(0, len(w), 256):
         fit.batch(p[k:k + 256], q[k:k + 256], w[k:k + 256])
-    z = m.log_normalisers()
-    lp = (m.predicted(p, q) * m.symbol[w]).sum(1) + m.bias[w] - z[p, q]
+    lp = (m.predicted(p, q) * m.symbol[w]).sum(1) + m.bias[w] - lm_scoring.Normalisers(m).find(p, q)
     assert lp.mean() > np.log(1 / 9) + 1
 
 
+def test_lm_vocabulary_grows_with_the_training_tokens():
+    sizes = [lm_scoring.vocabulary_of(n) for n in (0, 10**6, 10**9, 10**12, 10**13)]
+    assert sizes[:2] == [1000, 1000] and sizes[2] == 2500 and sizes[3] == 25_000 and sizes[4] > 50_000
+
+
+@pytest.mark.parametrize("kw", [{}, {"vocabulary": 20, "head_size": 40}])
+def test_lm_scores_against_a_full_softmax(spark, kw):
+    """Each token's probability by a loop over all symbols, and its share in a class by counts."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["a", "b", "of", "zebra,", "zoo", "The", "été"] + [f"w{k}" for k in range(60)],
+                                 rng.integers(0, 30))) for _ in range(80)] + [None, "", "never seen, at all"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string").selectExpr(
+        "doc_id", "crc32(cast(doc_id as string)) % 7 = 2 AS held_out", "coalesce(t, '') AS t")
+    fitted = lm_scoring.fit(docs, **kw)
+    head, m, n_own = fitted.head.value, fitted.model, fitted.n_own
+    count = {bytes(r["word"]): r["n_train"] for r in fitted.counts.collect()}
+    for r in lm_scoring.score(docs, fitted).collect():
+        want, a, b = 0.0, len(m.bias), len(m.bias)
+        for w in lm_scoring.words_of(texts[r["doc_id"]]) + [lm_scoring.END]:
+            k = head.place.get(w)
+            own = int(head.symbol[k]) if k is not None else n_own + lm_scoring.spelling_class(w)
+            x = (m.context[a] * m.place[0] + m.context[b] * m.place[1]).astype(float) @ m.symbol.T + m.bias
+            want += (x[own] - np.log(np.exp(x).sum())) / np.log(10)
+            if own >= n_own:
+                n, v = fitted.classes[own - n_own]
+                want += np.log10((count.get(w, 0) + 1) / (n + v + 1))
+            a, b = own, a
+        assert abs(r["score"] - want) < 1e-3 * max(1, abs(want)), (r, want)
+
+
 # --- mixing ---------------------------------------------------------------
 
 def test_schedules_integrate_and_invert():
