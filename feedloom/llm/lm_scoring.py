@@ -21,7 +21,7 @@ computed again; all other work of a token is one product of two short vectors.
 
 Token counts live in a table, not on the driver.  The ``head`` tokens that occur
 often (``HEAD`` of them at most, by a threshold on the count) are broadcast;
-the others are counted per document and joined with their counts.  No joined
+the others are joined with their counts, a row an occurrence.  No joined
 token can be hot, as it occurs less often than the threshold.
 """
 
@@ -30,7 +30,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections import Counter
-from itertools import repeat
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -85,7 +85,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
         both = Counter(), Counter()
 
         def out():
-            words = list(both[0] | both[1])
+            words = list(dict.fromkeys(chain(*both)))
             held, train = ([c[w] for w in words] for c in both)
             for c in both:
                 c.clear()
@@ -425,7 +425,7 @@ def score(base_docs: DataFrame, fitted: Fitted) -> DataFrame:
     shared_model, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     schema = ("doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, "
-              "score double, tail array<struct<word: binary, n: int, k: int>>")
+              "score double, tail array<struct<word: binary, k: int>>")
 
     def run(batches):
         head, m = shared.value, shared_model.value
@@ -440,22 +440,18 @@ def score(base_docs: DataFrame, fitted: Fitted) -> DataFrame:
                 w = head.symbols(place, words, n_own)
                 a, c = triples(w, lengths, len(m.bias))
                 lp = np.empty(len(w))
-                for k in range(0, len(w), 1 << 16):
-                    s = slice(k, k + (1 << 16))
-                    lp[s] = (m.predicted(a[s], c[s]) * m.symbol[w[s]]).sum(1) + m.bias[w[s]] - normalisers.find(a[s], c[s])
+                for k in range(0, len(w), 1 << 14):
+                    s = slice(k, k + (1 << 14))
+                    lp[s] = (np.einsum("ij,ij->i", m.predicted(a[s], c[s]), m.symbol[w[s]]) + m.bias[w[s]]
+                             - normalisers.find(a[s], c[s]))
                 first = np.cumsum(lengths) - lengths
                 seen = place >= 0
                 add = lambda v: np.add.reduceat(v, first)  # noqa: E731  every text has a token
                 at = np.nonzero(~seen)[0]
-                rare = [words[k] for k in at.tolist()]
-                cuts = np.searchsorted(at, np.append(first, len(w))).tolist()
-                tail, ends = [], [0]
-                for i, j in zip(cuts, cuts[1:]):
-                    tail += Counter(zip(rare[i:j], w[at[i:j]].tolist())).items()
-                    ends.append(len(tail))
+                ends = np.searchsorted(at, np.append(first, len(w)))
                 tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array([x[0][0] for x in tail], pa.binary()), pa.array([x[1] for x in tail], pa.int32()),
-                     pa.array([x[0][1] - n_own for x in tail], pa.int32())], names=["word", "n", "k"]))
+                    [pa.array([words[k] for k in at.tolist()], pa.binary()),
+                     pa.array(w[at] - n_own, pa.int32())], names=["word", "k"]))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2), pa.array(lengths),
                      pa.array(add((seen & head.known[place]).astype(np.int64))),
@@ -467,12 +463,12 @@ def score(base_docs: DataFrame, fitted: Fitted) -> DataFrame:
                    .mapInArrow(run, schema), "scored")
     share = F.element_at(F.array(*[F.lit(float(n + v + 1)) for n, v in classes]), F.col("k") + 1)
     c = F.coalesce(F.col("n_train"), F.lit(0))
-    rest = (scored.select("row", F.explode("tail").alias("x")).select("row", "x.word", "x.n", "x.k")
+    rest = (scored.select("row", F.explode("tail").alias("x")).select("row", "x.word", "x.k")
             .join(counts.where(~frequent).select("word", "n_train"), "word", "left")
             .groupBy("row").agg(
-                F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"),
-                F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(n_train + kinds + 1)))).alias("b"),
-                F.sum(F.col("n") * F.log10((c + 1) / share)).alias("s")))
+                F.count_if(c > 0).alias("known"),
+                F.sum(F.log10((c + 1) / F.lit(float(n_train + kinds + 1)))).alias("b"),
+                F.sum(F.log10((c + 1) / share)).alias("s")))
     none = F.lit(0.0)
     return (scored.drop("tail").join(rest, "row", "left")
             .select("doc_id", "held_out", "n_tokens",
