@@ -114,10 +114,10 @@ def shape_details(payloads: DataFrame, day: date | str,
     """(appid, payload, error) → details feed rows plus a ``failed`` flag."""
     key = F.col("appid").cast("string")
     m = F.from_json(F.col("payload"), "map<string, variant>")
-    staged = payloads.select(
-        "appid", F.col("error"), m.alias("m"),
-        F.map_contains_key(m, key).alias("has_key"),
-        m[key].alias("block"))
+    # a one-row explode keeps the optimiser from copying the parse into each use of it
+    staged = payloads.select("appid", "error", F.inline(F.array(F.struct(m.alias("m")))))
+    staged = staged.select("appid", "error", "m", F.map_contains_key("m", key).alias("has_key"),
+                           F.col("m")[key].alias("block"))
     block = F.col("block")
     success = truthy(F.variant_get(block, "$.success", "variant"))
     data = F.variant_get(block, "$.data", "variant")

@@ -330,3 +330,4 @@ ORACLE_SQL["build_all_details_reviews"] = ORACLE_SQL["mart_details_reviews"]
 ORACLE_SQL["limit_pending_counts"] = ORACLE_SQL["limit_pending"]
 for _model in ("stg_catalog", "stg_appdetails", "stg_reviews"):
     ORACLE_SQL[_model + "_ties"] = ORACLE_SQL[_model]
+ORACLE_SQL["mart_genres_today"] = ORACLE_SQL["mart_genres"].replace(f"DATE '{AS_OF}'", "current_date")

@@ -111,6 +111,11 @@ def q_mart_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.mart_genres(staged_appdetails(spark, sf_dir), AS_OF)
 
 
+def q_mart_genres_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genres mart as of the day of the run (UTC)."""
+    return marts.mart_genres(staged_appdetails(spark, sf_dir))
+
+
 def q_mart_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.mart_reviews(stg_reviews_of(spark, sf_dir))
 
@@ -383,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "mart_appdetails": q_mart_appdetails,
     "mart_categories": q_mart_categories,
     "mart_genres": q_mart_genres,
+    "mart_genres_today": q_mart_genres_today,
     "mart_reviews": q_mart_reviews,
     "mart_details_reviews": q_mart_details_reviews,
     "pending_details": q_pending_details,

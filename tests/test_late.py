@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.operators import keys, late
 from feedloom.operators.latest import latest_per_key
 from feedloom.plans import jobs, staging
+from feedloom.plans.normalize import FAILED, shape_details
 from feedloom.schemas import APPDETAILS
 from feedloom.sources import warehouse
 from feedloom.sources.feeds import feed_path
@@ -153,3 +154,33 @@ def test_the_result_of_counts_sorts_and_shuffles_nothing(spark):
     plan = _plan(got)
     assert "Sort" not in plan and "Exchange" not in plan and "TakeOrdered" not in plan
     assert got.agg(F.max("appid"), F.count("*")).first() == (2999, 3000)
+
+
+# --- plans that need no more --------------------------------------------------
+
+def test_the_anti_join_reuses_the_partitioning_of_the_dedup(spark, tmp):
+    """The catalog is shuffled once, for its dedup, and the done keys once, for theirs: a filter
+    before the anti join would have no exchange to spare."""
+    catalog = spark.range(1000).select((F.col("id") % 300).alias("appid"), F.struct(
+        F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("id").alias("row")).alias("pos"))
+    history = spark.range(500).selectExpr("CAST(id % 200 AS STRING) AS appid", "'true' AS success")
+    pend = keys.pending_keys(keys.dedup_ordered(catalog), keys.processed_keys(history))
+    assert {r.appid for r in pend.collect()} == set(range(200, 300))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        pend = keys.pending_keys(keys.dedup_ordered(catalog), keys.processed_keys(history))
+        assert "SortMergeJoin" in _plan(pend) and _plan(pend).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_payloads_are_parsed_once(spark):
+    payloads = spark.createDataFrame(
+        [(1, '{"1": {"success": true, "data": {"name": "A"}}}', None), (2, "[1]", None), (3, None, "timeout")],
+        "appid long, payload string, error string")
+    shaped = shape_details(payloads, "2024-01-01", "2024-01-01T00:00:00+00:00")
+    for df in (shaped, shaped.where(FAILED).select("appid")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert [(r.appid, r.success, r[FAILED]) for r in shaped.orderBy("appid").collect()] == [
+        (1, True, False), (2, False, True), (3, False, True)]
