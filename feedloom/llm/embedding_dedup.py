@@ -1,21 +1,23 @@
 """Embedding near-dedup as an exact metric range join.
 
-Cosine at least c between unit vectors is a Euclidean distance of at most
-r = sqrt(2 - 2c).  Pivots (spread over a bounded sample, farthest first)
-partition the vectors into cells of the nearest pivot.  A vector x is copied
-into the cell of pivot j only where the triangle inequality and the bisector of
-the two pivots leave room for a partner there:
-
-* d(x, p_j) <= R_j + r, R_j the largest distance of cell j's vectors to p_j, and
-* (d(x, p_j)^2 - d(x, p_i)^2) / (2 d(p_i, p_j)) <= r, the distance of x to the
-  half-space that is cell j's, p_i being x's own pivot.
-
-So every partner of a cell's own vectors is in the cell, and cells are joined
-independently: own vectors against all, in blocks of at most ``BLOCK`` rows a
-side, by matrix products.  Every pair that a single-precision product leaves
-near or above c is decided again in double precision.  Equal vectors are one
-class with a weight before all this.  A block returns counts and a spanning
-forest of its links, never its pairs.
+Cosine at least c between unit vectors is an angle of at most t = acos(c), and
+angles obey the triangle inequality.  Pivots (spread over a bounded sample,
+farthest first; their number grows with the rows) partition the vectors into
+cells of the nearest pivot.  A vector x of cell i has partners in cell j only where
+
+* angle(x, p_j) <= R_j + t, R_j the largest angle of cell j's vectors to p_j, and
+* x (p_i - p_j) <= sin(t) |p_i - p_j|, the angle of x to the half-space that is
+  cell j's.
+
+Cells are joined in groups, those nearest to one of the first pivots.  Of two groups
+one is the host of their pairs; a vector is copied into a host that has a cell
+within its reach.  Within a group, rows are dealt into blocks that are rings of the angle
+to the group's pivot, at most ``BLOCK`` rows a side; rings more than t apart do
+not meet.  Two blocks are compared by matrix products, cell by cell of one side
+with those rows of the other that reach the cell.  Every pair that a single-precision
+product leaves near or above c is decided again in double precision.  Equal
+vectors are one class with a weight before all this.  A pair is met once; a block
+returns counts and a spanning forest of its links, never its pairs.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ from .common import spill
 from .components import connected_components, local_roots
 
 MIN_COSINE = 0.95
-#: Rows that pivots are chosen from, vectors to a pivot, pivots at most, rows of
-#: a block's side.
-SAMPLE = 2000
-PER_PIVOT = 8192
+#: Rows that pivots are chosen from, vectors to a pivot, pivots at most.
+SAMPLE = 4000
+PER_PIVOT = 128
 MAX_PIVOTS = 1024
-BLOCK = 8192
+#: Rows and bytes of a block's side, rings that a group's angles are counted in.
+BLOCK = 16384
+BLOCK_BYTES = 32 << 20
+RINGS = 64
 #: More than single precision can be off for unit vectors of a few thousand
 #: dimensions.
 SLACK = 1e-3
@@ -46,7 +50,7 @@ def farthest_first(x: np.ndarray, k: int) -> np.ndarray:
     d = 2 - 2 * x @ x[0]
     while len(chosen) < min(k, len(x)):
         nxt = int(np.argmax(d))
-        if d[nxt] <= 1e-12:
+        if d[nxt] <= 1e-8:  # nearer pivots would not tell their bisector in double precision
             break
         chosen.append(nxt)
         d = np.minimum(d, 2 - 2 * x @ x[nxt])
@@ -62,8 +66,92 @@ def unit(column) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2 - 2 * x @ p.T, 0))
+class Cells:
+    """Pivots by group, the reach of cells and the rings of groups."""
+
+    def __init__(self, pivots: np.ndarray, groups: int, min_cosine: float):
+        group = (pivots @ pivots[:groups].T).argmax(1)
+        order = np.argsort(group, kind="stable")
+        self.pivots, self.group = pivots[order], group[order]
+        self.starts = np.searchsorted(self.group, np.arange(groups))
+        self.centers = pivots[:groups]
+        self.angle = float(np.arccos(min_cosine)) + 1e-6
+        self.sine = float(np.sin(min(self.angle, np.pi / 2)))
+        self.floor = np.full(len(pivots), np.inf)  # least cosine to a pivot within its cell's reach
+        a, b = np.meshgrid(np.arange(groups), np.arange(groups), indexing="ij")
+        #: Whether vectors of group a visit group b: one way only, and a group itself
+        self.visits = (a == b) | ((a < b) == ((a + b) % 2 == 0))
+
+    def set_radius(self, radius: np.ndarray) -> None:
+        """Largest angle in each cell, -inf for a cell without vectors."""
+        far = radius + self.angle
+        self.floor = np.where(np.isneginf(radius), np.inf,
+                              np.where(far < np.pi, np.cos(np.minimum(far, np.pi)), -2))
+
+    def nearest(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        dots = v @ self.pivots.T
+        cell = dots.argmax(1)
+        return cell, np.arccos(np.clip(dots[np.arange(len(v)), cell], -1, 1))
+
+    def apart(self, cell: np.ndarray, other) -> np.ndarray:
+        """Distance of pivots."""
+        p = self.pivots
+        return np.sqrt(np.maximum(2 - 2 * (p[cell] @ p[other].T), 0))
+
+    def reach(self, v: np.ndarray, cell: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Which of the cells ``other`` may hold partners of each vector."""
+        dots = v @ self.pivots[other].T
+        own = (v * self.pivots[cell]).sum(1)[:, None]
+        homes, at = np.unique(cell, return_inverse=True)
+        go = own - dots <= self.sine * self.apart(homes, other)[at] + 1e-12
+        return go & (dots >= self.floor[other]) | (cell[:, None] == other)
+
+    def groups_of(self, v: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Which groups each vector goes to."""
+        go = self.reach(v, cell, np.arange(len(self.pivots)))
+        return np.logical_or.reduceat(go, self.starts, axis=1) & self.visits[self.group[cell]]
+
+    def rings(self, v: np.ndarray, group: int) -> np.ndarray:
+        angle = np.arccos(np.clip(v @ self.centers[group], -1, 1))
+        return np.minimum((angle * (RINGS / np.pi)).astype(np.int64), RINGS - 1)
+
+
+class Blocks:
+    """Blocks of a group's rows on one side: runs of rings of at most ``most`` rows; a
+    fuller ring is several blocks by hash."""
+
+    def __init__(self, counts: np.ndarray, most: int):
+        self.first = np.zeros(RINGS, np.int64)
+        self.parts = np.ones(RINGS, np.int64)
+        low, high = [], []
+        held = most + 1
+        full = np.nonzero(counts)[0]
+        for ring in full.tolist():
+            n = int(counts[ring])
+            if held + n > most:
+                parts = -(-n // most)
+                self.first[ring], self.parts[ring] = len(low), parts
+                low += [ring] * parts
+                high += [ring] * parts
+                held = n if parts == 1 else most + 1
+            else:
+                self.first[ring] = len(low) - 1
+                high[-1] = ring
+                held += n
+        # a ring counted as empty belongs to the nearest that is not
+        if len(full):
+            near = full[np.abs(np.arange(RINGS)[:, None] - full).argmin(1)]
+            self.first, self.parts = self.first[near], self.parts[near]
+        self.low, self.high = np.array(low, np.int64), np.array(high, np.int64)
+
+    def __len__(self):
+        return len(self.low)
+
+    def near(self, other: "Blocks", block: int, angle: float) -> np.ndarray:
+        """Blocks of this side that rows of ``other``'s block may have partners in; a
+        ring of room on either side."""
+        gap = np.maximum(self.low - other.high[block], other.low[block] - self.high) - 2
+        return np.nonzero(gap * (np.pi / RINGS) <= angle)[0]
 
 
 def classes(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, DataFrame]:
@@ -107,7 +195,6 @@ def embedding_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding:
         raise ValueError("min_cosine must lie in (0, 1]")
     spark = vectors.sparkSession
     members, distinct = classes(vectors, vec_id, embedding)
-    reach = float(np.sqrt(2 - 2 * min_cosine)) + 1e-9
     counts = []
     forests = []
     # one length of vector as a rule; lengths are the table's schema, not its rows
@@ -118,7 +205,9 @@ def embedding_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding:
         # ``sample`` rows at most
         seen = own.orderBy("key").limit(sample).select("v").toArrow()
         pivots = farthest_first(unit(seen.column("v")), k)
-        found = _join(spark, own, pivots, reach, min_cosine, block)
+        most = max(1, min(block, BLOCK_BYTES // d))
+        cells = Cells(pivots, int(min(len(pivots), max(1, -(-n // most)))), min_cosine)
+        found = _join(spark, own, cells, min_cosine, most)
         counts.append(found.where("links is not null").select("node", "links"))
         forests.append(found.where("other is not null").select("node", "other"))
     empty = spark.createDataFrame([], "node long, links long")
@@ -138,103 +227,144 @@ def embedding_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding:
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 
-def _join(spark, own: DataFrame, pivots: np.ndarray, reach: float, min_cosine: float,
-          block: int) -> DataFrame:
-    """(node, links, null) and (node, null, other) rows over all cells."""
-    shared = spark.sparkContext.broadcast(pivots)
+def _slices(batch, rows: int = 1024):
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
+def _join(spark, own: DataFrame, cells: Cells, min_cosine: float, most: int) -> DataFrame:
+    """(node, links, null) and (node, null, other) rows over all groups of cells."""
+    start = spark.sparkContext.broadcast(cells)
 
     def nearest(batches):
-        p = shared.value
-        for b in batches:
-            d = distances(unit(b.column(1)), p)
-            cell = d.argmin(1)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(cell), pa.array(d[np.arange(len(d)), cell])],
-                names=["node", "v", "weight", "cell", "d"])
+        c = start.value
+        for whole in batches:
+            for b in _slices(whole):
+                v = unit(b.column(1))
+                cell, angle = c.nearest(v)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(angle)],
+                                                 names=["node", "v", "weight", "cell", "angle"])
 
     at = spill(own.select("node", "v", "weight")
-               .mapInArrow(nearest, "node long, v binary, weight long, cell long, d double"), "cells")
-    # a row a pivot
-    stats = {r["cell"]: r for r in at.groupBy("cell").agg(
-        F.count("*").alias("n"), F.max("d").alias("radius")).collect()}
-    radius = np.array([stats[j]["radius"] if j in stats else -np.inf for j in range(len(pivots))])
-    size = {j: r["n"] for j, r in stats.items()}
-    between = distances(pivots, pivots)
-
-    def cells_of(v, cell):
-        d = distances(v, pivots_())
-        here = np.arange(len(d))
-        apart = np.maximum(between[cell], 1e-12)
-        gap = (d * d - (d[here, cell] ** 2)[:, None]) / (2 * apart)
-        go = (d <= radius[None, :] + reach) & (gap <= reach)
-        go[here, cell] = True
-        return go
-
-    def pivots_():
-        return shared.value
-
-    def visits(batches):
-        seen = np.zeros(len(radius), np.int64)
-        for b in batches:
-            seen += cells_of(unit(b.column(0)), b.column(1).to_numpy()).sum(0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], names=["cell", "m"])
+               .mapInArrow(nearest, "node long, v binary, weight long, cell long, angle double"), "cells")
+    radius = np.full(len(cells.pivots), -np.inf)
+    for r in at.groupBy("cell").agg(F.max("angle").alias("radius")).collect():  # a row a pivot
+        radius[r["cell"]] = r["radius"]
+    cells.set_radius(radius)
+    reaching = spark.sparkContext.broadcast(cells)
+
+    def sides(b):
+        """(group, side, rows, rings) of a batch; side 0 are the group's own."""
+        c = reaching.value
+        v, cell = unit(b.column(1)), b.column(3).to_numpy()
+        home = c.group[cell]
+        go = c.groups_of(v, cell)
+        for g in np.nonzero(go.any(0))[0].tolist():
+            for side, rows in ((0, np.nonzero(home == g)[0]), (1, np.nonzero(go[:, g] & (home != g))[0])):
+                if len(rows):
+                    yield g, side, rows, c.rings(v[rows], g)
+
+    def count(batches):
+        n = np.zeros((len(reaching.value.centers), 2, RINGS), np.int64)
+        for whole in batches:
+            for b in _slices(whole):
+                for g, side, _, ring in sides(b):
+                    n[g, side] += np.bincount(ring, minlength=RINGS)
+        g, side, ring = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(side), pa.array(ring), pa.array(n[g, side, ring])],
+                                         names=["g", "side", "ring", "n"])
 
-    # a row a pivot
-    guests = {r["cell"]: r["m"] for r in at.select("v", "cell").mapInArrow(visits, "cell long, m long")
-              .groupBy("cell").agg(F.sum("m").alias("m")).collect()}
-    left = np.array([-(-size.get(j, 0) // block) for j in range(len(pivots))], np.int64)
-    right = np.array([-(-guests.get(j, 0) // block) for j in range(len(pivots))], np.int64)
+    # two numbers a ring of a group
+    rows = np.zeros((len(cells.centers), 2, RINGS), np.int64)
+    for r in (at.mapInArrow(count, "g long, side long, ring long, n long")
+              .groupBy("g", "side", "ring").agg(F.sum("n").alias("n")).collect()):
+        rows[r["g"], r["side"], r["ring"]] = r["n"]
+    laid = spark.sparkContext.broadcast([[Blocks(n, most) for n in g] for g in rows])
 
     def deal(batches):
-        """Own vectors to every right block of their cell, all to every left."""
-        for b in batches:
-            v, cell = b.column(1), b.column(3).to_numpy()
-            node = b.column(0).to_numpy()
-            mix = ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
-            go = cells_of(unit(v), cell)
-            for j in np.nonzero(go.any(0))[0].tolist():
-                if not left[j]:
-                    continue
-                rows = np.nonzero(go[:, j])[0]
-                home = rows[cell[rows] == j]
-                for side, some, many, mine in ((0, home, right[j], left[j]), (1, rows, left[j], right[j])):
-                    for other in range(many if len(some) else 0):
-                        i, o = mix[some] % mine, np.full(len(some), other)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(some), j)), pa.array(i if side == 0 else o),
-                             pa.array(o if side == 0 else i), pa.array(np.full(len(some), side)),
-                             b.column(0).take(pa.array(some)), v.take(pa.array(some)),
-                             b.column(2).take(pa.array(some))],
-                            names=["cell", "i", "o", "side", "node", "v", "weight"])
+        """Each row to every pair of blocks that its block is in: blocks of a group's own
+        rows with each other (i <= o) and with its guests' (numbered after them)."""
+        angle = reaching.value.angle
+        for whole in batches:
+            for b in _slices(whole):
+                node = b.column(0).to_numpy()
+                mix = ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+                for g, side, some, ring in sides(b):
+                    mine, guest = laid.value[g]
+                    my = (mine, guest)[side]
+                    if not len(mine):
+                        continue
+                    block = my.first[ring] + mix[some] % my.parts[ring]
+                    for k in np.unique(block).tolist():
+                        near = mine.near(my, k, angle)
+                        if side:
+                            tasks = [(i, len(mine) + k, 1) for i in near.tolist()]
+                        else:
+                            tasks = [(min(i, k), max(i, k), int(i < k)) for i in near.tolist()]
+                            tasks += [(k, len(mine) + o, 0) for o in guest.near(my, k, angle).tolist()]
+                        rows = pa.array(some[block == k])
+                        part = [b.column(j).take(rows) for j in range(4)]
+                        for i, o, s in tasks:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(rows), x)) for x in (g, i, o, s)] + part,
+                                names=["g", "i", "o", "side", "node", "v", "weight", "cell"])
 
     def compare(table):
-        side = table.column("side").to_numpy()
+        c = reaching.value
         table = table.combine_chunks()
-        l, r = (table.filter(pa.array(side == s)) for s in (0, 1))
+        side = table.column("side").to_numpy()
+        l = table.filter(pa.array(side == 0))
+        same = bool(table.num_rows) and table.column("i")[0] == table.column("o")[0]
+        r = l if same else table.filter(pa.array(side == 1))
         ln, rn = l.column("node").to_numpy(), r.column("node").to_numpy()
         x, y = unit(l.column("v")), unit(r.column("v"))
-        weight = r.column("weight").to_numpy()
-        links = np.zeros(len(ln), np.int64)
+        lw, rw = l.column("weight").to_numpy(), r.column("weight").to_numpy()
+        lc, rc = l.column("cell").to_numpy(), r.column("cell").to_numpy()
         nodes, place = np.unique(np.concatenate([ln, rn]), return_inverse=True)
         lp, rp = place[:len(ln)], place[len(ln):]
-        label = np.arange(len(nodes))
-        x4, y4 = x.astype(np.float32), y.T.astype(np.float32)
-        for k in range(0, len(ln), 512):
-            i, j = np.nonzero(x4[k:k + 512] @ y4 >= min_cosine - SLACK)
-            for c in range(0, len(i), 1 << 16):
-                a, b = i[c:c + (1 << 16)] + k, j[c:c + (1 << 16)]
-                ok = ((x[a] * y[b]).sum(1) >= min_cosine) & (ln[a] != rn[b])
-                a, b = a[ok], b[ok]
-                links += np.bincount(a, weight[b], len(ln)).astype(np.int64)
-                label = local_roots(len(nodes), label[lp[a]], label[rp[b]])[label] if len(a) else label
+        links, label = np.zeros(len(nodes)), np.arange(len(nodes))
+        x4, y4 = x.astype(np.float32), y.astype(np.float32)
+        order = np.argsort(lc, kind="stable")
+        held, kept = [], 0
+
+        def tie(label):
+            i, j = (np.concatenate(z) for z in zip(*held))
+            return local_roots(len(nodes), label[i], label[j])[label]
+
+        homes = np.unique(lc) if len(rn) else lc[:0]
+        for h in range(0, len(homes), 64):
+            some = homes[h:h + 64]
+            go = np.concatenate([c.reach(y[k:k + 1024], rc[k:k + 1024], some) for k in range(0, len(y), 1024)])
+            for n, home in enumerate(some.tolist()):
+                right = np.nonzero(go[:, n])[0]
+                left = order[np.searchsorted(lc, home, sorter=order):
+                             np.searchsorted(lc, home, "right", sorter=order)]
+                z = y4[right].T
+                for k in range(0, len(left), 512):
+                    i, j = np.nonzero(x4[left[k:k + 512]] @ z >= min_cosine - SLACK)
+                    for m in range(0, len(i), 1 << 16):
+                        a, b = left[k + i[m:m + (1 << 16)]], right[j[m:m + (1 << 16)]]
+                        ok = ((x[a] * y[b]).sum(1) >= min_cosine) & (ln[a] != rn[b])
+                        a, b = a[ok], b[ok]
+                        if not len(a):
+                            continue
+                        links += np.bincount(lp[a], rw[b], len(nodes))
+                        if not same:
+                            links += np.bincount(rp[b], lw[a], len(nodes))
+                        held.append((lp[a], rp[b]))
+                        kept += len(a)
+                        if kept >= 1 << 16:
+                            label, held, kept = tie(label), [], 0
+        if held:
+            label = tie(label)
         # roots are joined through label, so each node points at its root's node
-        tied = np.nonzero(label != np.arange(len(nodes)))[0]
+        tied, some = np.nonzero(label != np.arange(len(nodes)))[0], np.nonzero(links)[0]
+        void = np.arange(len(some) + len(tied)) >= len(some)
         return pa.table({
-            "node": pa.array(np.concatenate([ln, nodes[tied]])),
-            "links": pa.array(np.concatenate([links, np.zeros(len(tied), np.int64)]),
-                              mask=np.arange(len(ln) + len(tied)) >= len(ln)),
-            "other": pa.array(np.concatenate([np.zeros(len(ln), np.int64), nodes[label[tied]]]),
-                              mask=np.arange(len(ln) + len(tied)) < len(ln))})
-
-    dealt = at.mapInArrow(deal, "cell long, i long, o long, side long, node long, v binary, weight long")
-    return spill(dealt.groupBy("cell", "i", "o").applyInArrow(compare, "node long, links long, other long"), "links")
+            "node": pa.array(np.concatenate([nodes[some], nodes[tied]])),
+            "links": pa.array(np.concatenate([links[some].astype(np.int64), np.zeros(len(tied), np.int64)]), mask=void),
+            "other": pa.array(np.concatenate([np.zeros(len(some), np.int64), nodes[label[tied]]]), mask=~void)})
+
+    dealt = at.mapInArrow(
+        deal, "g long, i long, o long, side long, node long, v binary, weight long, cell long")
+    return spill(dealt.groupBy("g", "i", "o").applyInArrow(compare, "node long, links long, other long"), "links")

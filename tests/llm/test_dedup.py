@@ -153,7 +153,8 @@ def brute_vectors(rows):
                    for k in range(len(u))], key=str)
 
 
-@pytest.mark.parametrize("kw", [{}, {"per_pivot": 20, "block": 7, "sample": 40}])
+@pytest.mark.parametrize("kw", [{}, {"per_pivot": 20, "block": 7, "sample": 40},
+                                {"per_pivot": 2, "block": 30}, {"per_pivot": 3, "block": 16, "max_pivots": 9}])
 def test_embeddings_against_brute_force(spark, kw):
     rng = np.random.default_rng(5)
     rows = []
@@ -171,6 +172,48 @@ def test_embeddings_against_brute_force(spark, kw):
     assert sorted([tuple(r) for r in got], key=str) == brute_vectors(rows)
 
 
+@pytest.mark.parametrize("cosine", [0.95, 0.6, 1.0])
+def test_cells_reach_every_partner(cosine):
+    """Each pair at the cosine or above meets: both directions of reach hold, one of two groups
+    is the host, and the rings of their blocks are near."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(60, 5)), 12, axis=0) + rng.normal(size=(720, 5)) * rng.choice([0, 0.05, 0.5], (720, 1))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    cells = embedding_dedup.Cells(embedding_dedup.farthest_first(x[:300], 90), 11, cosine)
+    cell, angle = cells.nearest(x)
+    radius = np.full(len(cells.pivots), -np.inf)
+    np.maximum.at(radius, cell, angle)
+    cells.set_radius(radius)
+    everywhere = np.arange(len(radius))
+    go, visits, group = cells.reach(x, cell, everywhere), cells.groups_of(x, cell), cells.group[cell]
+    assert not go.all() and go.any(1).all()
+    pairs = [(a, b) for a, b in np.argwhere(x @ x.T >= cosine) if a != b]
+    assert len(pairs) > 50
+    blocks = [[embedding_dedup.Blocks(np.bincount(cells.rings(x[rows], g), minlength=embedding_dedup.RINGS), 8)
+               for rows in (group == g, visits[:, g] & (group != g))] for g in range(11)]
+    for a, b in pairs:
+        assert go[a, cell[b]]
+        hosts = [g for g in {group[a], group[b]} if visits[a, g] and visits[b, g]]
+        assert len(hosts) == 1
+        g = hosts[0]
+        at = []
+        for k in (a, b):
+            side = blocks[g][int(group[k] != g)]
+            ring = cells.rings(x[k:k + 1], g)[0]
+            at.append((side, side.first[ring] + (side.parts[ring] - 1)))
+        assert at[1][1] in at[1][0].near(at[0][0], at[0][1], cells.angle)
+
+
+def test_blocks_hold_all_rings():
+    counts = np.zeros(embedding_dedup.RINGS, int)
+    counts[[3, 4, 5, 20, 40, 41]] = [4, 3, 2, 25, 1, 1]
+    b = embedding_dedup.Blocks(counts, 8)
+    assert list(zip(b.low.tolist(), b.high.tolist())) == [(3, 4), (5, 5)] + [(20, 20)] * 4 + [(40, 41)]
+    assert b.first[3] == b.first[4] == b.first[0] == 0 and b.first[19] == 2 and b.parts[20] == 4
+    assert b.near(b, 6, 0.3).tolist() == [6]  # rings far apart do not meet
+    assert not len(embedding_dedup.Blocks(counts * 0, 8))
+
+
 def test_embeddings_empty(spark):
     v = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.embedding_duplicates(v).count() == 0
