@@ -63,6 +63,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Tasks that list folders, and Spark's own setting of it.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_DEFAULT = 10_000
+
+
+def size_listing(spark: SparkSession) -> None:
+    """List folders by four tasks a core of the session, in place of a task a folder.
+
+    A table of thousands of days otherwise spends a task on each whenever it is read or
+    its days are registered.  A session that has set the number keeps it.
+    """
+    if int(spark.conf.get(LISTING)) == LISTING_DEFAULT:
+        spark.conf.set(LISTING, str(min(LISTING_DEFAULT - 1, 4 * spark.sparkContext.defaultParallelism)))
+
+
 def file_system(spark: SparkSession, path: str):
     """(Hadoop file system, Hadoop path) of a path."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

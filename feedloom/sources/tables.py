@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.filters import off_day, on_day
 from ..schemas import DATE_COLUMN, FEEDS, RAW_DDL, columns_of, struct_of
-from ..session import file_system, scratch_dir
+from ..session import file_system, scratch_dir, size_listing
 from .feeds import iso_day
 
 
@@ -34,6 +34,7 @@ def raw(spark: SparkSession, root: str, feed: str) -> DataFrame:
     Filters on the day column prune folders (``PartitionFilters``).  A table that
     was never created raises, so a mistyped root can't empty a mart.
     """
+    size_listing(spark)
     path = table_path(root, feed)
     return (spark.read.schema(struct_of(RAW_DDL[feed])).option("basePath", path)
             .parquet(path))
@@ -56,6 +57,7 @@ def register_tables(spark: SparkSession, root: str, db: str) -> list[str]:
     keeps the data.  Days that the catalog does not know yet are added.
     """
     ensure_tables(spark, root)
+    size_listing(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     names = []
     for feed in FEEDS:
