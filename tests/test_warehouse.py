@@ -380,3 +380,18 @@ def test_cli_loads_and_builds_catalog_tables(spark, tmp, db):
     assert main(["clean", "--db", db]) == 0 and spark.table(f"{db}.steam_reviews").count() == 2
     with pytest.raises(SystemExit):
         main(["build", "--db", db + "_m"])
+
+
+def test_listing_takes_four_tasks_a_core_and_keeps_a_set_number(spark):
+    from feedloom.session import LISTING, size_listing
+
+    before = spark.conf.get(LISTING)
+    try:
+        spark.conf.unset(LISTING)
+        size_listing(spark)
+        assert int(spark.conf.get(LISTING)) == 4 * spark.sparkContext.defaultParallelism
+        spark.conf.set(LISTING, "7")
+        size_listing(spark)
+        assert spark.conf.get(LISTING) == "7"
+    finally:
+        spark.conf.set(LISTING, before)
