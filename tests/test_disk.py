@@ -128,3 +128,44 @@ def test_a_finished_ingest_is_not_parsed_again(spark, tmp, monkeypatch):
     monkeypatch.setattr(jobs, "write_failed", lambda *a, **b: pytest.fail("written again"))
     assert jobs.ingest(spark, payloads, REVIEWS, tmp, DAY, batch="b") == first
     assert sorted(r.appid for r in read_failed(spark, tmp, REVIEWS, DAY).collect()) == [2, 4]
+
+
+def test_gzip_level_of_feed_lines(spark, tmp):
+    """Lines take less than at the fastest level of gzip."""
+    rows = spark.range(20000).select(
+        F.lit("2024-01-02").alias("ingested_at_utc"), F.lit(date(2024, 1, 2)).alias("partition_date"),
+        F.lit("s").alias("source"), F.col("id").alias("appid"), F.sha2(F.col("id").cast("string"), 256).alias("name"),
+        (F.col("id") * 7919 % 1000).alias("last_modified"), (F.col("id") % 13).alias("price_change_number"),
+        F.to_json(F.struct("id")).alias("raw")).coalesce(1)
+    path = write_feed_day(rows, tmp, CATALOG, DAY)
+    spark.read.text(path).coalesce(1).write.option("zlib.compress.level", "BEST_SPEED").text(f"{tmp}/fast", compression="gzip")
+    assert sum(map(os.path.getsize, files(path))) < .95 * sum(map(os.path.getsize, files(f"{tmp}/fast")))
+
+
+def test_buckets_grow_with_the_feed(spark, tables, monkeypatch):
+    """Tables of the catalog are read by key in tasks of bounded size, with the same rows."""
+    from feedloom.plans import registry
+    from feedloom.sources import warehouse
+
+    spark.createDataFrame([(k, k % 3 if k < 9 else None, s, 10.0 * k, datetime(1995 + k % 3, 1, 1)) for k in range(1, 12) for s in "OF"],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp") \
+        .withColumn("o_orderpriority", F.lit("1-URGENT")).write.mode("overwrite").parquet(f"{tables}/orders.parquet")
+    size = 120
+    monkeypatch.setattr(warehouse, "BUCKET_BYTES", size)
+    db = fixtures.views_db(spark, tables)
+    lake = fixtures.lake_root(spark, tables)
+    for feed in (APPDETAILS, REVIEWS, CATALOG):
+        lines = sum(map(os.path.getsize, files(feed_path(lake, feed, AS_OF).removeprefix("file:"))))
+        n = warehouse.table_buckets(spark, f"{db}.{feed}")
+        assert n == -(-lines // size) > 1
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    for name, same in (("stg_appdetails_ties", "stg_appdetails"), ("view_stg_appdetails", "stg_appdetails"),
+                       ("stg_reviews_ties", "stg_reviews"), ("view_stg_reviews", "stg_reviews"),
+                       ("stg_catalog_ties", "stg_catalog"), ("bucketed_stg_catalog", "stg_catalog"),
+                       ("build_all_genres", "mart_genres")):
+        assert rows(registry.QUERIES[name](spark, tables)) == rows(registry.QUERIES[same](spark, tables)), name
+    dated = details_feed(spark, tables).filter("ingestion_date IS NOT NULL")  # both loads are of dated rows
+    assert registry.QUERIES["table_raw_details"](spark, tables).count() == dated.count() > 0
